@@ -52,6 +52,13 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def size_setting(text: str) -> int:
+    """A Spark size setting, such as `128MB` or `134217728b`, in bytes."""
+    number = text.strip().lower().removesuffix("b")
+    scale = {"k": 10, "m": 20, "g": 30, "t": 40}
+    return int(number[:-1]) << scale[number[-1]] if number[-1] in scale else int(number)
+
+
 def fit_shuffle_width(spark: SparkSession, *inputs: DataFrame) -> int:
     """Raise the width AQE starts its shuffles with to suit the inputs; AQE merges small partitions back.
 
@@ -91,3 +98,9 @@ def materialise(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is on; nothing happens if it is absent."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,17 +10,23 @@ BAD = "_bad_json"
 
 
 def decode_json(
-    df: DataFrame, schema: str | StructType, ts_col: str | None = "timestamp", column: str = "value"
+    df: DataFrame,
+    schema: str | StructType,
+    ts_col: str | None = "timestamp",
+    column: str = "value",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Columns of the message in `column`, plus `event_time` parsed from `ts_col`.
 
+    `keep` names columns of `df`, such as a topic's partition and offset, to carry along.
+
     A malformed message becomes a row of NULLs and an unreadable time a NULL: neither raises, in ANSI mode
     too, so that one bad message cannot stop a stream.
     """
-    data = df.selectExpr(f"CAST({column} AS STRING) AS _text").select(
-        F.from_json("_text", schema, {"mode": "PERMISSIVE"}).alias("data")
+    data = df.selectExpr(*keep, f"CAST({column} AS STRING) AS _text").select(
+        *keep, F.from_json("_text", schema, {"mode": "PERMISSIVE"}).alias("data")
     )
-    decoded = data.select("data.*")
+    decoded = data.select(*keep, "data.*")
     if ts_col:
         decoded = decoded.withColumn("event_time", F.try_to_timestamp(F.col(ts_col)))
     return decoded
