@@ -1,0 +1,270 @@
+"""The same queries as SQL over the given tables, for an independent engine to check."""
+
+from __future__ import annotations
+
+MASK = 4294967295
+
+
+def _murmur3(source: str, keep: list[str], inputs: list[tuple[str, str]]) -> str:
+    """SELECT of `keep` plus `h`, Spark's hash() of `inputs` given as (SQL expression, "int" or "long").
+
+    Murmur3 x86 32-bit, seed 42, worked out step by step in unsigned 64-bit arithmetic.
+    """
+    kept = ", ".join(keep)
+    sql = f"SELECT {kept}, {{words}}, CAST(42 AS UBIGINT) AS h FROM {source}"
+    words: list[str] = []
+    steps: list[tuple[str, int]] = []
+    for at, (expression, kind) in enumerate(inputs):
+        value = f"(CAST({expression} AS HUGEINT) + 18446744073709551616) % 18446744073709551616"
+        parts = [("lo", f"CAST(({value}) % 4294967296 AS UBIGINT)")]
+        if kind == "long":
+            parts.append(("hi", f"CAST(({value}) // 4294967296 AS UBIGINT)"))
+        words += [f"{text} AS {name}{at}" for name, text in parts]
+        steps += [(f"{name}{at}", 0) for name, _ in parts]
+        steps.append(("", 4 * len(parts)))
+    sql = sql.replace("{words}", ", ".join(words))
+    names = ", ".join([kept, *(w.rsplit(" AS ", 1)[1] for w in words)])
+
+    def step(inner: str, **columns: str) -> str:
+        new = ", ".join(f"{text} AS {name}" for name, text in columns.items())
+        return f"SELECT {names}, {new} FROM ({inner})"
+
+    def rotl(x: str, r: int) -> str:
+        return f"((({x} * {1 << r}) & {MASK}) | ({x} // {1 << (32 - r)}))"
+
+    for word, length in steps:
+        if word:
+            sql = step(sql, h="h", k=f"({word} * 3432918353) & {MASK}")
+            sql = step(sql, h="h", k=f"({rotl('k', 15)} * 461845907) & {MASK}")
+            sql = step(sql, h="xor(h, k)")
+            sql = step(sql, h=f"({rotl('h', 13)} * 5 + 3864292196) & {MASK}")
+        else:
+            sql = step(sql, h=f"xor(h, CAST({length} AS UBIGINT))")
+            sql = step(sql, h="xor(h, h // 65536)")
+            sql = step(sql, h=f"(h * 2246822507) & {MASK}")
+            sql = step(sql, h="xor(h, h // 8192)")
+            sql = step(sql, h=f"(h * 3266489909) & {MASK}")
+            sql = step(sql, h="xor(h, h // 65536)")
+    signed = "CASE WHEN h >= 2147483648 THEN CAST(h AS BIGINT) - 4294967296 ELSE CAST(h AS BIGINT) END"
+    return f"SELECT {kept}, {signed} AS h FROM ({sql})"
+
+
+def _pmod(n: int) -> str:
+    return f"(((h % {n}) + {n}) % {n})"
+
+
+def _sample(fraction: float, seed: int, columns: list[str]) -> str:
+    hashed = _murmur3("events", columns, [(str(seed), "int"), ("event_id", "long")])
+    return f"SELECT {', '.join(columns)} FROM ({hashed}) WHERE {_pmod(1000000)} < {round(fraction * 1000000)}"
+
+
+READINGS = """(
+    SELECT event_id, ts, CAST(user_id AS VARCHAR) AS sensor_id, value AS temperature,
+           CAST(json_extract(props, '$.k') AS DOUBLE) AS humidity,
+           CASE WHEN event_type = 'error' THEN 'critical' ELSE 'normal' END AS status
+    FROM events)"""
+
+ALERT_TEXT = "'ALERT: ' || sensor_id || ' - temp=' || CAST(temperature AS VARCHAR) || ' status=' || status"
+
+ALERTS = f"""
+    SELECT sensor_id, temperature, status, {ALERT_TEXT} AS alert_msg
+    FROM {READINGS} WHERE temperature > 30 OR status = 'critical'"""
+
+MESSAGES = f"""
+    SELECT sensor_id AS key,
+           '{{"sensor_id":"' || sensor_id || '","temperature":' || CAST(temperature AS VARCHAR)
+           || ',"status":"' || status || '","alert_msg":"' || alert_msg || '"}}' AS value
+    FROM ({ALERTS})"""
+
+WINDOWS = """
+    SELECT time_bucket(INTERVAL '5 seconds', ts) AS window_start,
+           time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS window_end,
+           CAST(user_id AS VARCHAR) AS sensor_id, COUNT(*) AS critical_count
+    FROM events WHERE event_type = 'error' GROUP BY ALL"""
+
+ANOMALIES = f"""
+    SELECT event_id, ts, sensor_id,
+           concat_ws(', ',
+               CASE WHEN temperature > 32 THEN 'High temp: ' || CAST(temperature AS VARCHAR) || '°C' END,
+               CASE WHEN status = 'critical' THEN 'Critical status' END,
+               CASE WHEN humidity > 75 THEN 'High humidity: ' || CAST(humidity AS VARCHAR) || '%' END) AS reasons
+    FROM {READINGS}
+    WHERE temperature > 32 OR status = 'critical' OR humidity > 75"""
+
+ANOMALY_TOTALS = f"""
+    SELECT COUNT(*) AS processed,
+           COUNT(*) FILTER (WHERE temperature > 32 OR status = 'critical' OR humidity > 75) AS anomalies
+    FROM {READINGS}"""
+
+METRICS = """
+    SELECT COUNT(*) AS sensor_count,
+           (SELECT value FROM events ORDER BY ts DESC, event_id DESC LIMIT 1) AS current_temp,
+           COUNT(*) FILTER (WHERE event_type = 'purchase') AS txn_count,
+           ROUND(SUM(value) FILTER (WHERE event_type = 'purchase'), 2) AS total_revenue
+    FROM events"""
+
+BREACHES = """
+    WITH marked AS (
+        SELECT *, value > 50 AS breach,
+               SUM(CASE WHEN value > 50 THEN 0 ELSE 1 END)
+                   OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island
+        FROM events),
+    placed AS (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, island ORDER BY ts, event_id) AS place
+        FROM marked WHERE breach)
+    SELECT user_id, ts, event_id, value FROM placed WHERE place = 3"""
+
+LOG_ERRORS = """
+    SELECT 'app-' || CAST(user_id AS VARCHAR) AS "Service", COUNT(*) AS "Occurrences"
+    FROM events WHERE event_type = 'error' GROUP BY 1
+    ORDER BY "Occurrences" DESC, "Service" LIMIT 5"""
+
+INCREMENTED = """
+    SELECT e.event_id, e.user_id,
+           e.value + CASE WHEN f.first_id IS NOT NULL THEN COALESCE(u.n, 0) ELSE 0 END AS value{stamp}
+    FROM events e
+    LEFT JOIN (SELECT user_id, MIN(event_id) AS first_id FROM events GROUP BY user_id) f
+        ON f.user_id = e.user_id AND f.first_id = e.event_id
+    LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey) u ON u.o_custkey = e.user_id"""
+
+STAMP = """,
+           CASE WHEN f.first_id IS NOT NULL AND u.n IS NOT NULL
+                THEN CAST(1704067200.0 AS DOUBLE) END AS "lastUpdate\""""
+
+PRIORITY_COUNTS = 'SELECT o_orderpriority, COUNT(*) AS "count" FROM orders GROUP BY o_orderpriority'
+
+LINE_ID = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate"
+
+ORACLE: dict[str, str] = {
+    "key_profile": """
+        SELECT CAST(l_linenumber AS DOUBLE) AS line_number, COUNT(*) AS line_count,
+               ROUND(AVG(l_extendedprice), 2) AS avg_price, ROUND(AVG(l_tax), 2) AS avg_tax,
+               ROUND(AVG(l_quantity), 2) AS avg_quantity
+        FROM lineitem GROUP BY l_linenumber ORDER BY line_number""",
+    "key_revenue": """
+        SELECT o_orderpriority, COUNT(*) AS order_count, ROUND(SUM(o_totalprice), 2) AS total_revenue,
+               ROUND(AVG(o_totalprice), 2) AS avg_order
+        FROM orders GROUP BY o_orderpriority ORDER BY total_revenue DESC""",
+    "key_counts": PRIORITY_COUNTS,
+    "cached_key_counts": PRIORITY_COUNTS,
+    "placed_key_counts": 'SELECT o_custkey, COUNT(*) AS "count" FROM orders GROUP BY o_custkey',
+    "two_key_agg": """
+        SELECT l_returnflag, l_linenumber, COUNT(*) AS cnt, ROUND(AVG(l_extendedprice), 2) AS avg_price,
+               ROUND(SUM(l_extendedprice), 2) AS sum_price
+        FROM lineitem GROUP BY l_returnflag, l_linenumber""",
+    "one_key_agg": """
+        SELECT l_returnflag, COUNT(*) AS cnt, ROUND(AVG(l_extendedprice), 2) AS avg_price
+        FROM lineitem GROUP BY l_returnflag""",
+    "total_count": "SELECT COUNT(*) AS line_count FROM lineitem",
+    "nested_group_topn": """
+        SELECT event_type AS type, CAST(json_extract(props, '$.k') AS INTEGER) AS k, COUNT(*) AS "count",
+               ROUND(AVG(value), 2) AS avg_value, ROUND(SUM(value), 2) AS total_value
+        FROM events GROUP BY 1, 2 ORDER BY "count" DESC, type, k LIMIT 20""",
+    "key_distribution": f"""
+        WITH placed AS (
+            SELECT CAST({_pmod(16)} AS INTEGER) AS bucket
+            FROM ({_murmur3("events", ["user_id"], [("user_id", "long")])}))
+        SELECT bucket, COUNT(*) AS row_count, COUNT(*) * 100.0 / (SELECT COUNT(*) FROM placed)::DOUBLE AS pct
+        FROM placed GROUP BY bucket""",
+    "harmonised_union_profile": """
+        SELECT CAST(l_linenumber AS DOUBLE) AS l_linenumber, COUNT(*) AS line_count,
+               ROUND(AVG(l_extendedprice), 2) AS avg_price, ROUND(AVG(l_quantity), 2) AS avg_quantity
+        FROM lineitem GROUP BY 1 ORDER BY 1""",
+    "select_filter": """
+        SELECT o_orderkey, o_orderdate, o_totalprice AS total_price FROM orders WHERE o_totalprice > 300000""",
+    "top_k_filtered": f"""
+        SELECT l_extendedprice, {LINE_ID} FROM lineitem WHERE l_extendedprice > 50
+        ORDER BY l_extendedprice DESC, {LINE_ID} LIMIT 1000""",
+    "alerts_or_filter": """
+        SELECT event_id, user_id, event_type, value FROM events WHERE value > 30 OR event_type = 'error'""",
+    "filter_limit": f"""
+        SELECT {LINE_ID}, l_extendedprice FROM lineitem WHERE l_extendedprice > 50
+        ORDER BY {LINE_ID}, l_extendedprice LIMIT 10000""",
+    "preview_rows": "SELECT * FROM events ORDER BY event_id LIMIT 10",
+    "sample_rows": _sample(0.02, 7, ["event_id", "user_id", "value"]),
+    "size_gate": """
+        SELECT COUNT(*) FILTER (WHERE n_chars <= 5000) AS kept_count,
+               CAST(SUM(n_chars) FILTER (WHERE n_chars <= 5000) AS BIGINT) AS kept_total,
+               COUNT(*) FILTER (WHERE n_chars > 5000) AS skipped_count,
+               CAST(SUM(n_chars) FILTER (WHERE n_chars > 5000) AS BIGINT) AS skipped_total
+        FROM documents""",
+    "size_gate_skipped": "SELECT doc_id, n_chars FROM documents WHERE n_chars > 5000",
+    "size_gate_kept": "SELECT doc_id, n_chars FROM documents WHERE n_chars <= 5000",
+    "sample_join_count": f"""
+        SELECT CAST(COUNT(*) AS VARCHAR) AS join_rows
+        FROM ({_sample(0.02, 1, ["event_type", "event_id"])}) a
+        JOIN ({_sample(0.02, 2, ["event_type", "event_id"])}) b ON a.event_type = b.event_type""",
+    "self_join_count": f"""
+        WITH sampled AS ({_sample(0.01, 3, ["event_type", "event_id"])})
+        SELECT CAST(COUNT(*) AS VARCHAR) AS join_rows
+        FROM sampled a JOIN sampled b ON a.event_type = b.event_type""",
+    "factorised_join_count": """
+        SELECT CAST(COUNT(*) AS VARCHAR) AS join_rows
+        FROM orders JOIN events ON o_custkey = user_id""",
+    "dim_join": """
+        SELECT c_custkey, c_name, c_nationkey AS nationkey, n_name
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "scalar_subquery": """
+        SELECT o_orderkey, o_totalprice FROM orders
+        WHERE o_totalprice > (SELECT AVG(o_totalprice) FROM orders)""",
+    "in_subquery": """
+        SELECT o_custkey AS c_custkey, o_orderkey FROM orders
+        WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)""",
+    "correlated_subquery": """
+        SELECT l_orderkey, l_partkey, l_suppkey, l_quantity FROM lineitem l
+        WHERE l_quantity > (SELECT AVG(l_quantity) FROM lineitem i WHERE i.l_partkey = l.l_partkey)""",
+    "first_k_per_key": """
+        SELECT user_id, event_id, event_type, value FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events)
+        WHERE place <= 10 AND user_id IN (SELECT o_custkey FROM orders)""",
+    "latest_versions": """
+        SELECT user_id, ts, event_id, value FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events)
+        WHERE place <= 3""",
+    "consecutive_breaches": BREACHES,
+    "consecutive_breaches_stream": BREACHES,
+    "increment_first": INCREMENTED.format(stamp=""),
+    "increment_first_set": INCREMENTED.format(stamp=STAMP),
+    "log_error_top5": LOG_ERRORS,
+    "log_error_report": LOG_ERRORS,
+    "log_error_services": """
+        SELECT DISTINCT 'app-' || CAST(user_id AS VARCHAR) AS service FROM events WHERE event_type = 'error'""",
+    "json_decode": f"""
+        SELECT event_id, sensor_id, temperature, humidity, status, ts AS event_time FROM {READINGS}""",
+    "json_nested_decode": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+    "json_rejects": """
+        SELECT event_id, rtrim(props, '}') AS value FROM events WHERE event_type = 'view'""",
+    "anomaly_reasons": f"SELECT event_id, sensor_id, reasons FROM ({ANOMALIES})",
+    "anomaly_numbers": f"""
+        SELECT event_id, ROW_NUMBER() OVER (ORDER BY ts, event_id) AS anomaly_no FROM ({ANOMALIES})""",
+    "alert_rows": ALERTS,
+    "alert_messages_batch": MESSAGES,
+    "alert_stream": MESSAGES,
+    "keyed_messages": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS key,
+               '{"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus
+               || '","o_totalprice":' || CAST(o_totalprice AS VARCHAR) || '}' AS value
+        FROM orders""",
+    "critical_counts": WINDOWS,
+    "critical_window_counts_stream": WINDOWS,
+    "critical_window_updates_stream": WINDOWS,
+    "anomaly_totals": ANOMALY_TOTALS,
+    "anomaly_counts_stream": ANOMALY_TOTALS,
+    "running_metrics_batch": METRICS,
+    "running_metrics_stream": METRICS,
+    "lambda_serving_view": """
+        SELECT event_type, COUNT(*) AS "count", ROUND(SUM(value), 2) AS total, ROUND(AVG(value), 2) AS average
+        FROM events GROUP BY event_type""",
+    "partitioned_roundtrip": "SELECT * FROM orders",
+    "partition_overwrite": """
+        SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 0.0 ELSE o_totalprice END AS o_totalprice,
+               o_orderstatus FROM orders""",
+    "bucketed_roundtrip": """
+        SELECT l_orderkey, COUNT(*) AS line_count, SUM(l_quantity) AS quantity FROM lineitem GROUP BY l_orderkey""",
+    "external_roundtrip": "SELECT * FROM customer",
+    "append_replace_roundtrip": "SELECT * FROM events",
+    "documents_roundtrip": """
+        SELECT event_id AS _id, CAST(user_id AS INTEGER) AS "userId", event_type AS "eventType", value,
+               CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
+    "csv_roundtrip": "SELECT * FROM customer",
+}

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.functions import bucket_of
-
 
 def append_table(df: DataFrame, path: str) -> None:
     """Add rows to a Parquet table; every task writes its own files."""
@@ -35,10 +33,11 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
 def write_bucketed(df: DataFrame, name: str, n: int, key: str, path: str) -> DataFrame:
     """Path-backed table of `n` hash buckets; grouping or joining it on `key` needs no exchange.
 
-    Rows are brought together by bucket with REBALANCE, which lets several tasks write a hot bucket.
+    REBALANCE into `n` hash partitions puts one bucket into one partition, and AQE lets several tasks write a
+    hot one.
     """
     (
-        df.hint("rebalance", bucket_of(n, key))
+        df.hint("rebalance", n, key)
         .write.mode("overwrite")
         .option("path", path)
         .bucketBy(n, key)

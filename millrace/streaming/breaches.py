@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from millrace.operators.runs import consecutive_breaches, trailing_runs
 from millrace.plans.sizing import GROUP_ROWS
@@ -33,7 +33,7 @@ def start_breach_stream(
 
     Rows are ordered by `order` within a batch; batches follow each other as they arrive.
     """
-    run_schema = StructType([stream.schema[k] for k in keys]).add("run", "int")
+    run_schema = StructType([stream.schema[k] for k in keys]).add("run", IntegerType())
 
     def state(batch_id: int) -> str:
         return f"{checkpoint}/open_runs/batch_id={batch_id}"
