@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace import operators as op
 from millrace.plans import roles
-from millrace.plans.roles import table
+from millrace.plans.roles import table, tables
 from millrace.session import scratch_path
 from millrace.sinks import (
     append_table,
@@ -125,9 +125,9 @@ def cached_key_counts(spark, sf_dir):
 
 @query
 def placed_key_counts(spark, sf_dir):
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = table(spark, sf_dir, "orders").select("o_custkey")
-    return op.count_by(op.repartition_by_key(orders, width, "o_custkey"), "o_custkey")
+    width = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    return op.count_by(op.repartition_evenly(orders, width), "o_custkey")
 
 
 @query
@@ -251,17 +251,22 @@ def self_join_count(spark, sf_dir):
 
 @query
 def factorised_join_count(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"))
-    events = table(spark, sf_dir, "events").select(F.col("user_id").alias("key"))
-    joined = op.join_count(orders, events, ["key"])
+    orders, events = tables(spark, sf_dir, "orders", "events")
+    joined = op.join_count(
+        orders.select(F.col("o_custkey").alias("key")), events.select(F.col("user_id").alias("key")), ["key"]
+    )
     return joined.select(F.col("join_rows").cast("string").alias("join_rows"))
 
 
 @query
 def dim_join(spark, sf_dir):
-    nations = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "nationkey")
-    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "nationkey")
-    return op.dim_join(customers, nations, "nationkey").select("c_custkey", "c_name", "nationkey", "n_name")
+    customers, nations = tables(spark, sf_dir, "customer", "nation")
+    joined = op.dim_join(
+        customers.withColumnRenamed("c_nationkey", "nationkey"),
+        nations.withColumnRenamed("n_nationkey", "nationkey"),
+        "nationkey",
+    )
+    return joined.select("c_custkey", "c_name", "nationkey", "n_name")
 
 
 @query
@@ -272,9 +277,9 @@ def scalar_subquery(spark, sf_dir):
 
 @query
 def in_subquery(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
-    wealthy = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 5000)
-    return op.in_other(orders, wealthy, "c_custkey")
+    orders, customers = tables(spark, sf_dir, "orders", "customer")
+    placed = orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    return op.in_other(placed, customers.filter(F.col("c_acctbal") > 5000), "c_custkey")
 
 
 @query
@@ -288,9 +293,10 @@ def correlated_subquery(spark, sf_dir):
 
 @query
 def first_k_per_key(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
-    keys = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"))
-    return op.first_k_per_key(events, keys, "user_id", ["event_id"], 10)
+    events, orders = tables(spark, sf_dir, "events", "orders")
+    documents = events.select("user_id", "event_id", "event_type", "value")
+    keys = orders.select(F.col("o_custkey").alias("user_id"))
+    return op.first_k_per_key(documents, keys, "user_id", ["event_id"], 10)
 
 
 @query
@@ -305,21 +311,27 @@ def consecutive_breaches(spark, sf_dir):
     return op.consecutive_breaches(events, ["user_id"], ["ts", "event_id"], F.col("value") > 50)
 
 
-def _updates(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"))
+def _increments(spark, sf_dir, stamp=None):
+    """One update per order, to the first event of the user with the customer's number."""
+    events, orders = tables(spark, sf_dir, "events", "orders")
+    return op.increment_first(
+        events.select("event_id", "user_id", "value"),
+        orders.select(F.col("o_custkey").alias("user_id")),
+        "user_id",
+        ["event_id"],
+        "value",
+        stamp=stamp,
+    )
 
 
 @query
 def increment_first(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    return op.increment_first(events, _updates(spark, sf_dir), "user_id", ["event_id"], "value")
+    return _increments(spark, sf_dir)
 
 
 @query
 def increment_first_set(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    updates = _updates(spark, sf_dir)
-    return op.increment_first(events, updates, "user_id", ["event_id"], "value", stamp=F.lit(1704067200.0))
+    return _increments(spark, sf_dir, stamp=F.lit(1704067200.0))
 
 
 # Logs, messages, rules

@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import configure, fit_shuffle_width
+from millrace.session import configure, fit_to_inputs
 from millrace.sources import read_table
 
 PROPS = "k INT"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, with the session set up for it."""
+def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    """Given tables, with the session set up for a query over all of them."""
     configure(spark)
-    df = read_table(spark, f"{sf_dir}/{name}.parquet")
-    fit_shuffle_width(spark, df)
-    return df
+    frames = [read_table(spark, f"{sf_dir}/{name}.parquet") for name in names]
+    fit_to_inputs(spark, *frames)
+    return frames
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The one table a query reads."""
+    return tables(spark, sf_dir, name)[0]
 
 
 def readings(events: DataFrame) -> DataFrame:

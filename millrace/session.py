@@ -22,6 +22,9 @@ SETTINGS = {
     ),
 }
 
+SPLIT_BYTES = 128 << 20
+MAX_SPLIT_BYTES = 1 << 30
+MAX_TASKS = 200_000
 SHUFFLE_TARGET_BYTES = 256 << 20
 MAX_SHUFFLE_WIDTH = 20_000
 
@@ -59,17 +62,22 @@ def size_setting(text: str) -> int:
     return int(number[:-1]) << scale[number[-1]] if number[-1] in scale else int(number)
 
 
-def fit_shuffle_width(spark: SparkSession, *inputs: DataFrame) -> int:
-    """Raise the width AQE starts its shuffles with to suit the inputs; AQE merges small partitions back.
+def fit_to_inputs(spark: SparkSession, *inputs: DataFrame) -> tuple[int, int]:
+    """Size scan splits and shuffle widths for a query over `inputs`; returns both.
 
-    The width never falls below the configured one, and stops at MAX_SHUFFLE_WIDTH, where the number of
-    map x reduce blocks starts to cost more than larger partitions do.
+    Splits grow from the default so that no scan has more than MAX_TASKS tasks. AQE starts its shuffles
+    with enough partitions for the inputs and merges small ones back. Neither falls below what the session
+    asks for. MAX_SHUFFLE_WIDTH is where map x reduce blocks start to cost more than larger partitions do.
     """
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = sum(plan_bytes(df) for df in inputs) // SHUFFLE_TARGET_BYTES
-    width = max(configured, min(wanted, MAX_SHUFFLE_WIDTH))
+    total = sum(plan_bytes(df) for df in inputs)
+    split = max(SPLIT_BYTES, min(total // MAX_TASKS, MAX_SPLIT_BYTES))
+    width = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        min(total // SHUFFLE_TARGET_BYTES, MAX_SHUFFLE_WIDTH),
+    )
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
-    return width
+    return split, width
 
 
 def shared_dir(spark: SparkSession) -> str:
