@@ -3,6 +3,7 @@ from millrace.functions.rules import (
     Rule,
     alert_condition,
     alert_text,
+    any_fired,
     fired_reasons,
     sensor_rules,
 )
@@ -11,6 +12,7 @@ __all__ = [
     "Rule",
     "alert_condition",
     "alert_text",
+    "any_fired",
     "bucket_of",
     "fired_reasons",
     "in_sample",

@@ -6,6 +6,7 @@ rules; all comparisons are strict.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -34,6 +35,11 @@ def sensor_rules(temperature: float = 32.0, humidity: float = 75.0) -> list[Rule
     ]
 
 
+def any_fired(rules: list[Rule]) -> Column:
+    """Whether at least one rule holds; never NULL."""
+    return reduce(Column.__or__, (F.coalesce(rule.condition, F.lit(False)) for rule in rules))
+
+
 def fired_reasons(rules: list[Rule]) -> Column:
     """Array of the reasons of all rules that hold."""
     return F.array_compact(F.array(*(F.when(rule.condition, rule.reason) for rule in rules)))

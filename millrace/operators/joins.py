@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.rows import sample_rows
@@ -26,7 +28,8 @@ def join_count(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 def self_join_count(df: DataFrame, keys: list[str]) -> DataFrame:
     """Number of rows of the join of `df` with itself on `keys`; reads `df` once."""
-    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").cast("decimal(19,0)").alias("_n"))
+    matchable = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+    counts = df.filter(matchable).groupBy(*keys).agg(F.count("*").cast("decimal(19,0)").alias("_n"))
     square = (F.col("_n") * F.col("_n")).cast("decimal(38,0)")
     return counts.agg(F.coalesce(F.sum(square), F.lit(0)).cast("decimal(38,0)").alias("join_rows"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.plans.sizing import fits_broadcast
+from millrace.plans.sizing import broadcastable
 from millrace.session import plan_bytes, size_setting
 
 # Candidate rows that the one task which merges a top-k may receive before a merge level is put in front.
@@ -57,8 +57,9 @@ def first_k_per_key(
     the ranking, when every key is down to `k` rows, so no hot key is ever shuffled whole.
     """
     wanted = keys.select(key).distinct()
-    if fits_broadcast(wanted):
-        return rank_limit(df.join(F.broadcast(wanted), key, "left_semi"), [key], order, k)
+    small = broadcastable(wanted)
+    if small is not None:
+        return rank_limit(df.join(small, key, "left_semi"), [key], order, k)
     return rank_limit(df, [key], order, k).join(wanted, key, "left_semi")
 
 

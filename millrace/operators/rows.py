@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.functions import Rule, alert_condition, alert_text, fired_reasons, in_sample, sensor_rules
+from millrace.functions import Rule, alert_condition, alert_text, any_fired, fired_reasons, in_sample, sensor_rules
 from millrace.session import materialise
 
 
@@ -22,13 +22,13 @@ def sample_rows(df: DataFrame, fraction: float, seed: int, by: list[str] | None
 
 
 def flag_reasons(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Adds `reasons`, the array of the reasons of all rules that hold."""
-    return df.withColumn("reasons", fired_reasons(rules))
+    """Rows for which at least one rule holds, with the array of the `reasons` of all that do."""
+    return df.filter(any_fired(rules)).withColumn("reasons", fired_reasons(rules))
 
 
 def detect_anomalies(df: DataFrame, temperature: float = 32.0, humidity: float = 75.0) -> DataFrame:
     """Readings that break at least one sensor rule, with their reasons joined into one text."""
-    flagged = flag_reasons(df, sensor_rules(temperature, humidity)).filter(F.size("reasons") > 0)
+    flagged = flag_reasons(df, sensor_rules(temperature, humidity))
     return flagged.withColumn("reasons", F.array_join("reasons", ", "))
 
 

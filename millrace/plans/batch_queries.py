@@ -149,18 +149,7 @@ def key_distribution(spark, sf_dir):
 
 @query
 def harmonised_union_profile(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_linenumber", "l_extendedprice", "l_quantity", "l_shipdate")
-    shipped = F.col("l_shipdate")
-    second = F.lit("1998-01-01").cast("timestamp_ntz")
-    third = F.lit("2000-01-01").cast("timestamp_ntz")
-    # Drift: an INT key, then a DOUBLE key with an extra column, then another column order.
-    frames = [
-        lines.filter(shipped < second).drop("l_shipdate"),
-        lines.filter((shipped >= second) & (shipped < third)).withColumn(
-            "l_linenumber", F.col("l_linenumber").cast("double")
-        ),
-        lines.filter(shipped >= third).select("l_quantity", "l_linenumber", "l_extendedprice"),
-    ]
+    frames = roles.drifting(table(spark, sf_dir, "lineitem"))
     return op.summarise(
         harmonise_union(frames, {"l_linenumber": "double"}),
         ["l_linenumber"],

@@ -24,6 +24,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables(spark, sf_dir, name)[0]
 
 
+def drifting(lines: DataFrame) -> list[DataFrame]:
+    """lineitem cut by ship date into frames that drift like periodic files do.
+
+    The key is INT, then DOUBLE with an extra column, then the columns come in another order.
+    """
+    shipped = F.col("l_shipdate")
+    second, third = (F.lit(day).cast("timestamp_ntz") for day in ("1998-01-01", "2000-01-01"))
+    lines = lines.select(
+        "l_linenumber", "l_returnflag", "l_extendedprice", "l_quantity", "l_orderkey", "l_shipdate"
+    )
+    return [
+        lines.filter(shipped < second).drop("l_shipdate"),
+        lines.filter((shipped >= second) & (shipped < third)).withColumn(
+            "l_linenumber", F.col("l_linenumber").cast("double")
+        ),
+        lines.filter(shipped >= third).select(*reversed(lines.columns)),
+    ]
+
+
 def readings(events: DataFrame) -> DataFrame:
     """Events as sensor readings; an error event is a critical status."""
     return events.select(

@@ -27,9 +27,14 @@ def small_by_estimate(df: DataFrame) -> bool:
     return plan_bytes(df) <= size_setting(threshold)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether `df` may be sent to every executor; measured unless it is small by estimate."""
-    return small_by_estimate(df) or measured_bytes(df) <= BROADCAST_BYTES
+def broadcastable(side: DataFrame) -> DataFrame | None:
+    """`side` in a form that joins without shuffling the other frame, or None if it is too large for that.
+
+    A side that is small by estimate is left for Spark to broadcast; any other is measured and hinted.
+    """
+    if small_by_estimate(side):
+        return side
+    return F.broadcast(side) if measured_bytes(side) <= BROADCAST_BYTES else None
 
 
 def same(left: list[Column], right: list[Column]) -> Column:
@@ -45,11 +50,9 @@ def sized_join(df: DataFrame, side: DataFrame, on: list[str] | Column, how: str)
     not, both sides reach the join through plain exchanges, the form in which AQE splits a hot key of the
     large frame.
     """
-    if small_by_estimate(side):
-        return df.join(side, on, how)
-    side = materialise(side)
-    if measured_bytes(side) <= BROADCAST_BYTES:
-        side = F.broadcast(side)
+    if not small_by_estimate(side):
+        side = materialise(side)
+        side = F.broadcast(side) if measured_bytes(side) <= BROADCAST_BYTES else side
     return df.join(side, on, how)
 
 

@@ -40,7 +40,12 @@ def build_session(
     app: str, master: str | None = None, shuffle_width: int | None = None, driver_memory: str | None = None
 ) -> SparkSession:
     """A session with SETTINGS; without `master` the one given by spark-submit is used."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app)
+        .config("spark.ui.enabled", "false")
+        # Checkpointed frames are removed from the shared folder once nothing refers to them.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    )
     if master:
         builder = builder.master(master)
     if driver_memory:

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators.ranking import rank_limit
+from millrace.session import delete_path
+
+# Results of a complete-mode stream that stay readable.
+SNAPSHOTS = 3
 
 
 def to_messages(df: DataFrame, key: str, fields: list[str], keep: tuple[str | Column, ...] = ()) -> DataFrame:
@@ -51,11 +55,13 @@ def write_updates(
 
 
 def _write_batches(
-    df: DataFrame, path: str, checkpoint: str, mode: str, trigger: dict | None
+    df: DataFrame, path: str, checkpoint: str, mode: str, trigger: dict | None, history: int | None = None
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         # A replayed batch overwrites its own folder, so nothing is written twice.
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if history and batch_id >= history:
+            delete_path(batch.sparkSession, f"{path}/batch_id={batch_id - history}")
 
     return _writer(df, checkpoint, trigger).outputMode(mode).foreachBatch(write).start()
 
@@ -71,8 +77,8 @@ def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
 
 
 def write_snapshot(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """The whole result of an aggregate after each batch; read it with `read_snapshot`."""
-    return _write_batches(df, path, checkpoint, "complete", trigger)
+    """The whole result of an aggregate after each of the last batches; read it with `read_snapshot`."""
+    return _write_batches(df, path, checkpoint, "complete", trigger, SNAPSHOTS)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:

@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import fired_reasons, sensor_rules
+from millrace.functions import any_fired, sensor_rules
 
 
 def anomaly_counts(readings: DataFrame, temperature: float = 32.0, humidity: float = 75.0) -> DataFrame:
     """Readings processed and anomalies among them so far."""
-    reasons = fired_reasons(sensor_rules(temperature, humidity))
-    return readings.agg(
-        F.count("*").alias("processed"), F.count_if(F.size(reasons) > 0).alias("anomalies")
-    )
+    anomalous = any_fired(sensor_rules(temperature, humidity))
+    return readings.agg(F.count("*").alias("processed"), F.count_if(anomalous).alias("anomalies"))
 
 
 def running_metrics(sensors: DataFrame, transactions: DataFrame, tie: str = "sensor_id") -> DataFrame:

@@ -1,0 +1,135 @@
+"""The physical plans, not only the results, are what they should be."""
+
+import pytest
+
+from millrace import operators as op
+from millrace.plans import sizing
+from millrace.plans.batch_queries import BATCH
+from millrace.session import shared_dir
+
+
+@pytest.mark.parametrize("name", sorted(BATCH))
+def test_no_cross_join_and_no_row_python(spark, sf_dir, plan, name):
+    text = plan(BATCH[name](spark, sf_dir))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert operator not in text
+
+
+def lineitem(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+
+
+def test_filter_and_columns_reach_the_scan(spark, sf_dir, plan):
+    text = plan(BATCH["select_filter"](spark, sf_dir))
+    assert "GreaterThan(o_totalprice,300000.0)" in text
+    assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in text
+    assert "Exchange" not in text
+
+
+def test_profile_reads_four_columns_and_aggregates_before_the_exchange(spark, sf_dir, plan):
+    text = plan(BATCH["key_profile"](spark, sf_dir))
+    assert "ReadSchema: struct<l_linenumber:int,l_quantity:double,l_extendedprice:double,l_tax:double>" in text
+    assert text.index("Exchange hashpartitioning") < text.index("partial_count")
+
+
+def test_top_k_does_not_sort_everything(spark, sf_dir, plan):
+    text = plan(BATCH["top_k_filtered"](spark, sf_dir))
+    assert "TakeOrderedAndProject" in text and "Exchange" not in text
+
+
+def test_join_counts_join_one_row_per_key(spark, sf_dir, plan):
+    text = plan(BATCH["factorised_join_count"](spark, sf_dir))
+    assert text.count("partial_count(1)") == 2
+    assert plan(BATCH["self_join_count"](spark, sf_dir)).count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name, k", [("first_k_per_key", 10), ("latest_versions", 3)])
+def test_rank_limits_run_on_both_sides_of_the_exchange(spark, sf_dir, plan, name, k):
+    text = plan(BATCH[name](spark, sf_dir))
+    assert f"row_number(), {k}, Partial" in text and f"row_number(), {k}, Final" in text
+
+
+def test_rank_limit_beyond_the_default_threshold_stays_map_side(spark, sf_dir, plan):
+    assert "row_number(), 5000, Partial" in plan(op.rank_limit(lineitem(spark, sf_dir), ["l_suppkey"], ["l_orderkey"], 5000))
+
+
+def test_placement_report_moves_no_rows(spark, sf_dir, plan):
+    text = plan(BATCH["key_distribution"](spark, sf_dir))
+    assert "ReadSchema: struct<user_id:bigint>" in text
+    assert "REPARTITION" not in text
+
+
+def test_measured_side_that_fits_spares_the_large_frame_a_shuffle(spark, sf_dir, plan, monkeypatch):
+    monkeypatch.setattr(sizing, "small_by_estimate", lambda df: False)
+    text = plan(op.above_group_average(lineitem(spark, sf_dir), "l_partkey", "l_quantity"))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_side_that_does_not_fit_is_not_broadcast(spark, sf_dir, plan, monkeypatch):
+    monkeypatch.setattr(sizing, "small_by_estimate", lambda df: False)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(op.above_group_average(lineitem(spark, sf_dir), "l_partkey", "l_quantity"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" in text and "BroadcastExchange" not in text
+    # Both sides reach the join through exchanges that AQE may split.
+    assert text.count("ENSURE_REQUIREMENTS") == 2 and "HashAggregate" not in text
+
+
+def test_everything_shared_lives_in_the_configured_folder(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.fixture
+def splitting(spark):
+    """Sizes at which AQE takes a partition of a small test for a skewed one; broadcasts are off."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def one_hot_key(spark, rows=200_000):
+    return spark.range(0, rows, 1, 8).selectExpr(
+        "id AS n", "CASE WHEN id % 3 = 0 THEN 0 ELSE pmod(hash(id), 5000) END AS k", "CAST(pmod(hash(id, 1), 100) AS DOUBLE) AS v"
+    )
+
+
+@pytest.mark.parametrize("which", ["above_group_average", "dim_join", "in_other"])
+def test_hot_key_of_a_sort_merge_join_is_split(spark, plan, splitting, monkeypatch, which):
+    monkeypatch.setattr(sizing, "small_by_estimate", lambda df: False)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
+    df = one_hot_key(spark)
+    dim = spark.range(5000).selectExpr("CAST(id AS INT) AS k", "id * 2 AS d")
+    result = {
+        "above_group_average": lambda: op.above_group_average(df, "k", "v"),
+        "dim_join": lambda: op.dim_join(df, dim, "k"),
+        "in_other": lambda: op.in_other(df, dim, "k"),
+    }[which]()
+    rows = result.collect()
+    assert "SortMergeJoin(skew=true)" in plan(result)
+    if which != "above_group_average":
+        assert len(rows) == 200_000
+
+
+def test_hot_partition_value_is_written_by_several_tasks(spark, splitting, tmp_path):
+    from millrace.sinks import write_bucketed, write_partitioned
+
+    df = one_hot_key(spark).selectExpr("n", "k", "v", "IF(k = 0, 'hot', 'cold') AS p")
+    write_partitioned(df, str(tmp_path / "p"), ["p"])
+    assert len(list((tmp_path / "p" / "p=hot").glob("*.parquet"))) > 1
+    table = write_bucketed(df, "hot_buckets", 4, "k", str(tmp_path / "b"))
+    assert len(list((tmp_path / "b").glob("*.parquet"))) > 4
+    assert table.count() == 200_000
