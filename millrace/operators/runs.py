@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from millrace.plans.sizing import GROUP_ROWS, oversized_groups, rows_in_oversized_groups, same
-from millrace.session import materialise
+from millrace.plans.sizing import GROUP_ROWS, oversized_groups, same
+from millrace.session import MAX_SHUFFLE_WIDTH, materialise
 
 
 def consecutive_breaches(
@@ -30,32 +30,34 @@ def consecutive_breaches(
     """
     flagged = _flagged(df, keys, breach, carried)
     order = ["_live", *order]
-    hot_rows = rows_in_oversized_groups(flagged, keys, group_rows)
+    by_key = Window.partitionBy(*keys).orderBy(*order)
+    hot = oversized_groups(flagged, keys, group_rows).persist()
+    hot_rows = hot.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     if not hot_rows:
-        return _nth(flagged, _by(keys, order), n).select(*df.columns)
+        hot.unpersist()
+        return flagged.withColumn("_hit", _nth(by_key, n)).filter("_hit").select(*df.columns)
 
-    hot = materialise(oversized_groups(flagged, keys, group_rows))
     hot_keys = F.broadcast(hot.select(*(F.col(k).alias(f"_hot_{k}") for k in keys)))
     is_hot = same([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
-    cold = flagged.join(hot_keys, is_hot, "left_anti")
+    cold = flagged.join(hot_keys, is_hot, "left_anti").withColumn("_hit", _nth(by_key, n))
 
-    # Range bounds are sampled, so they are fixed in the shared folder before two plans read them.
-    cut = materialise(
+    in_range = Window.partitionBy(*keys, "_range").orderBy(*order)
+    placed = (
         flagged.join(hot_keys, is_hot, "left_semi")
-        .repartitionByRange(hot_rows // group_rows + 1, *keys, *order)
+        .repartitionByRange(min(hot_rows // group_rows + 1, MAX_SHUFFLE_WIDTH), *keys, *order)
         .withColumn("_range", F.spark_partition_id())
+        .withColumn("_hit", _nth(in_range, n))
+        .withColumn("_head", F.lag(F.lit(1), n).over(in_range).isNull())
+        .withColumn("_tail", F.lead(F.lit(1), n).over(in_range).isNull())
     )
-    in_range = _by([*keys, "_range"], order)
-    backwards = Window.partitionBy(*keys, "_range").orderBy(*(F.desc(c) for c in order))
-    placed = cut.withColumn("_at", F.row_number().over(in_range))
-    inner = _nth(placed, in_range, n).filter(F.col("_at") > n)
-    # First and last n rows of every range: the last rows of one directly precede the first of the next.
-    edges = placed.withColumn("_to_end", F.row_number().over(backwards)).filter(
-        (F.col("_at") <= n) | (F.col("_to_end") <= n)
-    )
-    outer = _nth(edges, _by(keys, order), n).filter(F.col("_at") <= n)
-    hits = _nth(cold, _by(keys, order), n).select(*df.columns)
-    return hits.unionByName(inner.select(*df.columns)).unionByName(outer.select(*df.columns))
+    # Range bounds come from a sample, so what is read twice is fixed once: hits, and the rows around cuts.
+    kept = materialise(placed.filter(F.col("_hit") | F.col("_head") | F.col("_tail")))
+    inner = kept.filter(F.col("_hit") & ~F.col("_head"))
+    # The last n rows of a range directly precede the first n of the next one.
+    edges = kept.filter(F.col("_head") | F.col("_tail")).withColumn("_hit", _nth(by_key, n))
+    parts = (cold.filter("_hit"), inner, edges.filter(F.col("_head") & F.col("_hit")))
+    first, second, third = (part.select(*df.columns) for part in parts)
+    return first.unionByName(second).unionByName(third)
 
 
 def trailing_runs(
@@ -86,14 +88,8 @@ def _flagged(df: DataFrame, keys: list[str], breach: Column, carried: DataFrame
     return flagged.unionByName(earlier.withColumn("_live", F.lit(False)), allowMissingColumns=True)
 
 
-def _by(keys: list[str], order: list[str]) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(*order)
-
-
-def _nth(df: DataFrame, ordered: WindowSpec, n: int) -> DataFrame:
-    """Live rows where exactly `n` breaches in a row end: the last n are breaches, the one before is not."""
+def _nth(ordered: WindowSpec, n: int) -> Column:
+    """Whether exactly `n` breaches in a row end at a live row: the last n are breaches, the one before is not."""
     last_n = F.sum("_breach").over(ordered.rowsBetween(1 - n, 0))
     before = F.coalesce(F.lag("_breach", n).over(ordered), F.lit(0))
-    return df.withColumn("_last_n", last_n).withColumn("_before", before).filter(
-        (F.col("_last_n") == n) & (F.col("_before") == 0) & F.col("_live")
-    )
+    return (last_n == n) & (before == 0) & F.col("_live")

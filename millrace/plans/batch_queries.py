@@ -328,18 +328,19 @@ def increment_first_set(spark, sf_dir):
 
 @query
 def log_error_top5(spark, sf_dir):
-    logs = log_fields(roles.log_text(table(spark, sf_dir, "events")))
+    logs = log_fields(roles.log_text(table(spark, sf_dir, "events")), containing="error")
     return op.top_error_services(logs, 5)
 
 
 @query
 def log_error_services(spark, sf_dir):
-    return op.distinct_services(log_fields(roles.log_text(table(spark, sf_dir, "events"))))
+    logs = log_fields(roles.log_text(table(spark, sf_dir, "events")), containing="error")
+    return op.distinct_services(logs)
 
 
 @query
 def log_error_report(spark, sf_dir):
-    logs = log_fields(roles.log_text(table(spark, sf_dir, "events")))
+    logs = log_fields(roles.log_text(table(spark, sf_dir, "events")), containing="error")
     path = scratch_path(spark, "report")
     write_csv_report(op.top_error_services(logs, 5), path)
     return read_csv(spark, path, "Service STRING, Occurrences BIGINT")

@@ -12,7 +12,7 @@ from millrace.session import materialise, plan_bytes, size_setting
 BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD = 64
 # Rows of one key that a single task may sort before the key is split.
-GROUP_ROWS = 5_000_000
+GROUP_ROWS = 2_000_000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -59,8 +59,3 @@ def sized_join(df: DataFrame, side: DataFrame, on: list[str] | Column, how: str)
 def oversized_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     """Keys with more than `limit` rows and their `_rows`; at most total rows / limit of them."""
     return df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
-
-
-def rows_in_oversized_groups(df: DataFrame, keys: list[str], limit: int) -> int:
-    """Rows that belong to keys with more than `limit` of them; one map-side aggregated pass over the keys."""
-    return oversized_groups(df, keys, limit).agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]

@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 LOG_LINE = r"^(\w{3}\s+\d+ [\d:]{8}) (\S+) ([^\s\[:]+)(?:\[\d+\])?: (.*)$"
 
 
-def read_logs(spark: SparkSession, path: str) -> DataFrame:
+def read_logs(spark: SparkSession, path: str, containing: str | None = None) -> DataFrame:
     """Log files, one row per line; text files split, so a large file is read by many tasks."""
-    return log_fields(spark.read.text(path))
+    return log_fields(spark.read.text(path), containing=containing)
 
 
-def log_fields(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Extract logged_at, host, service and message; lines of another layout are dropped."""
+def log_fields(lines: DataFrame, column: str = "value", containing: str | None = None) -> DataFrame:
+    """Extract logged_at, host, service and message; lines of another layout are dropped.
+
+    With `containing`, lines without that text, in any case, are dropped before the costlier pattern
+    runs on them.
+    """
+    if containing:
+        lines = lines.filter(F.lower(column).contains(containing.lower()))
     part = [F.regexp_extract(column, LOG_LINE, group) for group in range(1, 5)]
     return lines.filter(F.col(column).rlike(LOG_LINE)).select(
         part[0].alias("logged_at"), part[1].alias("host"), part[2].alias("service"), part[3].alias("message")

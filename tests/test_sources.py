@@ -135,6 +135,9 @@ def test_logs(spark, tmp_path):
     assert [tuple(r) for r in top_error_services(logs).collect()] == [("cron", 2), ("kernel", 1)]
     assert [tuple(r) for r in top_error_services(logs, 1).collect()] == [("cron", 2)]
     assert sorted(r[0] for r in distinct_services(logs).collect()) == ["cron", "kernel"]
+    only = read_logs(spark, str(tmp_path / "syslog"), containing="Error")
+    assert only.count() == 3
+    assert top_error_services(only).collect() == top_error_services(logs).collect()
 
 
 def test_error_ties_go_by_name(spark):
