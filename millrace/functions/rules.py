@@ -13,6 +13,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The texts of reasons and alerts, and the thresholds that apply unless others are given.
+HIGH_TEMPERATURE = ("High temp: ", "°C")
+CRITICAL = "Critical status"
+HIGH_HUMIDITY = ("High humidity: ", "%")
+ALERT = ("ALERT: ", " - temp=", " status=")
+ANOMALY_TEMPERATURE = 32.0
+ANOMALY_HUMIDITY = 75.0
+ALERT_TEMPERATURE = 30.0
+
+
 class Rule(NamedTuple):
     """A condition and the text it adds when it holds; a NULL condition does not hold."""
 
@@ -20,18 +30,19 @@ class Rule(NamedTuple):
     reason: Column
 
 
-def sensor_rules(temperature: float = 32.0, humidity: float = 75.0) -> list[Rule]:
+def _measure(name: str, before_and_after: tuple[str, str]) -> Column:
+    before, after = map(F.lit, before_and_after)
+    return F.concat(before, F.col(name).cast("string"), after)
+
+
+def sensor_rules(
+    temperature: float = ANOMALY_TEMPERATURE, humidity: float = ANOMALY_HUMIDITY
+) -> list[Rule]:
     """Rules for sensor readings, in the order their reasons are listed."""
     return [
-        Rule(
-            F.col("temperature") > temperature,
-            F.concat(F.lit("High temp: "), F.col("temperature").cast("string"), F.lit("°C")),
-        ),
-        Rule(F.col("status") == "critical", F.lit("Critical status")),
-        Rule(
-            F.col("humidity") > humidity,
-            F.concat(F.lit("High humidity: "), F.col("humidity").cast("string"), F.lit("%")),
-        ),
+        Rule(F.col("temperature") > temperature, _measure("temperature", HIGH_TEMPERATURE)),
+        Rule(F.col("status") == "critical", F.lit(CRITICAL)),
+        Rule(F.col("humidity") > humidity, _measure("humidity", HIGH_HUMIDITY)),
     ]
 
 
@@ -45,18 +56,12 @@ def fired_reasons(rules: list[Rule]) -> Column:
     return F.array_compact(F.array(*(F.when(rule.condition, rule.reason) for rule in rules)))
 
 
-def alert_condition(temperature: float = 30.0) -> Column:
+def alert_condition(temperature: float = ALERT_TEMPERATURE) -> Column:
     """Hot or critical. By three-valued logic a critical row without a temperature passes."""
     return (F.col("temperature") > temperature) | (F.col("status") == "critical")
 
 
 def alert_text() -> Column:
     """Message text of an alert; NULL if any part of it is NULL."""
-    return F.concat(
-        F.lit("ALERT: "),
-        F.col("sensor_id"),
-        F.lit(" - temp="),
-        F.col("temperature").cast("string"),
-        F.lit(" status="),
-        F.col("status"),
-    )
+    parts = zip(ALERT, ("sensor_id", "temperature", "status"), strict=True)
+    return F.concat(*(c for text, name in parts for c in (F.lit(text), F.col(name).cast("string"))))

@@ -235,6 +235,7 @@ ORACLE: dict[str, str] = {
     "json_rejects": """
         SELECT event_id, rtrim(props, '}') AS value FROM events WHERE event_type = 'view'""",
     "anomaly_reasons": f"SELECT event_id, sensor_id, reasons FROM ({ANOMALIES})",
+    "anomaly_stream": f"SELECT event_id, sensor_id, reasons FROM ({ANOMALIES})",
     "anomaly_numbers": f"""
         SELECT event_id, ROW_NUMBER() OVER (ORDER BY ts, event_id) AS anomaly_no FROM ({ANOMALIES})""",
     "alert_rows": ALERTS,

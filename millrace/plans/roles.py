@@ -11,11 +11,11 @@ from millrace.sources import read_table
 PROPS = "k INT"
 
 
-def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+def tables(spark: SparkSession, sf_dir: str, *names: str, streaming: bool = False) -> list[DataFrame]:
     """Given tables, with the session set up for a query over all of them."""
     configure(spark)
     frames = [read_table(spark, f"{sf_dir}/{name}.parquet") for name in names]
-    fit_to_inputs(spark, *frames)
+    fit_to_inputs(spark, *frames, streaming=streaming)
     return frames
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators import detect_anomalies
 from millrace.plans import roles
 from millrace.plans.batch_queries import Query
-from millrace.plans.roles import table
+from millrace.plans.roles import table, tables
 from millrace.session import scratch_path
 from millrace.sinks import latest_updates, read_snapshot, write_files, write_snapshot
 from millrace.sources import stream_table
@@ -34,8 +35,8 @@ def query(run: Query) -> Query:
 
 
 def _event_stream(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    return stream_table(spark, f"{sf_dir}/events.parquet", schema)
+    (events,) = tables(spark, sf_dir, "events", streaming=True)
+    return stream_table(spark, f"{sf_dir}/events.parquet", events.schema)
 
 
 def _reading_stream(spark, sf_dir, keep=()):
@@ -73,6 +74,15 @@ def critical_window_updates_stream(spark, sf_dir):
     return flat_window(latest_updates(spark, f"{path}/counts", ["window", "sensor_id"]))
 
 
+@query
+def anomaly_stream(spark, sf_dir):
+    path = scratch_path(spark, "stream")
+    anomalies = detect_anomalies(_reading_stream(spark, sf_dir, keep=("event_id",)))
+    chosen = anomalies.select("event_id", "sensor_id", "reasons")
+    write_files(chosen, f"{path}/out", f"{path}/checkpoint", DRAIN).awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
 @query
 def anomaly_counts_stream(spark, sf_dir):
     return _snapshot(spark, anomaly_counts(_reading_stream(spark, sf_dir)))

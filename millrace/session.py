@@ -22,11 +22,11 @@ SETTINGS = {
     ),
 }
 
-SPLIT_BYTES = 128 << 20
 MAX_SPLIT_BYTES = 1 << 30
 MAX_TASKS = 200_000
 SHUFFLE_TARGET_BYTES = 256 << 20
 MAX_SHUFFLE_WIDTH = 20_000
+MAX_STREAM_WIDTH = 2_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -67,20 +67,35 @@ def size_setting(text: str) -> int:
     return int(number[:-1]) << scale[number[-1]] if number[-1] in scale else int(number)
 
 
-def fit_to_inputs(spark: SparkSession, *inputs: DataFrame) -> tuple[int, int]:
+def _asked(spark: SparkSession, name: str) -> str:
+    """What the session itself asks for in a setting that `_fit` changes."""
+    current = spark.conf.get(name)
+    if current != spark.conf.get(f"millrace.fitted.{name}", None):
+        spark.conf.set(f"millrace.asked.{name}", current)
+    return spark.conf.get(f"millrace.asked.{name}")
+
+
+def _fit(spark: SparkSession, name: str, value: int | str) -> None:
+    spark.conf.set(name, str(value))
+    spark.conf.set(f"millrace.fitted.{name}", str(value))
+
+
+def fit_to_inputs(spark: SparkSession, *inputs: DataFrame, streaming: bool = False) -> tuple[int, int]:
     """Size scan splits and shuffle widths for a query over `inputs`; returns both.
 
-    Splits grow from the default so that no scan has more than MAX_TASKS tasks. AQE starts its shuffles
-    with enough partitions for the inputs and merges small ones back. Neither falls below what the session
-    asks for. MAX_SHUFFLE_WIDTH is where map x reduce blocks start to cost more than larger partitions do.
+    Splits grow so that no scan has more than MAX_TASKS tasks. AQE starts its shuffles with enough
+    partitions for the inputs and merges small ones back. A stream keeps the width it starts with, and a state
+    store per partition, so it gets the width itself, up to MAX_STREAM_WIDTH. Nothing falls below what the
+    session asks for. MAX_SHUFFLE_WIDTH is where map x reduce blocks start to cost more than larger partitions.
     """
+    split_asked = _asked(spark, "spark.sql.files.maxPartitionBytes")
+    width_asked = _asked(spark, "spark.sql.shuffle.partitions")
     total = sum(plan_bytes(df) for df in inputs)
-    split = max(SPLIT_BYTES, min(total // MAX_TASKS, MAX_SPLIT_BYTES))
-    width = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        min(total // SHUFFLE_TARGET_BYTES, MAX_SHUFFLE_WIDTH),
-    )
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    split = max(size_setting(split_asked), min(total // MAX_TASKS, MAX_SPLIT_BYTES))
+    limit = MAX_STREAM_WIDTH if streaming else MAX_SHUFFLE_WIDTH
+    width = max(int(width_asked), min(total // SHUFFLE_TARGET_BYTES, limit))
+    _fit(spark, "spark.sql.files.maxPartitionBytes", split)
+    _fit(spark, "spark.sql.shuffle.partitions", width if streaming else width_asked)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
     return split, width
 

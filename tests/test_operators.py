@@ -336,3 +336,20 @@ def test_sizes(spark, sf_dir):
     assert fit_to_inputs(spark, orders) == (128 << 20, 8)
     assert sizing.measured_bytes(orders.limit(0)) == 0
     assert sizing.measured_bytes(spark.range(10)) > 10 * 64
+
+
+def test_inputs_raise_sizes_and_give_them_back(spark, monkeypatch):
+    from millrace import session
+
+    small, huge = spark.range(1), spark.range(1)
+    monkeypatch.setattr(session, "plan_bytes", lambda df: 100 << 40 if df is huge else 1)
+    split, width = fit_to_inputs(spark, huge, small)
+    assert split == (100 << 40) // session.MAX_TASKS and width == session.MAX_SHUFFLE_WIDTH
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert fit_to_inputs(spark, huge, streaming=True)[1] == session.MAX_STREAM_WIDTH
+    assert spark.conf.get("spark.sql.shuffle.partitions") == str(session.MAX_STREAM_WIDTH)
+    assert fit_to_inputs(spark, small) == (128 << 20, 8)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    assert fit_to_inputs(spark, small)[1] == 6
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
