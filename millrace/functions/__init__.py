@@ -5,6 +5,7 @@ from millrace.functions.rules import (
     alert_text,
     any_fired,
     fired_reasons,
+    over_limits,
     sensor_rules,
 )
 
@@ -16,5 +17,6 @@ __all__ = [
     "bucket_of",
     "fired_reasons",
     "in_sample",
+    "over_limits",
     "sensor_rules",
 ]

@@ -21,6 +21,8 @@ ALERT = ("ALERT: ", " - temp=", " status=")
 ANOMALY_TEMPERATURE = 32.0
 ANOMALY_HUMIDITY = 75.0
 ALERT_TEMPERATURE = 30.0
+PROCESS_CPU_PCT = 5.0
+PROCESS_MEMORY_MB = 50.0
 
 
 class Rule(NamedTuple):
@@ -65,3 +67,8 @@ def alert_text() -> Column:
     """Message text of an alert; NULL if any part of it is NULL."""
     parts = zip(ALERT, ("sensor_id", "temperature", "status"), strict=True)
     return F.concat(*(c for text, name in parts for c in (F.lit(text), F.col(name).cast("string"))))
+
+
+def over_limits(cpu_pct: float = PROCESS_CPU_PCT, memory_mb: float = PROCESS_MEMORY_MB) -> Column:
+    """Whether a process sample is over the CPU or the memory limit."""
+    return (F.col("cpu_pct") > cpu_pct) | (F.col("mem_mb") > memory_mb)

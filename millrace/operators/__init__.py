@@ -17,6 +17,7 @@ from millrace.operators.rows import (
     detect_anomalies,
     flag_reasons,
     numbered,
+    process_alerts,
     sample_rows,
     size_gate,
 )
@@ -45,6 +46,7 @@ __all__ = [
     "limit_rows",
     "numbered",
     "preview",
+    "process_alerts",
     "rank_limit",
     "repartition_by_key",
     "repartition_evenly",

@@ -8,7 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.functions import Rule, alert_condition, alert_text, any_fired, fired_reasons, in_sample, sensor_rules
+from millrace.functions import (
+    Rule,
+    alert_condition,
+    alert_text,
+    any_fired,
+    fired_reasons,
+    in_sample,
+    over_limits,
+    sensor_rules,
+)
+from millrace.functions.rules import (
+    ALERT_TEMPERATURE,
+    ANOMALY_HUMIDITY,
+    ANOMALY_TEMPERATURE,
+    PROCESS_CPU_PCT,
+    PROCESS_MEMORY_MB,
+)
 from millrace.session import materialise
 
 
@@ -26,7 +42,9 @@ def flag_reasons(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.filter(any_fired(rules)).withColumn("reasons", fired_reasons(rules))
 
 
-def detect_anomalies(df: DataFrame, temperature: float = 32.0, humidity: float = 75.0) -> DataFrame:
+def detect_anomalies(
+    df: DataFrame, temperature: float = ANOMALY_TEMPERATURE, humidity: float = ANOMALY_HUMIDITY
+) -> DataFrame:
     """Readings that break at least one sensor rule, with their reasons joined into one text."""
     flagged = flag_reasons(df, sensor_rules(temperature, humidity))
     return flagged.withColumn("reasons", F.array_join("reasons", ", "))
@@ -53,12 +71,19 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "anomaly_no")
     )
 
 
-def build_alerts(df: DataFrame, temperature: float = 30.0) -> DataFrame:
+def build_alerts(df: DataFrame, temperature: float = ALERT_TEMPERATURE) -> DataFrame:
     """Hot or critical readings with their alert text."""
     alerts = df.filter(alert_condition(temperature)).select("sensor_id", "temperature", "status")
     return alerts.withColumn("alert_msg", alert_text())
 
 
+def process_alerts(
+    samples: DataFrame, cpu_pct: float = PROCESS_CPU_PCT, memory_mb: float = PROCESS_MEMORY_MB
+) -> DataFrame:
+    """Process samples over a limit."""
+    return samples.filter(over_limits(cpu_pct, memory_mb)).select("pid", "name", "cpu_pct", "mem_pct", "sampled_at")
+
+
 class Gated(NamedTuple):
     """Rows within the limit, rows over it, and one row with counts and totals of both."""
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import operators as op
+from millrace.functions import over_limits
 from millrace.plans import roles
 from millrace.plans.roles import table, tables
 from millrace.session import scratch_path
@@ -388,6 +389,19 @@ def anomaly_numbers(spark, sf_dir):
     )
 
 
+@query
+def process_alerts(spark, sf_dir):
+    return op.process_alerts(roles.process_samples(table(spark, sf_dir, "events")), cpu_pct=50.0)
+
+
+@query
+def process_breaches(spark, sf_dir):
+    samples = roles.process_samples(table(spark, sf_dir, "events"))
+    over = over_limits(cpu_pct=50.0, memory_mb=50.0)
+    breaches = op.consecutive_breaches(samples, ["pid"], ["sampled_at", "event_id"], over, 3)
+    return breaches.select("pid", "name", "cpu_pct", "mem_pct", "sampled_at")
+
+
 @query
 def alert_rows(spark, sf_dir):
     readings = roles.readings(table(spark, sf_dir, "events"))

@@ -114,6 +114,12 @@ BREACHES = """
         FROM marked WHERE breach)
     SELECT user_id, ts, event_id, value FROM placed WHERE place = 3"""
 
+SAMPLES = """(
+    SELECT user_id AS pid, event_type AS name, value AS cpu_pct,
+           CAST(json_extract(props, '$.k') AS DOUBLE) / 10 AS mem_pct, ts AS sampled_at, event_id,
+           value > 50 OR CAST(json_extract(props, '$.k') AS DOUBLE) > 50 AS "over"
+    FROM events)"""
+
 LOG_ERRORS = """
     SELECT 'app-' || CAST(user_id AS VARCHAR) AS "Service", COUNT(*) AS "Occurrences"
     FROM events WHERE event_type = 'error' GROUP BY 1
@@ -238,6 +244,17 @@ ORACLE: dict[str, str] = {
     "anomaly_stream": f"SELECT event_id, sensor_id, reasons FROM ({ANOMALIES})",
     "anomaly_numbers": f"""
         SELECT event_id, ROW_NUMBER() OVER (ORDER BY ts, event_id) AS anomaly_no FROM ({ANOMALIES})""",
+    "process_alerts": f"""
+        SELECT pid, name, cpu_pct, mem_pct, sampled_at FROM {SAMPLES} WHERE "over\"""",
+    "process_breaches": f"""
+        WITH marked AS (
+            SELECT *, SUM(CASE WHEN "over" THEN 0 ELSE 1 END)
+                OVER (PARTITION BY pid ORDER BY sampled_at, event_id ROWS UNBOUNDED PRECEDING) AS island
+            FROM {SAMPLES}),
+        placed AS (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY pid, island ORDER BY sampled_at, event_id) AS place
+            FROM marked WHERE "over")
+        SELECT pid, name, cpu_pct, mem_pct, sampled_at FROM placed WHERE place = 3""",
     "alert_rows": ALERTS,
     "alert_messages_batch": MESSAGES,
     "alert_stream": MESSAGES,

@@ -72,6 +72,32 @@ def purchases(events: DataFrame) -> DataFrame:
     return events.filter(F.col("event_type") == "purchase").select(F.col("value").alias("amount"))
 
 
+def purchase_messages(events: DataFrame) -> DataFrame:
+    """Purchase events as the binary JSON messages of a topic."""
+    message = F.struct(
+        F.col("event_id").cast("string").alias("transaction_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("value").alias("amount"),
+    )
+    bought = events.filter(F.col("event_type") == "purchase")
+    return bought.select(F.to_json(message).cast("binary").alias("value"))
+
+
+def process_samples(events: DataFrame) -> DataFrame:
+    """Events as process samples: the value is the CPU share, the property the memory."""
+    memory = F.from_json("props", PROPS).getField("k").cast("double")
+    return events.select(
+        F.col("user_id").alias("pid"),
+        F.col("event_type").alias("name"),
+        F.col("value").alias("cpu_pct"),
+        (memory / 10).alias("mem_pct"),
+        memory.alias("mem_mb"),
+        F.col("ts").alias("sampled_at"),
+        "event_id",
+    )
+
+
 def documents(events: DataFrame) -> DataFrame:
     """Events as nested documents."""
     return events.select(

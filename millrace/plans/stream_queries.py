@@ -17,6 +17,7 @@ from millrace.streaming import (
     critical_window_counts,
     flat_window,
     parse_readings,
+    parse_transactions,
     partial_aggregate,
     read_breaches,
     running_metrics,
@@ -91,7 +92,7 @@ def anomaly_counts_stream(spark, sf_dir):
 @query
 def running_metrics_stream(spark, sf_dir):
     sensors = _reading_stream(spark, sf_dir, keep=("event_id",))
-    transactions = roles.purchases(_event_stream(spark, sf_dir))
+    transactions = parse_transactions(roles.purchase_messages(_event_stream(spark, sf_dir)))
     metrics = _snapshot(spark, running_metrics(sensors, transactions, tie="event_id"))
     return metrics.withColumn("total_revenue", F.round("total_revenue", 2))
 

@@ -1,4 +1,4 @@
-from millrace.streaming.alerts import alert_messages, parse_readings, start_alerts_and_counts
+from millrace.streaming.alerts import alert_messages, parse_readings, parse_transactions, start_alerts_and_counts
 from millrace.streaming.breaches import read_breaches, start_breach_stream
 from millrace.streaming.metrics import anomaly_counts, running_metrics
 from millrace.streaming.serving import partial_aggregate, serving_view
@@ -10,6 +10,7 @@ __all__ = [
     "critical_window_counts",
     "flat_window",
     "parse_readings",
+    "parse_transactions",
     "partial_aggregate",
     "read_breaches",
     "running_metrics",

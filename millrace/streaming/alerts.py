@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions.rules import ALERT_TEMPERATURE
 from millrace.operators.rows import build_alerts
 from millrace.sinks.streams import to_messages, write_files, write_topic, write_update_log
 from millrace.sources.messages import decode_json
-from millrace.sources.schemas import SENSOR_READING
+from millrace.sources.schemas import SENSOR_READING, TRANSACTION
 from millrace.streaming.windows import critical_window_counts
 
 
@@ -17,7 +18,12 @@ def parse_readings(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return decode_json(raw, SENSOR_READING, keep=keep)
 
 
-def alert_messages(readings: DataFrame, temperature: float = 30.0) -> DataFrame:
+def parse_transactions(raw: DataFrame) -> DataFrame:
+    """Transactions with `event_time` from a stream or table of messages."""
+    return decode_json(raw, TRANSACTION)
+
+
+def alert_messages(readings: DataFrame, temperature: float = ALERT_TEMPERATURE) -> DataFrame:
     """Alerts keyed by sensor, as JSON. Stateless: every task handles its own messages."""
     alerts = build_alerts(readings, temperature)
     return to_messages(alerts, "sensor_id", ["sensor_id", "temperature", "status", "alert_msg"])

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import any_fired, sensor_rules
+from millrace.functions.rules import ANOMALY_HUMIDITY, ANOMALY_TEMPERATURE
 
 
-def anomaly_counts(readings: DataFrame, temperature: float = 32.0, humidity: float = 75.0) -> DataFrame:
+def anomaly_counts(
+    readings: DataFrame, temperature: float = ANOMALY_TEMPERATURE, humidity: float = ANOMALY_HUMIDITY
+) -> DataFrame:
     """Readings processed and anomalies among them so far."""
     anomalous = any_fired(sensor_rules(temperature, humidity))
     return readings.agg(F.count("*").alias("processed"), F.count_if(anomalous).alias("anomalies"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import operators as op
+from millrace.functions import over_limits
 from millrace.operators import ranking
 from millrace.plans import sizing
 from millrace.session import fit_to_inputs, plan_bytes, size_setting
@@ -228,6 +229,13 @@ def test_latest_versions(spark):
     assert op.latest_versions(df, ["row"], [F.desc("ts")], 2).count() == 3
 
 
+def test_versions_of_cells(spark):
+    cells = [("r1", "info", "city", 1, "Oslo"), ("r1", "info", "city", 2, "Rome"), ("r1", "bill", "sum", 1, "9")]
+    df = spark.createDataFrame(cells, "row_key STRING, family STRING, qualifier STRING, ts INT, value STRING")
+    latest = op.latest_versions(df, ["row_key", "family", "qualifier"], [F.desc("ts")])
+    assert tuples(latest.select("family", "value"), "family") == [("bill", "9"), ("info", "Rome")]
+
+
 def test_limits(spark):
     df = spark.range(100)
     assert op.limit_rows(df, 7).count() == 7
@@ -292,6 +300,22 @@ def test_carried_runs_join_the_batches(spark, group_rows):
     assert sorted(found) == brute_force_hits(rows, 3)
 
 
+def test_process_samples(spark):
+    samples = [
+        (1, "a", 5.0, 1.0, 50.0, 1),
+        (1, "a", 5.1, 1.0, 10.0, 2),
+        (1, "a", 0.0, 9.0, 50.5, 3),
+        (1, "a", 9.0, 9.0, 99.0, 4),
+        (2, "b", None, 1.0, None, 1),
+    ]
+    df = spark.createDataFrame(
+        samples, "pid INT, name STRING, cpu_pct DOUBLE, mem_pct DOUBLE, mem_mb DOUBLE, sampled_at INT"
+    )
+    assert [r.sampled_at for r in op.process_alerts(df).orderBy("sampled_at").collect()] == [2, 3, 4]
+    third = op.consecutive_breaches(df, ["pid"], ["sampled_at"], over_limits())
+    assert [(r.pid, r.sampled_at) for r in third.collect()] == [(1, 4)]
+
+
 # Mutation
 
 
