@@ -404,8 +404,7 @@ def process_breaches(spark, sf_dir):
 
 @query
 def alert_rows(spark, sf_dir):
-    readings = roles.readings(table(spark, sf_dir, "events"))
-    return op.build_alerts(readings).filter(F.col("alert_msg").isNotNull())
+    return op.build_alerts(roles.readings(table(spark, sf_dir, "events")))
 
 
 @query
@@ -478,8 +477,9 @@ def append_replace_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "collection")
     events = table(spark, sf_dir, "events")
     replace_table(events, path)
-    replace_table(events.filter(F.col("event_type") == "error"), path)
-    append_table(events.filter(F.col("event_type") != "error"), path)
+    is_error = F.col("event_type").eqNullSafe("error")
+    replace_table(events.filter(is_error), path)
+    append_table(events.filter(~is_error), path)
     return read_table(spark, path)
 
 

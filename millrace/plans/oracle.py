@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 MASK = 4294967295
 
 
@@ -12,28 +14,30 @@ def _murmur3(source: str, keep: list[str], inputs: list[tuple[str, str]]) -> str
     """
     kept = ", ".join(keep)
     sql = f"SELECT {kept}, {{words}}, CAST(42 AS UBIGINT) AS h FROM {source}"
+    steps: list[tuple[str, str, int]] = []
     words: list[str] = []
-    steps: list[tuple[str, int]] = []
     for at, (expression, kind) in enumerate(inputs):
         value = f"(CAST({expression} AS HUGEINT) + 18446744073709551616) % 18446744073709551616"
         parts = [("lo", f"CAST(({value}) % 4294967296 AS UBIGINT)")]
         if kind == "long":
             parts.append(("hi", f"CAST(({value}) // 4294967296 AS UBIGINT)"))
         words += [f"{text} AS {name}{at}" for name, text in parts]
-        steps += [(f"{name}{at}", 0) for name, _ in parts]
-        steps.append(("", 4 * len(parts)))
+        steps += [("word", f"{name}{at}", 0) for name, _ in parts]
+        steps.append(("end", f"lo{at}", 4 * len(parts)))
     sql = sql.replace("{words}", ", ".join(words))
     names = ", ".join([kept, *(w.rsplit(" AS ", 1)[1] for w in words)])
 
     def step(inner: str, **columns: str) -> str:
-        new = ", ".join(f"{text} AS {name}" for name, text in columns.items())
+        """Recompute columns; `p`, the hash before the current input, is carried along."""
+        new = ", ".join(f"{text} AS {name}" for name, text in {"p": "p", **columns}.items())
         return f"SELECT {names}, {new} FROM ({inner})"
 
     def rotl(x: str, r: int) -> str:
         return f"((({x} * {1 << r}) & {MASK}) | ({x} // {1 << (32 - r)}))"
 
-    for word, length in steps:
-        if word:
+    sql = f"SELECT *, h AS p FROM ({sql})"
+    for kind, word, length in steps:
+        if kind == "word":
             sql = step(sql, h="h", k=f"({word} * 3432918353) & {MASK}")
             sql = step(sql, h="h", k=f"({rotl('k', 15)} * 461845907) & {MASK}")
             sql = step(sql, h="xor(h, k)")
@@ -45,10 +49,19 @@ def _murmur3(source: str, keep: list[str], inputs: list[tuple[str, str]]) -> str
             sql = step(sql, h="xor(h, h // 8192)")
             sql = step(sql, h=f"(h * 3266489909) & {MASK}")
             sql = step(sql, h="xor(h, h // 65536)")
+            # A NULL leaves the hash as it was.
+            sql = step(sql, h=f"CASE WHEN {word} IS NULL THEN p ELSE h END")
+            sql = step(sql, p="h", h="h")
     signed = "CASE WHEN h >= 2147483648 THEN CAST(h AS BIGINT) - 4294967296 ELSE CAST(h AS BIGINT) END"
     return f"SELECT {kept}, {signed} AS h FROM ({sql})"
 
 
+def _half_up(sql: str) -> str:
+    """Round averages half-up on their decimal digits, as Spark does, not on the binary value."""
+    digits = r"CAST(ROUND(CAST(CAST(AVG(\1) AS VARCHAR) AS DECIMAL(38, 15)), 2) AS DOUBLE)"
+    return re.sub(r"ROUND\(AVG\((\w+)\), 2\)", digits, sql)
+
+
 def _pmod(n: int) -> str:
     return f"(((h % {n}) + {n}) % {n})"
 
@@ -72,8 +85,9 @@ ALERTS = f"""
 
 MESSAGES = f"""
     SELECT sensor_id AS key,
-           '{{"sensor_id":"' || sensor_id || '","temperature":' || CAST(temperature AS VARCHAR)
-           || ',"status":"' || status || '","alert_msg":"' || alert_msg || '"}}' AS value
+           '{{' || concat_ws(',', '"sensor_id":"' || sensor_id || '"',
+                             '"temperature":' || CAST(temperature AS VARCHAR),
+                             '"status":"' || status || '"', '"alert_msg":"' || alert_msg || '"') || '}}' AS value
     FROM ({ALERTS})"""
 
 WINDOWS = """
@@ -121,7 +135,7 @@ SAMPLES = """(
     FROM events)"""
 
 LOG_ERRORS = """
-    SELECT 'app-' || CAST(user_id AS VARCHAR) AS "Service", COUNT(*) AS "Occurrences"
+    SELECT 'app-' || COALESCE(CAST(user_id AS VARCHAR), 'unknown') AS "Service", COUNT(*) AS "Occurrences"
     FROM events WHERE event_type = 'error' GROUP BY 1
     ORDER BY "Occurrences" DESC, "Service" LIMIT 5"""
 
@@ -140,6 +154,7 @@ STAMP = """,
 PRIORITY_COUNTS = 'SELECT o_orderpriority, COUNT(*) AS "count" FROM orders GROUP BY o_orderpriority'
 
 LINE_ID = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate"
+LINE_ORDER = LINE_ID.replace(",", " NULLS FIRST,") + " NULLS FIRST"
 
 ORACLE: dict[str, str] = {
     "key_profile": """
@@ -165,7 +180,7 @@ ORACLE: dict[str, str] = {
     "nested_group_topn": """
         SELECT event_type AS type, CAST(json_extract(props, '$.k') AS INTEGER) AS k, COUNT(*) AS "count",
                ROUND(AVG(value), 2) AS avg_value, ROUND(SUM(value), 2) AS total_value
-        FROM events GROUP BY 1, 2 ORDER BY "count" DESC, type, k LIMIT 20""",
+        FROM events GROUP BY 1, 2 ORDER BY "count" DESC, type NULLS FIRST, k NULLS FIRST LIMIT 20""",
     "key_distribution": f"""
         WITH placed AS (
             SELECT CAST({_pmod(16)} AS INTEGER) AS bucket
@@ -180,21 +195,21 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, o_orderdate, o_totalprice AS total_price FROM orders WHERE o_totalprice > 300000""",
     "top_k_filtered": f"""
         SELECT l_extendedprice, {LINE_ID} FROM lineitem WHERE l_extendedprice > 50
-        ORDER BY l_extendedprice DESC, {LINE_ID} LIMIT 1000""",
+        ORDER BY l_extendedprice DESC NULLS LAST, {LINE_ORDER} LIMIT 1000""",
     "alerts_or_filter": """
         SELECT event_id, user_id, event_type, value FROM events WHERE value > 30 OR event_type = 'error'""",
     "filter_limit": f"""
         SELECT {LINE_ID}, l_extendedprice FROM lineitem WHERE l_extendedprice > 50
-        ORDER BY {LINE_ID}, l_extendedprice LIMIT 10000""",
+        ORDER BY {LINE_ORDER}, l_extendedprice LIMIT 10000""",
     "preview_rows": "SELECT * FROM events ORDER BY event_id LIMIT 10",
     "sample_rows": _sample(0.02, 7, ["event_id", "user_id", "value"]),
     "size_gate": """
         SELECT COUNT(*) FILTER (WHERE n_chars <= 5000) AS kept_count,
                CAST(SUM(n_chars) FILTER (WHERE n_chars <= 5000) AS BIGINT) AS kept_total,
-               COUNT(*) FILTER (WHERE n_chars > 5000) AS skipped_count,
-               CAST(SUM(n_chars) FILTER (WHERE n_chars > 5000) AS BIGINT) AS skipped_total
+               COUNT(*) FILTER (WHERE (n_chars <= 5000) IS NOT TRUE) AS skipped_count,
+               CAST(SUM(n_chars) FILTER (WHERE (n_chars <= 5000) IS NOT TRUE) AS BIGINT) AS skipped_total
         FROM documents""",
-    "size_gate_skipped": "SELECT doc_id, n_chars FROM documents WHERE n_chars > 5000",
+    "size_gate_skipped": "SELECT doc_id, n_chars FROM documents WHERE (n_chars <= 5000) IS NOT TRUE",
     "size_gate_kept": "SELECT doc_id, n_chars FROM documents WHERE n_chars <= 5000",
     "sample_join_count": f"""
         SELECT CAST(COUNT(*) AS VARCHAR) AS join_rows
@@ -234,12 +249,14 @@ ORACLE: dict[str, str] = {
     "log_error_top5": LOG_ERRORS,
     "log_error_report": LOG_ERRORS,
     "log_error_services": """
-        SELECT DISTINCT 'app-' || CAST(user_id AS VARCHAR) AS service FROM events WHERE event_type = 'error'""",
+        SELECT DISTINCT 'app-' || COALESCE(CAST(user_id AS VARCHAR), 'unknown') AS service
+        FROM events WHERE event_type = 'error'""",
     "json_decode": f"""
         SELECT event_id, sensor_id, temperature, humidity, status, ts AS event_time FROM {READINGS}""",
     "json_nested_decode": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "json_rejects": """
-        SELECT event_id, rtrim(props, '}') AS value FROM events WHERE event_type = 'view'""",
+        SELECT event_id, rtrim(props, '}') AS value FROM events
+        WHERE event_type = 'view' AND props IS NOT NULL""",
     "anomaly_reasons": f"SELECT event_id, sensor_id, reasons FROM ({ANOMALIES})",
     "anomaly_stream": f"SELECT event_id, sensor_id, reasons FROM ({ANOMALIES})",
     "anomaly_numbers": f"""
@@ -260,8 +277,8 @@ ORACLE: dict[str, str] = {
     "alert_stream": MESSAGES,
     "keyed_messages": """
         SELECT CAST(o_orderkey AS VARCHAR) AS key,
-               '{"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus
-               || '","o_totalprice":' || CAST(o_totalprice AS VARCHAR) || '}' AS value
+               '{' || concat_ws(',', '"o_custkey":' || o_custkey, '"o_orderstatus":"' || o_orderstatus || '"',
+                                '"o_totalprice":' || CAST(o_totalprice AS VARCHAR)) || '}' AS value
         FROM orders""",
     "critical_counts": WINDOWS,
     "critical_window_counts_stream": WINDOWS,
@@ -286,3 +303,5 @@ ORACLE: dict[str, str] = {
                CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
     "csv_roundtrip": "SELECT * FROM customer",
 }
+
+ORACLE = {name: _half_up(sql) for name, sql in ORACLE.items()}

@@ -39,7 +39,7 @@ def drifting(lines: DataFrame) -> list[DataFrame]:
         lines.filter((shipped >= second) & (shipped < third)).withColumn(
             "l_linenumber", F.col("l_linenumber").cast("double")
         ),
-        lines.filter(shipped >= third).select(*reversed(lines.columns)),
+        lines.filter((shipped >= third) | shipped.isNull()).select(*reversed(lines.columns)),
     ]
 
 
@@ -114,16 +114,20 @@ DOCUMENT = "_id BIGINT, userId INT, eventType STRING, value DOUBLE, metadata STR
 
 def log_text(events: DataFrame) -> DataFrame:
     """Events as system log lines; the service is the user."""
+
+    def text(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit("unknown"))
+
     return events.select(
         F.concat(
             F.date_format("ts", "MMM dd HH:mm:ss"),
             F.lit(" node1 app-"),
-            F.col("user_id"),
+            text("user_id"),
             F.lit("["),
             F.col("event_id"),
             F.lit("]: "),
-            F.initcap("event_type"),
+            F.initcap(text("event_type")),
             F.lit(" with value "),
-            F.col("value"),
+            text("value"),
         ).alias("value")
     )
