@@ -10,14 +10,18 @@ ORACLE = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def con(sf_dir):
-    return open_tables(sf_dir)
+def connections():
+    return {}
 
 
+@pytest.mark.parametrize("tables", ["sf_dir", "harsh_dir"])
 @pytest.mark.parametrize("name", sorted(ORACLE))
-def test_query_equals_sql(spark, con, sf_dir, name):
-    columns, rows = spark_result(QUERIES[name](spark, sf_dir))
-    expected_columns, expected_rows = duckdb_result(con, ORACLE[name])
+def test_query_equals_sql(spark, request, connections, name, tables):
+    folder = request.getfixturevalue(tables)
+    if folder not in connections:
+        connections[folder] = open_tables(folder)
+    columns, rows = spark_result(QUERIES[name](spark, folder))
+    expected_columns, expected_rows = duckdb_result(connections[folder], ORACLE[name])
     assert columns == expected_columns
     assert len(rows) == len(expected_rows)
     assert rows == expected_rows
