@@ -1,5 +1,5 @@
 from millrace.sources.logs import log_fields, read_logs
-from millrace.sources.messages import decode_json, rejected_json
+from millrace.sources.messages import decode_json, expanded, rejected_json
 from millrace.sources.schemas import (
     CARD_TRANSACTION,
     DEPARTMENT,
@@ -26,6 +26,7 @@ __all__ = [
     "STUDENT",
     "TRANSACTION",
     "decode_json",
+    "expanded",
     "harmonise_union",
     "log_fields",
     "read_csv",
