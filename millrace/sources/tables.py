@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import json
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Paths whose footers are looked at together.
+FOOTER_THREADS = 8
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet file or folder; filters and column selection reach the scan."""
@@ -33,14 +36,19 @@ def read_drifting(spark: SparkSession, paths: list[str], casts: dict[str, str])
     """Parquet paths whose schemas drift, as one table with the columns of the first path.
 
     One reader over files that hold a column as INT and as DOUBLE fails whatever `mergeSchema` says, so
-    paths are grouped by schema: the plan has one scan per distinct schema, not one per path.
+    paths are grouped by schema: the plan has one scan per distinct schema, not one per path. Each path costs
+    a small job that reads a footer; these run side by side.
     """
-    groups: dict[str, list[str]] = {}
-    for path in paths:
-        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        frames = list(pool.map(spark.read.parquet, paths))
+    groups: dict[str, list[int]] = {}
+    for at, frame in enumerate(frames):
+        groups.setdefault(frame.schema.json(), []).append(at)
     scans = [
-        spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*members)
-        for schema, members in groups.items()
+        frames[first] if not others else spark.read.schema(frames[first].schema).parquet(
+            *(paths[at] for at in (first, *others))
+        )
+        for first, *others in groups.values()
     ]
     return harmonise_union(scans, casts)
 

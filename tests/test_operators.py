@@ -224,7 +224,8 @@ def test_first_k_per_key(spark, request, mode):
 
 
 def test_latest_versions(spark):
-    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", 2, "z"), ("b", 1, "w")], "row STRING, ts INT, v STRING")
+    versions = [("a", 1, "x"), ("a", 3, "y"), ("a", 2, "z"), ("b", 1, "w")]
+    df = spark.createDataFrame(versions, "row STRING, ts INT, v STRING")
     assert tuples(op.latest_versions(df, ["row"], [F.desc("ts")]), "row") == [("a", 3, "y"), ("b", 1, "w")]
     assert op.latest_versions(df, ["row"], [F.desc("ts")], 2).count() == 3
 
@@ -336,7 +337,8 @@ def test_increment_first_sets_the_stamp(spark):
     updates = spark.createDataFrame([("a",)], "k STRING")
     once = op.increment_first(df, updates, "k", ["hi", "lo"], "value", step=10, stamp=F.lit(7.5))
     assert tuples(once, "value") == [(1, 5, "a", 1, None), (2, 1, "b", 3, None), (1, 4, "a", 12, 7.5)]
-    again = op.increment_first(once, spark.createDataFrame([("b",)], "k STRING"), "k", ["hi", "lo"], "value", stamp=F.lit(8.5))
+    later = spark.createDataFrame([("b",)], "k STRING")
+    again = op.increment_first(once, later, "k", ["hi", "lo"], "value", stamp=F.lit(8.5))
     assert tuples(again.select("value", "lastUpdate"), "value") == [(1, None), (4, 8.5), (12, 7.5)]
 
 
@@ -354,7 +356,8 @@ def test_placement(spark):
 
 
 def test_sizes(spark, sf_dir):
-    assert [size_setting(s) for s in ("134217728b", "128MB", "1g", "512k", "-1")] == [1 << 27, 1 << 27, 1 << 30, 1 << 19, -1]
+    sizes = {"134217728b": 1 << 27, "128MB": 1 << 27, "1g": 1 << 30, "512k": 1 << 19, "-1": -1}
+    assert {text: size_setting(text) for text in sizes} == sizes
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     assert 100_000 < plan_bytes(orders) < 10_000_000
     assert fit_to_inputs(spark, orders) == (128 << 20, 8)

@@ -59,6 +59,10 @@ def test_drifting_files_of_one_schema_share_a_scan(spark, monthly, plan):
     assert plan(df).count("FileScan parquet") == 2
 
 
+def test_a_path_given_twice_counts_twice(spark, monthly):
+    assert read_drifting(spark, monthly("m3", "m3", "m1"), {"passengers": "double"}).count() == 4
+
+
 def test_missing_column_is_an_error(spark, monthly):
     with pytest.raises(AnalysisException):
         read_drifting(spark, monthly("m1", "bad"), {"passengers": "double"})
