@@ -77,7 +77,11 @@ def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
 
 
 def write_snapshot(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """The whole result of an aggregate after each of the last batches; read it with `read_snapshot`."""
+    """The whole result of an aggregate after each of the last batches; read it with `read_snapshot`.
+
+    Complete mode keeps every group in the state, also those behind the watermark. For windows on a stream that
+    never ends use `write_update_log`, which lets closed windows go.
+    """
     return _write_batches(df, path, checkpoint, "complete", trigger, SNAPSHOTS)
 
 
