@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm import quality_rules
 from millrace.llm.base import given
 from millrace.llm.token_counts import count_tokens
 
@@ -23,3 +24,12 @@ def query(run: Query) -> Query:
 def op3_token_counts(spark, sf_dir):
     docs = given(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs).drop("text")
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.quality_rules(docs, keep_text=False).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
+
+
+SQL["op5_quality_rules"] = quality_rules.oracle()
