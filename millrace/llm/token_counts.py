@@ -45,8 +45,8 @@ class Counter(dict):
         self.added = regex.compile("|".join(regex.escape(t.content) for t in added)) if added else None
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.unsettled = regex.compile(f"[^\x00-{chr(SETTLED - 1)}]")
-        super().__init__(self.prove())
-        self.proven = len(self)
+        self.whole = self.prove()
+        super().__init__(self.whole)
 
     def prove(self) -> dict[str, int]:
         """Vocabulary strings that the merges bring to one token and that the pattern leaves in one piece."""
@@ -65,9 +65,9 @@ class Counter(dict):
         return len(self.model.tokenize(letters))
 
     def __missing__(self, piece: str) -> int:
-        if len(self) >= self.proven + REMEMBERED:
+        if len(self) >= len(self.whole) + REMEMBERED:
             self.clear()
-            self.update(self.prove())
+            self.update(self.whole)
         n = self.merged(piece.encode().decode("latin-1").translate(self.letters))
         self[piece] = n
         return n
