@@ -1,0 +1,55 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from millrace.llm import language_id as li
+from millrace.llm.queries import op10_language_id
+
+
+def test_held_out_accuracy_and_whole_table(spark, sf_dir):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = op10_language_id(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_presence_is_of_the_whole_text(monkeypatch):
+    text = "abcdefghij" * 50 + "zq"
+    whole = li.presence(text)
+    monkeypatch.setattr(li, "BLOCK", 7)
+    assert (li.presence(text) == whole).all()
+    assert whole.sum() > li.presence("abcdefghij" * 50).sum()
+    assert li.presence("").sum() == 0
+
+
+def test_kernel_by_brute_force():
+    a, b = li.presence("hello world"), li.presence("hello there")
+    expected = (a & b).sum() / np.sqrt(float(a.sum()) * b.sum())
+    assert li.kernel(a[None], b[None])[0, 0] == pytest.approx(expected, rel=1e-5)
+
+
+def test_odd_rows(spark):
+    rows = [(i, f"the cat and dog number {i}", "en", "x") for i in range(30)]
+    rows += [(100 + i, f"der hund und die katze {i}", "de", "x") for i in range(30)]
+    rows += [(None, None, "en", "x"), (7, "", "de", "x"), (8, "12 34 !", None, "x"), (9, "the dog", None, "x")]
+    rows += [(10, "und die katze der hund " * 20_000, "en", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+    model = li.train(docs.filter("doc_id is null or doc_id <> 10"))
+    got = {(r.doc_id, (r.text or "")[:3]): r for r in li.identify(docs, model).collect()}
+    assert model.languages == ["de", "en"]
+    for key in ((None, ""), (7, ""), (8, "12 ")):
+        assert (got[key].lang_pred, got[key].score) == ("und", 0.0)
+    assert got[9, "the"].lang_pred == "en" and got[10, "und"].lang_pred == "de"
+    nothing = li.train(docs.limit(0))
+    assert {r.lang_pred for r in li.identify(docs, nothing).collect()} == {"und"}
+    assert li.identify(docs.limit(0), model).count() == 0
+
+
+def test_sample_is_bounded(spark):
+    rows = [(i, f"word {i}", "en") for i in range(500)]
+    model = li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=20)
+    assert len(model.landmarks) == 20
