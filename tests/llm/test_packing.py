@@ -1,0 +1,103 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from millrace.llm import packing
+from millrace.llm.queries import op1_packing
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def check(rows, texts, library):
+    """Every token in exactly one piece, sequences gapless, of 4096 tokens or a power of two; returns padding."""
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    assert sorted(by_doc) == sorted(texts)
+    for doc_id, pieces in by_doc.items():
+        ids, at = np.array(library(texts[doc_id]), "<u4"), 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert r.start == at and r.length > 0 and r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 4096 and at & (at - 1) == 0
+
+
+def test_whole_table(spark, sf_dir, library):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    check(op1_packing(spark, sf_dir).collect(), texts, library)
+
+
+def test_small_shards_and_odd_rows(spark, library):
+    texts = {1: None, 2: "", 3: "word " * 9000, 4: "a", 5: "<|endoftext|> x <|startoftext|>"}
+    texts |= {i: f"topic{i % 3} " * (i * 7 % 900) for i in range(10, 80)}
+    docs = spark.createDataFrame([(i, t, 1) for i, t in texts.items()], "doc_id long, text string, length int")
+    rows = packing.pack(docs, shard_tokens=20_000, with_ids=True).collect()
+    check(rows, texts, library)
+    assert len({r.sequence_id >> 32 for r in rows}) > 1
+    assert all(len(r.ids) == 4 * r.length for r in rows)
+    twice = docs.filter("doc_id = 4").union(docs.filter("doc_id = 4")).union(docs.selectExpr("null", "text", "length").limit(1))
+    assert sorted(((r.doc_id, r.length) for r in packing.pack(twice).collect()), key=str) == [(4, 2), (4, 2), (None, 1)]
+    assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_ids_of_every_settled_code_point(library):
+    encode = packing.word_ids(PATH).encode
+    for at in range(0x260):
+        for text in (f"a{chr(at)}b", f"1{chr(at)} X", f" {chr(at)}{chr(at)}\n 's", f"{chr(at)}!It'Ll"):
+            assert np.frombuffer(encode(text), "<u2").tolist() == library(text), (at, text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text())
+def test_ids_of_any_text(library, text):
+    assert np.frombuffer(packing.word_ids(PATH).encode(text), "<u2").tolist() == library(text)
+
+
+def test_index_ranks_as_bm25_by_brute_force():
+    rng = np.random.default_rng(1)
+    ids = [rng.integers(0, 40, rng.integers(5, 60)).astype("<u2") for _ in range(50)]
+    idf = rng.random(1 << 16).astype(np.float32)
+    index = packing.Index(ids, idf)
+    terms = sorted(set(ids[7].tolist()), key=lambda t: -idf[t])[: packing.QUERY_TERMS]
+    mean = np.mean([len(x) for x in ids])
+
+    def score(x):
+        tf = [(t, (x == t).sum()) for t in terms]
+        return sum(idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(x) / mean)) for t, n in tf)
+
+    unused = np.ones(50, bool)
+    unused[[3, 7]] = False
+    got = list(index.neighbours(7, unused))
+    want = sorted((i for i in range(50) if unused[i] and score(ids[i]) > 0), key=lambda i: -score(ids[i]))
+    assert sorted(got) == sorted(want) and 3 not in got
+    np.testing.assert_allclose([score(ids[i]) for i in got], [score(ids[i]) for i in want], rtol=1e-4)
+
+
+def test_neighbours_share_sequences(spark):
+    topics = ["alpha beta gamma", "delta epsilon zeta", "eta theta iota"]
+    docs = spark.createDataFrame([(i, f"{topics[i % 3]} " * 60) for i in range(120)], "doc_id long, text string")
+    rows = packing.pack(docs).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, set()).add(r.doc_id % 3)
+    whole = [s for s, t in by.items() if sum(r.length for r in rows if r.sequence_id == s) == 4096]
+    assert sum(len(by[s]) == 1 for s in whole) >= len(whole) - 4
