@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import quality_rules
+from millrace.llm import exact_dedup, language_id, near_dedup, packing, quality_gam, quality_rules, warc
 from millrace.llm.base import given
 from millrace.llm.token_counts import count_tokens
+from millrace.session import delete_path, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,6 +21,11 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op1_packing(spark, sf_dir):
+    return packing.pack(given(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_counts(spark, sf_dir):
     docs = given(spark, sf_dir, "documents").select("doc_id", "text")
@@ -33,3 +39,64 @@ def op5_quality_rules(spark, sf_dir):
 
 
 SQL["op5_quality_rules"] = quality_rules.oracle()
+
+
+@query
+def op4_warc(spark, sf_dir):
+    pages = given(spark, sf_dir, "pages")
+    folder = scratch_path(spark, "warc")
+    manifest = warc.write_warc(warc.record_table(pages), folder)
+    records = warc.read_warc(spark, manifest, with_content=False).filter("is_last")
+    found = records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").checkpoint()
+    delete_path(spark, folder)
+    return found
+
+
+SQL["op4_warc"] = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM q
+"""
+
+
+@query
+def op6_quality_gam(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_gam.train(docs, given(spark, sf_dir, "labels"))
+    return quality_gam.classify(docs, model).drop("text")
+
+
+@query
+def op7_exact_dedup(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents")
+    return exact_dedup.exact_groups(docs).drop(*exact_dedup.PLACE)
+
+
+SQL["op7_exact_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+        sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+    FROM documents),
+g AS (
+    SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id) AS keep_id,
+        count(*) OVER (PARTITION BY text_sha256) AS group_size
+    FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
+
+
+@query
+def op8_near_dedup(spark, sf_dir):
+    return near_dedup.near_groups(given(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    docs = language_id.held_out(given(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    model = language_id.train(docs.filter("not held_out"))
+    return language_id.identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")

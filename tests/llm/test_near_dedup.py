@@ -1,0 +1,119 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from compare import spark_result  # noqa: F401
+
+from millrace.llm import near_dedup as nd
+from millrace.llm.queries import op8_near_dedup
+
+
+def shingle_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return set(zip(words, words[1:], strict=False)) if len(words) > 1 else {tuple(words)} - {()}
+
+
+def brute_force(rows):
+    """(doc_id, n, component) by comparing all pairs."""
+    sets = [shingle_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    inverted = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            inverted.setdefault(x, []).append(i)
+    for i, s in enumerate(sets):
+        common = {}
+        for x in s:
+            for j in inverted[x]:
+                if j < i:
+                    common[j] = common.get(j, 0) + 1
+        for j, k in common.items():
+            if 100 * k >= 80 * (len(s) + len(sets[j]) - k):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), doc_id), doc_id)
+    return sorted((doc_id, len(s), least[find(i)]) for i, ((doc_id, _), s) in enumerate(zip(rows, sets, strict=True)))
+
+
+def got(df):
+    rows = df.collect()
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+    return sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows)
+
+
+def test_whole_table_by_brute_force(spark, sf_dir):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    assert got(op8_near_dedup(spark, sf_dir)) == brute_force(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_groups_of_edited_copies_by_brute_force(spark, seed):
+    """Groups around the threshold, chains, a common passage, and case and white space."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    passage = " ".join(word() for _ in range(40))
+    texts = []
+    for _ in range(12):
+        base = [word() for _ in range(rng.randint(30, 200))]
+        for _ in range(25):
+            copy = list(base)
+            for _ in range(rng.randint(0, len(base) // 12)):
+                copy[rng.randrange(len(copy))] = word()
+            texts.append(" ".join(copy))
+        for _ in range(12):
+            base[rng.randrange(len(base))] = word()
+            texts.append("  ".join(base).upper())
+    texts += [passage + " " + " ".join(word() for _ in range(rng.randint(5, 60))) for _ in range(150)]
+    texts += ["one", "ONE", "one one", "two", "Éa b", "éa b", "É b", "x y x y x", "x y x"]
+    rng.shuffle(texts)
+    rows = [(i * 3 + 5, t) for i, t in enumerate(texts)]
+    assert got(nd.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))) == brute_force(rows)
+
+
+def test_pairs_under_the_distance_meet_under_a_key():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a = rng.integers(0, 1 << 16, nd.CHUNKS * nd.SLOTS).astype("<u2")
+        b = a.copy()
+        at = rng.choice(len(b), nd.CHUNKS * (nd.ERRORS + 1) - 1, replace=False)
+        b[at] ^= np.uint16(1)
+        assert set(nd.chunk_keys(a).tolist()) & set(nd.chunk_keys(b).tolist())
+    assert len(set(nd.chunk_keys(a).tolist())) == nd.CHUNKS * nd.SLOTS
+
+
+def test_signature_is_of_the_whole_set(monkeypatch):
+    found = nd.shingles(" ".join(map(str, range(10_000))))
+    whole = nd.signature(found)
+    monkeypatch.setattr(nd, "BLOCK", 37)
+    assert (nd.signature(found) == whole).all() and len(found) == 9999
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(159, 200), (300, 299)]
+    df = spark.createDataFrame([e if i % 2 else e[::-1] for i, e in enumerate(edges)], "a long, b long")
+    got = {r.node: r.component for r in nd.components(df).collect()}
+    assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)} | {200: 100, 300: 299}
+    assert nd.components(df.limit(0)).count() == 0
+
+
+def test_odd_rows(spark):
+    long = "long text with words " + " ".join(map(str, range(60_000)))
+    rows = [(1, None, 0), (2, "", 0), (3, " \n", 0), (None, "a b c", 0), (4, "a b c", 0), (4, "a b c", 0), (5, "A b\tc", 0), (7, long, 0), (6, long + " x", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept int")
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in nd.near_groups(docs).collect()), key=str)
+    assert found == sorted([
+        (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (None, 2, None, True), (4, 2, 4, True), (4, 2, 4, True),
+        (5, 2, 4, False), (7, 60003, 6, False), (6, 60004, 6, True),
+    ], key=str)
+    kept = nd.near_dedup(docs)
+    assert kept.columns == docs.columns and kept.count() == 7
+    assert nd.near_dedup(docs.limit(0)).count() == 0
