@@ -56,8 +56,15 @@ def build_session(
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; no job runs. For a file scan it is the size of the files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate; no job runs. For a file scan it is the size of the files.
+
+    Joins multiply the estimates of their sides, so those of deep plans can have thousands of digits, more than
+    Python reads as a number; they count as 2 to the 62.
+    """
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except ValueError:
+        return 1 << 62
 
 
 def size_setting(text: str) -> int:
