@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import functools
 import os
+import sys
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,7 @@ K1, B = 1.2, 0.75
 # Rarest terms of a seed that it is looked up by, and neighbours that are ranked at a time.
 QUERY_TERMS, NEIGHBOURS = 24, 32
 # Words a worker remembers the ids of; the memory is emptied when full, and no id depends on it.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 TERMS = 1 << 16
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -45,8 +47,9 @@ PIECES = (
 class WordIds(dict):
     """Blank-separated part of a lower-cased text to its token ids, as bytes of 16-bit numbers.
 
-    Tokens never cross white space, so a text is the sum of its parts. Texts with characters over U+024F, whose
-    classes differ between Unicode versions, or with control characters go to the tokenizer whole.
+    Tokens never cross white space, so a text is the sum of its parts, and a part that of its pieces. That is done for
+    texts of printable Latin-1 characters and the usual white space, which every Unicode version treats alike; any
+    other text goes to the tokenizer whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,27 +57,42 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > TERMS:
             raise ValueError("token ids do not fit into 16 bits")
-        self.model, self.letters = self.tokenizer.model, byte_letters()
+        if sys.byteorder != "little":
+            raise ValueError("ids are stored in little-endian order")
+        self.tokenize, self.letters = self.tokenizer.model.tokenize, byte_letters()
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = regex.compile("|".join(regex.escape(t.content) for t in added.values()))
-        settled = {c for c in map(chr, range(0x21, 0x250)) if unicodedata.category(c) != "Cc"} - {"İ"}
-        self.unsettled = regex.compile("[^" + regex.escape("".join(sorted(settled))) + r" \t\n\r\f\v]")
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+        self.settled = bytes(c for c in range(256) if unicodedata.category(chr(c)) != "Cc" or chr(c) in "\t\n\r\f\v")
+        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
 
     def __missing__(self, part: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        pieces = (p.encode().decode("latin-1").translate(self.letters) for p in self.pattern.findall(part))
-        ids = np.array([t.id for p in pieces for t in self.model.tokenize(p)], "<u2").tobytes()
+        if part.isalpha():
+            letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            ids = array("H", [t.id for t in self.tokenize(letters)]).tobytes()
+        elif part[:-1].isalpha() and part[-1] in ".,":
+            ids = self[part[:-1]] + self[part[-1]]
+        elif len(pieces := self.pieces(part)) > 1:
+            ids = b"".join(map(self.__getitem__, pieces))
+        else:
+            letters = "".join(pieces).encode().decode("latin-1").translate(self.letters)
+            ids = array("H", [t.id for t in self.tokenize(letters)]).tobytes() if letters else b""
         self[part] = ids
         return ids
 
+    def usual(self, text: str) -> bool:
+        try:
+            return not text.encode("latin-1").translate(None, self.settled) and not ("<|" in text and self.added.search(text))
+        except UnicodeEncodeError:
+            return False
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text and the end-of-text id."""
-        if self.unsettled.search(text) or self.added.search(text):
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-        else:
+        if self.usual(text):
             ids = b"".join(map(self.__getitem__, text.lower().split()))
+        else:
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
         return ids + END_OF_TEXT.to_bytes(2, "little")
 
 
