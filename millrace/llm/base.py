@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.plans.roles import table
-from millrace.session import shared_dir
+from millrace.session import delete_path, scratch_path, shared_dir
 
 # Rows that go to a Python worker at once. Texts may be long, and a worker has a few hundred MB.
 BATCH_ROWS = 256
@@ -48,3 +48,26 @@ def placed(seed: int, *columns: str) -> Column:
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+class Shelf:
+    """Frames computed once into the shared folder as Parquet, to be deleted together.
+
+    Unlike those of a checkpoint, plans over a stored frame start from its true size, which matters in loops.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = ready(spark), []
+
+    def store(self, df: DataFrame) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, "stored"))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """`df` computed and kept, everything stored deleted."""
+        found = df.checkpoint()
+        for path in self.paths:
+            delete_path(self.spark, path)
+        self.paths = []
+        return found

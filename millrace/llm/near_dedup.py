@@ -5,9 +5,10 @@ split into chunks; two signatures that differ in fewer than CHUNKS * (ERRORS + 1
 principle, a chunk with at most ERRORS differences. So each chunk is indexed once per choice of ERRORS slots to leave
 out, and every such pair meets under some key. At a similarity of 0.8 a pair misses all keys with probability 1e-7.
 
-Keys can be hot. No bucket is paired with itself: first each member is compared with the ends of its buckets, the
-links found are contracted to components, and only then members of different components that still share a key are
-compared, so that a group of copies costs its size, not its square. Links are confirmed on whole shingle sets.
+Keys can be hot. No bucket is paired with itself: in each round its members are compared with one of them, the node
+that shares most keys with others, and the links found are contracted to components. Members of one component need no
+further comparison, so a group of copies costs its size, not its square. What still shares a key across components
+after the rounds is compared pair by pair. Links are confirmed on whole shingle sets.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import ready, whole_text
+from millrace.llm.base import Shelf, whole_text
 from millrace.plans.sizing import sized_join
 
 CHUNKS, SLOTS, ERRORS = 12, 5, 1
@@ -30,6 +31,9 @@ BITS = 16
 SIMILAR = 80
 # Pairs that differ in more slots than this are not confirmed: six deviations above the mean at the threshold.
 FAR = 31
+# Rounds against one node per key at most, and how many pairs per member are few enough to end them.
+ROUNDS = 6
+FEW = 0.25
 REMEMBERED = 200_000
 # Shingles that are hashed for all slots at a time.
 BLOCK = 4096
@@ -81,15 +85,15 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def chunk_keys(slots: np.ndarray) -> np.ndarray:
-    """Keys of a signature: chunk by chunk, with each choice of slots left out."""
-    chunks = slots.astype(np.uint64).reshape(CHUNKS, SLOTS)
-    keys = []
+    """Keys of signatures, a row each: chunk by chunk, with each choice of slots left out."""
+    chunks = slots.astype(np.uint64).reshape(-1, CHUNKS, SLOTS)
+    keys = np.empty((len(chunks), len(LEFT_IN), CHUNKS), np.uint64)
     for at, keep in enumerate(LEFT_IN):
         key = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(len(LEFT_IN)) + np.uint64(at)
         for slot in keep:
-            key = mix((key << np.uint64(BITS)) ^ (key >> np.uint64(64 - BITS)) ^ chunks[:, slot])
-        keys.append(key)
-    return np.concatenate(keys).view(np.int64)
+            key = mix((key << np.uint64(BITS)) ^ (key >> np.uint64(64 - BITS)) ^ chunks[:, :, slot])
+        keys[:, at] = key
+    return keys.reshape(len(chunks), -1).view(np.int64)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -98,7 +102,7 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= SIMILAR * (len(a) + len(b) - common) and common > 0
 
 
-def document_facts(docs: DataFrame, text: str = "text") -> DataFrame:
+def document_facts(docs: DataFrame, shelf: Shelf, text: str = "text") -> DataFrame:
     """doc_id, number of shingles, digest of the set and signature of each row, computed once."""
 
     @F.arrow_udf("struct<n:long,cls:binary,sig:binary>")
@@ -112,24 +116,27 @@ def document_facts(docs: DataFrame, text: str = "text") -> DataFrame:
         return pa.StructArray.from_arrays(columns, ["n", "cls", "sig"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), facts(whole_text(text)).alias("f"))
-    return found.select("doc_id", "f.*").checkpoint()
+    return shelf.store(found.select("doc_id", "f.*"))
 
 
-def buckets(classes: DataFrame) -> DataFrame:
-    """(key, node, n, low, high): members of keys that several nodes share, with the key's ends."""
+def buckets(classes: DataFrame, shelf: Shelf) -> DataFrame:
+    """(key, node, n, score): members of keys that several nodes share; the score says how much a node shares."""
 
     @F.arrow_udf("array<long>")
     def keys(signatures: pa.Array) -> pa.Array:
-        found = [chunk_keys(np.frombuffer(s.as_py(), "<u2")) for s in signatures]
-        flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * CHUNKS * len(LEFT_IN), pa.int32()), flat)
+        found = chunk_keys(np.frombuffer(b"".join(signatures.to_pylist()), "<u2"))
+        ends = pa.array(np.arange(len(found) + 1) * (CHUNKS * len(LEFT_IN)), pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(found.ravel()))
 
-    keyed = classes.select("node", "n", F.explode(keys("sig")).alias("key"))
-    ends = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    return keyed.join(ends, "key").checkpoint()
+    width = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = classes.repartition(width).select("node", "n", F.explode(keys("sig")).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    members = shelf.store(keyed.join(shared, "key"))
+    scores = members.groupBy("node").agg(F.sum("members").alias("score"))
+    return shelf.store(members.drop("members").join(scores, "node"))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, shelf: Shelf) -> DataFrame:
     """The pairs (a, b) of nodes that are linked: near by signature, then similar by whole sets."""
 
     @F.arrow_udf("long")
@@ -151,22 +158,23 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str)
     side = {x: classes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab"}
     near = pairs.join(side["a"], "a").join(side["b"], "b")
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILAR
-    near = near.filter(sizes).filter(apart("sig_a", "sig_b") <= FAR).select("a", "b").checkpoint()
+    near = shelf.store(near.filter(sizes).filter(apart("sig_a", "sig_b") <= FAR).select("a", "b"))
     ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
     needed = sized_join(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(text).alias("_t")), ids, ["doc_id"], "left_semi")
     found = needed.select("doc_id", sets("_t").alias("s"))
     left, right = (found.select(F.col("doc_id").alias(x), F.col("s").alias(f"s_{x}")) for x in "ab")
     rows = near.join(right, "b").join(left, "a").filter(similar("s_a", "s_b"))
-    return rows.select("a", "b").distinct().checkpoint()
+    return shelf.store(rows.select("a", "b").distinct())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, shelf: Shelf) -> DataFrame:
     """(node, component) for the nodes of `edges` (a, b); the component is the least node reachable.
 
     Alternating stars: each node's larger neighbours, then its smaller ones, are hung on its least neighbour, until
     nothing changes. Least neighbours are partial aggregates, so a node with very many edges is not gathered.
     """
-    edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct().checkpoint()
+    edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct()
+    edges = shelf.store(edges)
     before = None
     while True:
         both = edges.union(edges.select("u", "v"))
@@ -177,7 +185,7 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: neighbours smaller than the node, and the node itself.
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).union(least.select("v", F.col("m").alias("u")))
-        edges = small.filter("v <> u").distinct().checkpoint()
+        edges = shelf.store(small.filter("v <> u").distinct())
         after = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "u")), F.count_distinct("u")).first()
         if after == before or after[0] == 0:
             return edges.select(F.col("v").alias("node"), F.col("u").alias("component"))
@@ -191,40 +199,54 @@ def near_groups(docs: DataFrame, text: str = "text") -> DataFrame:
     whose component_id is null and which is kept. Rows that repeat a doc_id with the same text get the same answer.
     Other columns are not read.
     """
-    ready(docs.sparkSession)
-    facts = document_facts(docs, text)
+    shelf = Shelf(docs.sparkSession)
+    facts = document_facts(docs, shelf, text)
     named = facts.filter("n > 0 and doc_id is not null")
     # Equal sets are one node from here on, named by the least doc_id.
     classes = named.groupBy("cls").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    classes = classes.checkpoint()
-    members = buckets(classes)
-    tries = []
-    for end in ("low", "high"):
-        shared = members.filter(F.col(end) != F.col("node")).groupBy("node", end).agg(F.count("*").alias("k"))
-        best = shared.groupBy("node").agg(F.max(F.struct("k", F.bitwise_not(end).alias("end"))).alias("best"))
-        tries.append(best.select(F.col("node").alias("b"), F.bitwise_not("best.end").alias("a")))
-    tried = tries[0].union(tries[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = confirmed(tried, classes, docs, text)
-    first = components(links)
-    # What shares a key across components, and so is not known yet to belong together.
-    at = members.select("key", "node", "n").join(first, "node", "left")
-    at = at.select("key", "node", "n", F.coalesce("component", "node").alias("c"))
-    mixed = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    at = at.join(mixed, "key", "left_semi")
-    other = at.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-    sizes = (F.col("n") * 100 >= F.col("n2") * SIMILAR) & (F.col("n2") * 100 >= F.col("n") * SIMILAR)
-    across = at.join(other, (at["key"] == other["key"]) & (F.col("c") < F.col("c2")) & sizes)
-    across = across.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-    more = confirmed(across, classes, docs, text)
-    whole = components(links.union(more))
+    classes = shelf.store(classes)
+    whole = components(_links(buckets(classes, shelf), classes, docs, text, shelf), shelf)
     named = classes.select("cls", "node").join(whole, "node", "left")
     named = named.select("cls", F.coalesce("component", "node").alias("component_id"))
     found = facts.withColumn("_known", (F.col("n") > 0) & F.col("doc_id").isNotNull())
     found = found.join(named, ["cls"], "left")
     component = F.when(F.col("_known"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    found = found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return shelf.result(found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def _links(members: DataFrame, classes: DataFrame, docs: DataFrame, text: str, shelf: Shelf) -> DataFrame:
+    """Links that have the components of all links: rounds against one node per key, then pairs across components."""
+    few = FEW * members.count()
+    open_, links = members.withColumn("c", F.col("node")), None
+    for at in range(ROUNDS + 1):
+        other = open_.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
+        if at < ROUNDS and (at == 0 or _across(open_) > few):
+            pivot = open_.groupBy("key").agg(F.max(F.struct("score", "node", "n", "c")).alias("p"))
+            other = pivot.select("key", F.col("p.node").alias("node2"), F.col("p.n").alias("n2"), F.col("p.c").alias("c2"))
+            apart = F.col("c") != F.col("c2")
+        else:
+            at, apart = ROUNDS, F.col("c") < F.col("c2")
+        sizes = (F.col("n") * 100 >= F.col("n2") * SIMILAR) & (F.col("n2") * 100 >= F.col("n") * SIMILAR)
+        pairs = open_.join(other, (open_["key"] == other["key"]) & apart & sizes)
+        pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+        found = confirmed(pairs, classes, docs, text, shelf)
+        links = found if links is None else links.union(found)
+        if at == ROUNDS:
+            return links
+        # The node of the round is done with; the others go on where a key still spans components.
+        rest = open_.join(other.select("key", "node2"), "key").filter("node <> node2").drop("node2", "c")
+        rest = rest.join(components(links, shelf), "node", "left")
+        rest = rest.select("key", "node", "n", "score", F.coalesce("component", "node").alias("c"))
+        mixed = rest.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+        open_ = shelf.store(rest.join(mixed, "key", "left_semi"))
+
+
+def _across(members: DataFrame) -> int:
+    """Number of pairs that share a key and are in different components."""
+    parts = members.groupBy("key", "c").agg(F.count("*").cast("double").alias("m"))
+    keys = parts.groupBy("key").agg(((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"))
+    return keys.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
 
 
 def near_dedup(docs: DataFrame, text: str = "text") -> DataFrame:

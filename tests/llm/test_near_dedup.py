@@ -3,9 +3,9 @@ import re
 
 import numpy as np
 import pytest
-from compare import spark_result  # noqa: F401
 
 from millrace.llm import near_dedup as nd
+from millrace.llm.base import Shelf
 from millrace.llm.queries import op8_near_dedup
 
 
@@ -55,9 +55,10 @@ def test_whole_table_by_brute_force(spark, sf_dir):
     assert got(op8_near_dedup(spark, sf_dir)) == brute_force(rows)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_groups_of_edited_copies_by_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "few"), [(1, 0.25), (2, 0.0)])
+def test_groups_of_edited_copies_by_brute_force(spark, monkeypatch, seed, few):
     """Groups around the threshold, chains, a common passage, and case and white space."""
+    monkeypatch.setattr(nd, "FEW", few)
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
     passage = " ".join(word() for _ in range(40))
@@ -86,8 +87,8 @@ def test_pairs_under_the_distance_meet_under_a_key():
         b = a.copy()
         at = rng.choice(len(b), nd.CHUNKS * (nd.ERRORS + 1) - 1, replace=False)
         b[at] ^= np.uint16(1)
-        assert set(nd.chunk_keys(a).tolist()) & set(nd.chunk_keys(b).tolist())
-    assert len(set(nd.chunk_keys(a).tolist())) == nd.CHUNKS * nd.SLOTS
+        assert set(nd.chunk_keys(a)[0].tolist()) & set(nd.chunk_keys(b)[0].tolist())
+    assert len(set(nd.chunk_keys(a)[0].tolist())) == nd.CHUNKS * nd.SLOTS
 
 
 def test_signature_is_of_the_whole_set(monkeypatch):
@@ -100,9 +101,9 @@ def test_signature_is_of_the_whole_set(monkeypatch):
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(159, 200), (300, 299)]
     df = spark.createDataFrame([e if i % 2 else e[::-1] for i, e in enumerate(edges)], "a long, b long")
-    got = {r.node: r.component for r in nd.components(df).collect()}
+    got = {r.node: r.component for r in nd.components(df, Shelf(spark)).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)} | {200: 100, 300: 299}
-    assert nd.components(df.limit(0)).count() == 0
+    assert nd.components(df.limit(0), Shelf(spark)).count() == 0
 
 
 def test_odd_rows(spark):
