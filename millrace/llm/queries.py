@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, language_id, near_dedup, packing, quality_gam, quality_rules, warc
+from millrace.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_gam, quality_rules, warc
 from millrace.llm.base import given
 from millrace.llm.token_counts import count_tokens
 from millrace.session import delete_path, scratch_path
@@ -95,6 +95,18 @@ def op8_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(given(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+# As many tokens as there are, no source more than twice.
+MIXTURE = mixing.Target(1.0, max_repeats=2.0)
+
+
+@query
+def op9_mixing(spark, sf_dir):
+    return mixing.mix(given(spark, sf_dir, "documents").select("doc_id", "text", "source"), MIXTURE)
+
+
+SQL["op9_mixing"] = mixing.oracle(MIXTURE)
+
+
 @query
 def op10_language_id(spark, sf_dir):
     docs = language_id.held_out(given(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
