@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_gam, quality_rules, warc
+from millrace.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_gam, quality_rules, repeats, warc
 from millrace.llm.base import given
 from millrace.llm.token_counts import count_tokens
 from millrace.session import delete_path, scratch_path
@@ -26,6 +26,11 @@ def op1_packing(spark, sf_dir):
     return packing.pack(given(spark, sf_dir, "documents"))
 
 
+@query
+def op2_repeats(spark, sf_dir):
+    return repeats.remove_repeats(given(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_counts(spark, sf_dir):
     docs = given(spark, sf_dir, "documents").select("doc_id", "text")
