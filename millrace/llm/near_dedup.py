@@ -5,10 +5,12 @@ split into chunks; two signatures that differ in fewer than CHUNKS * (ERRORS + 1
 principle, a chunk with at most ERRORS differences. So each chunk is indexed once per choice of ERRORS slots to leave
 out, and every such pair meets under some key. At a similarity of 0.8 a pair misses all keys with probability 1e-7.
 
-Keys can be hot. No bucket is paired with itself: in each round its members are compared with one of them, the node
-that shares most keys with others, and the links found are contracted to components. Members of one component need no
-further comparison, so a group of copies costs its size, not its square. What still shares a key across components
-after the rounds is compared pair by pair. Links are confirmed on whole shingle sets.
+Keys can be hot. No bucket is paired with itself: first each node is compared with one other, of those that share most
+keys with the rest the one it shares most keys with, and the links found are contracted to components. Members of one
+component need no further comparison, so a group of copies costs its size, not its square. What still shares a key
+across components is paired only if the sets may be similar: each has a bitmap that its shingles are folded into, and
+every bit that two bitmaps differ in is a shingle that the sets do not share, which bounds their similarity from above.
+Links are confirmed on whole shingle sets.
 """
 
 from __future__ import annotations
@@ -29,11 +31,8 @@ CHUNKS, SLOTS, ERRORS = 12, 5, 1
 BITS = 16
 # Intersection over union, in percent, from which two documents are linked.
 SIMILAR = 80
-# Pairs that differ in more slots than this are not confirmed: six deviations above the mean at the threshold.
-FAR = 31
-# Rounds against one node per key at most, and how many pairs per member are few enough to end them.
-ROUNDS = 6
-FEW = 0.25
+# 64-bit words of a set's bitmap.
+WORDS_OF_BITS = 16
 REMEMBERED = 200_000
 # Shingles that are hashed for all slots at a time.
 BLOCK = 4096
@@ -96,6 +95,13 @@ def chunk_keys(slots: np.ndarray) -> np.ndarray:
     return keys.reshape(len(chunks), -1).view(np.int64)
 
 
+def bitmap(found: np.ndarray) -> np.ndarray:
+    """The set folded into WORDS_OF_BITS words."""
+    bits = np.zeros(64 * WORDS_OF_BITS, np.uint8)
+    bits[(found >> np.uint64(20)) % np.uint64(len(bits))] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two shingle sets are similar enough."""
     common = len(np.intersect1d(a, b, assume_unique=True))
@@ -105,15 +111,16 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 def document_facts(docs: DataFrame, shelf: Shelf, text: str = "text") -> DataFrame:
     """doc_id, number of shingles, digest of the set and signature of each row, computed once."""
 
-    @F.arrow_udf("struct<n:long,cls:binary,sig:binary>")
+    @F.arrow_udf("struct<n:long,cls:binary,sig:binary,bits:array<long>>")
     def facts(texts: pa.Array) -> pa.Array:
         sets = [shingles(t.as_py()) for t in texts]
         columns = [
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
             pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+            pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())),
         ]
-        return pa.StructArray.from_arrays(columns, ["n", "cls", "sig"])
+        return pa.StructArray.from_arrays(columns, ["n", "cls", "sig", "bits"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), facts(whole_text(text)).alias("f"))
     return shelf.store(found.select("doc_id", "f.*"))
@@ -136,15 +143,8 @@ def buckets(classes: DataFrame, shelf: Shelf) -> DataFrame:
     return shelf.store(members.drop("members").join(scores, "node"))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, shelf: Shelf) -> DataFrame:
-    """The pairs (a, b) of nodes that are linked: near by signature, then similar by whole sets."""
-
-    @F.arrow_udf("long")
-    def apart(left: pa.Array, right: pa.Array) -> pa.Array:
-        if not len(left):
-            return pa.array([], pa.int64())
-        x, y = (np.frombuffer(b"".join(s.to_pylist()), "<u2").reshape(len(s), -1) for s in (left, right))
-        return pa.array((x != y).sum(axis=1), pa.int64())
+def confirmed(pairs: DataFrame, docs: DataFrame, text: str, shelf: Shelf) -> DataFrame:
+    """The pairs (a, b) of nodes that are linked, by their whole sets."""
 
     @F.arrow_udf("binary")
     def sets(texts: pa.Array) -> pa.Array:
@@ -155,10 +155,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str,
         both = zip(left.to_pylist(), right.to_pylist(), strict=True)
         return pa.array([linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in both], pa.bool_())
 
-    side = {x: classes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab"}
-    near = pairs.join(side["a"], "a").join(side["b"], "b")
-    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILAR
-    near = shelf.store(near.filter(sizes).filter(apart("sig_a", "sig_b") <= FAR).select("a", "b"))
+    near = shelf.store(pairs)
     ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
     needed = sized_join(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(text).alias("_t")), ids, ["doc_id"], "left_semi")
     found = needed.select("doc_id", sets("_t").alias("s"))
@@ -203,7 +200,7 @@ def near_groups(docs: DataFrame, text: str = "text") -> DataFrame:
     facts = document_facts(docs, shelf, text)
     named = facts.filter("n > 0 and doc_id is not null")
     # Equal sets are one node from here on, named by the least doc_id.
-    classes = named.groupBy("cls").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    classes = named.groupBy("cls").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bits").alias("bits"))
     classes = shelf.store(classes)
     whole = components(_links(buckets(classes, shelf), classes, docs, text, shelf), shelf)
     named = classes.select("cls", "node").join(whole, "node", "left")
@@ -216,37 +213,30 @@ def near_groups(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _links(members: DataFrame, classes: DataFrame, docs: DataFrame, text: str, shelf: Shelf) -> DataFrame:
-    """Links that have the components of all links: rounds against one node per key, then pairs across components."""
-    few = FEW * members.count()
-    open_, links = members.withColumn("c", F.col("node")), None
-    for at in range(ROUNDS + 1):
-        other = open_.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-        if at < ROUNDS and (at == 0 or _across(open_) > few):
-            pivot = open_.groupBy("key").agg(F.max(F.struct("score", "node", "n", "c")).alias("p"))
-            other = pivot.select("key", F.col("p.node").alias("node2"), F.col("p.n").alias("n2"), F.col("p.c").alias("c2"))
-            apart = F.col("c") != F.col("c2")
-        else:
-            at, apart = ROUNDS, F.col("c") < F.col("c2")
-        sizes = (F.col("n") * 100 >= F.col("n2") * SIMILAR) & (F.col("n2") * 100 >= F.col("n") * SIMILAR)
-        pairs = open_.join(other, (open_["key"] == other["key"]) & apart & sizes)
-        pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-        found = confirmed(pairs, classes, docs, text, shelf)
-        links = found if links is None else links.union(found)
-        if at == ROUNDS:
-            return links
-        # The node of the round is done with; the others go on where a key still spans components.
-        rest = open_.join(other.select("key", "node2"), "key").filter("node <> node2").drop("node2", "c")
-        rest = rest.join(components(links, shelf), "node", "left")
-        rest = rest.select("key", "node", "n", "score", F.coalesce("component", "node").alias("c"))
-        mixed = rest.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-        open_ = shelf.store(rest.join(mixed, "key", "left_semi"))
-
-
-def _across(members: DataFrame) -> int:
-    """Number of pairs that share a key and are in different components."""
-    parts = members.groupBy("key", "c").agg(F.count("*").cast("double").alias("m"))
-    keys = parts.groupBy("key").agg(((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"))
-    return keys.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
+    """Links that have the components of all links."""
+    best = members.groupBy("key").agg(F.max(F.struct("score", "node", "n")).alias("p"))
+    best = best.select("key", F.col("p.node").alias("other"), F.col("p.n").alias("n2"))
+    sizes = (F.col("n") * 100 >= F.col("n2") * SIMILAR) & (F.col("n2") * 100 >= F.col("n") * SIMILAR)
+    tried = members.join(best, "key").filter(sizes & (F.col("node") != F.col("other")))
+    tried = tried.groupBy("node", "other").agg(F.count("*").alias("k")).groupBy("node")
+    tried = tried.agg(F.max(F.struct("k", "other")).alias("p")).select("node", F.col("p.other").alias("other"))
+    links = confirmed(_ordered(tried), docs, text, shelf)
+    # What still shares a key across components.
+    at = members.select("key", "node", "n").join(components(links, shelf), "node", "left")
+    at = shelf.store(at.select("key", "node", "n", F.coalesce("component", "node").alias("c")))
+    mixed = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+    bits = [F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(WORDS_OF_BITS)]
+    at = at.join(mixed, "key", "left_semi").join(classes.select("node", *bits), "node")
+    other = at.select("key", *[F.col(c).alias(f"{c}_2") for c in at.columns if c != "key"])
+    differ = sum((F.bit_count(F.col(f"b{i}").bitwiseXOR(F.col(f"b{i}_2"))) for i in range(WORDS_OF_BITS)), F.lit(0))
+    # With d shingles not shared, the similarity is at most (n + n2 - d) / (n + n2 + d).
+    similar = (F.col("n") + F.col("n_2") - differ) * 100 >= (F.col("n") + F.col("n_2") + differ) * SIMILAR
+    across = at.join(other, (at["key"] == other["key"]) & (F.col("c") < F.col("c_2")) & similar)
+    return links.union(confirmed(_ordered(across.select("node", F.col("node_2").alias("other"))), docs, text, shelf))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def near_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
