@@ -20,7 +20,13 @@ from millrace.sinks import write_update_log
 
 # Micro-batches that a stored table is drained in.
 BATCHES = 3
-STATE_MEMORY_MB = 256
+# A store is open only while its task runs, for each takes some MB of local disk; batches leave their changes.
+STATE = {
+    "unloadOnCommit": "true",
+    "rocksdb.changelogCheckpointing.enabled": "true",
+    "rocksdb.boundedMemoryUsage": "true",
+    "rocksdb.maxMemoryUsageMB": "256",
+}
 PLACE = ["__path", "__row"]
 
 
@@ -58,8 +64,8 @@ def dedup_state(arrivals: DataFrame) -> DataFrame:
 def drain(arrivals: DataFrame) -> DataFrame:
     """Store arrivals, stream them through `dedup_state` in batches, and read the state's last row per digest."""
     spark = ready(arrivals.sparkSession)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", str(STATE_MEMORY_MB))
+    for name, value in STATE.items():
+        spark.conf.set(f"spark.sql.streaming.stateStore.{name}", value)
     path = scratch_path(spark, "exact")
     arrivals.write.parquet(f"{path}/arrivals")
     stored = spark.read.parquet(f"{path}/arrivals")
