@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.rows import sample_rows
+from millrace.plans.sizing import sized_join
 
 
 def join_count(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -52,5 +53,9 @@ def dim_join(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 
 
 def in_other(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs in `other` (IN subquery)."""
-    return df.join(other.select(key), key, "left_semi")
+    """Rows whose key occurs in `other` (IN subquery).
+
+    The keys of `other` are made distinct, so that a hot one of its is a single row, and computed before the
+    join unless they are small, so that AQE can split a hot key of `df`.
+    """
+    return sized_join(df, other.select(key).distinct(), [key], "left_semi")

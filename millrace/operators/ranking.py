@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.plans.sizing import broadcastable
-from millrace.session import plan_bytes, size_setting
+from millrace.operators.rows import numbered
+from millrace.plans.sizing import broadcastable, small_by_estimate
+from millrace.session import materialise, plan_bytes, size_setting
 
 # Candidate rows that the one task which merges a top-k may receive before a merge level is put in front.
 MERGE_ROWS = 10_000_000
@@ -28,10 +29,13 @@ def top_k(df: DataFrame, order: list[Column | str], k: int) -> DataFrame:
     """The first `k` rows by `order`, sorted.
 
     Every task keeps `k` rows and one task merges them. Where the input has so many splits that the merge
-    would see more than MERGE_ROWS rows, groups of tasks merge first; the rows found are the same.
+    would see more than MERGE_ROWS rows, groups of tasks merge first, and where even those would send it too
+    many, the input is sorted by ranges and numbered. The rows found are the same if `order` leaves no ties.
     """
     split = df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")
     tasks = plan_bytes(df) // size_setting(split) + 1
+    if tasks * k > MERGE_ROWS and MERGE_GROUPS * k > MERGE_ROWS:
+        return numbered(df, order, "_place").filter(F.col("_place") <= k).orderBy("_place").drop("_place")
     if tasks * k > MERGE_ROWS:
         grouped = df.withColumn("_group", F.spark_partition_id() % MERGE_GROUPS)
         df = rank_limit(grouped, ["_group"], order, k).drop("_group")
@@ -57,6 +61,8 @@ def first_k_per_key(
     the ranking, when every key is down to `k` rows, so no hot key is ever shuffled whole.
     """
     wanted = keys.select(key).distinct()
+    if not small_by_estimate(wanted):
+        wanted = materialise(wanted)
     small = broadcastable(wanted)
     if small is not None:
         return rank_limit(df.join(small, key, "left_semi"), [key], order, k)

@@ -53,21 +53,23 @@ def detect_anomalies(
 def numbered(df: DataFrame, order: list[Column | str], name: str = "anomaly_no") -> DataFrame:
     """Running number of each row in `order`, computed without sorting everything in one task.
 
-    Rows are range-partitioned by `order`; each task numbers its own range, and the sizes of the ranges
-    before it, one row per task, give the offset.
+    Rows are range-partitioned by `order` and sorted within each range, the only shuffle; they are numbered
+    where they are, and the sizes of the ranges before it, one row per task, give the offset.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    # The bounds come from a sample, so the ranges are fixed once before they are read twice.
-    ranged = materialise(ranged)
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
+    # The id is the range in the upper bits and the place within it in the lower 33. The bounds come from a
+    # sample, so the ranges are fixed once before they are read twice.
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = materialise(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    at = F.shiftright("_id", 33)
+    sizes = ranged.groupBy(at.alias("_range")).agg(F.count("*").alias("_size"))
     before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    local = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    local = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
     return (
-        ranged.withColumn("_local", local)
+        ranged.withColumn("_range", at)
         .join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.col("_local") + F.col("_offset"))
-        .drop("_range", "_local", "_offset")
+        .withColumn(name, local + F.col("_offset"))
+        .drop("_range", "_id", "_offset")
     )
 
 

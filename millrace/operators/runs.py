@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from millrace.plans.sizing import GROUP_ROWS, oversized_groups, same
+from millrace.plans.sizing import GROUP_ROWS, broadcastable, oversized_groups, same
 from millrace.session import MAX_SHUFFLE_WIDTH, materialise
 
 
@@ -25,19 +25,19 @@ def consecutive_breaches(
     `run` of breaches that ended right before the first row of `df`, see `trailing_runs`.
 
     Keys with up to `group_rows` rows are windowed whole. Larger ones are cut into ranges of about that many
-    rows, and only the `n` rows on either side of each cut are looked at together, so no task ever holds a
-    hot key whole.
+    rows (at most MAX_SHUFFLE_WIDTH ranges), and only the `n` rows on either side of each cut are looked at
+    together, so no task ever holds a hot key whole.
     """
     flagged = _flagged(df, keys, breach, carried)
     order = ["_live", *order]
     by_key = Window.partitionBy(*keys).orderBy(*order)
-    hot = oversized_groups(flagged, keys, group_rows).persist()
+    hot = materialise(oversized_groups(flagged, keys, group_rows))
     hot_rows = hot.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     if not hot_rows:
-        hot.unpersist()
         return flagged.withColumn("_hit", _nth(by_key, n)).filter("_hit").select(*df.columns)
 
-    hot_keys = F.broadcast(hot.select(*(F.col(k).alias(f"_hot_{k}") for k in keys)))
+    hot_keys = hot.select(*(F.col(k).alias(f"_hot_{k}") for k in keys))
+    hot_keys = broadcastable(hot_keys) or hot_keys
     is_hot = same([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
     cold = flagged.join(hot_keys, is_hot, "left_anti").withColumn("_hit", _nth(by_key, n))
 

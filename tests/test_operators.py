@@ -125,6 +125,18 @@ def test_size_gate_splits_the_input(spark):
     assert tuple(gate.totals.first()) == (2, 6, 2, 6)
 
 
+def test_tiny_fractions_choose_rows(spark):
+    n = op.sample_rows(spark.range(0, 30_000_000, 1, 8), 4e-7, 1, ["id"]).count()
+    assert 2 <= n <= 30
+    assert op.sample_rows(spark.range(50), 1.0, 1, ["id"]).count() == 50
+    assert op.sample_rows(spark.range(50), 0.0, 1, ["id"]).count() == 0
+    with_null = spark.range(2000).selectExpr("nullif(id % 2, 0) AS k", "id")
+    assert 800 < op.sample_rows(with_null, 0.5, 1, ["k", "id"]).count() < 1200
+    for fraction in (1e-19, -0.1, 1.5):
+        with pytest.raises(ValueError):
+            op.sample_rows(spark.range(5), fraction, 1, ["id"])
+
+
 def test_hashed_sample_does_not_depend_on_layout(spark):
     df = spark.range(20_000)
     a = sorted(r.id for r in op.sample_rows(df.repartition(3), 0.1, 5, ["id"]).collect())
@@ -202,12 +214,17 @@ def test_top_k_in_levels_finds_the_same_rows(spark, monkeypatch, plan):
     df = spark.range(0, 3000, 1, 16).withColumn("v", F.pmod(F.hash("id"), F.lit(1000)))
     order = [F.desc("v"), "id"]
     direct = op.top_k(df, order, 50)
-    monkeypatch.setattr(ranking, "MERGE_ROWS", 10)
+    monkeypatch.setattr(ranking, "MERGE_ROWS", 300)
     monkeypatch.setattr(ranking, "MERGE_GROUPS", 4)
+    monkeypatch.setattr(ranking, "plan_bytes", lambda _: 1 << 40)
     leveled = op.top_k(df, order, 50)
     assert plan(leveled).count("WindowGroupLimit") == 2 and "WindowGroupLimit" not in plan(direct)
     assert tuples(leveled) == tuples(direct)
     assert leveled.columns == df.columns
+    # Where even the groups would send too many rows to one task, the input is sorted by ranges.
+    ranged = op.top_k(df, order, 500)
+    assert "WindowGroupLimit" not in plan(ranged) and "TakeOrdered" not in plan(ranged)
+    assert tuples(ranged) == tuples(df.orderBy(*order).limit(500))
 
 
 @pytest.mark.parametrize("mode", ["small", "measured", "nothing_fits"])

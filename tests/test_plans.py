@@ -133,6 +133,6 @@ def test_hot_partition_value_is_written_by_several_tasks(spark, splitting, tmp_p
     df = one_hot_key(spark).selectExpr("n", "k", "v", "IF(k = 0, 'hot', 'cold') AS p")
     write_partitioned(df, str(tmp_path / "p"), ["p"])
     assert len(list((tmp_path / "p" / "p=hot").glob("*.parquet"))) > 1
-    table = write_bucketed(df, "hot_buckets", 4, "k", str(tmp_path / "b"))
+    table = write_bucketed(df, "hot_buckets", "k", str(tmp_path / "b"), n=4)
     assert len(list((tmp_path / "b").glob("*.parquet"))) > 4
     assert table.count() == 200_000
