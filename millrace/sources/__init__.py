@@ -1,4 +1,4 @@
-from millrace.sources.logs import log_fields, read_logs
+from millrace.sources.logs import log_fields, log_time, read_logs, rejected_lines
 from millrace.sources.messages import decode_json, expanded, rejected_json
 from millrace.sources.schemas import (
     CARD_TRANSACTION,
@@ -15,6 +15,8 @@ from millrace.sources.tables import (
     read_drifting,
     read_table,
     register_view,
+    rejected_csv,
+    rejected_documents,
 )
 from millrace.sources.topics import read_topic, stream_table
 
@@ -29,6 +31,7 @@ __all__ = [
     "expanded",
     "harmonise_union",
     "log_fields",
+    "log_time",
     "read_csv",
     "read_documents",
     "read_drifting",
@@ -36,6 +39,9 @@ __all__ = [
     "read_table",
     "read_topic",
     "register_view",
+    "rejected_csv",
+    "rejected_documents",
     "rejected_json",
+    "rejected_lines",
     "stream_table",
 ]

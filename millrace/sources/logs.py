@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Classic layout: `MMM dd HH:mm:ss host service[pid]: message` (fixed value).
-LOG_LINE = r"^(\w{3}\s+\d+ [\d:]{8}) (\S+) ([^\s\[:]+)(?:\[\d+\])?: (.*)$"
+from millrace.sources.messages import expanded
+
+# Time, host, `service[pid]:` and message; the time is `MMM dd HH:mm:ss` or ISO 8601.
+LOG_LINE = r"^(\w{3} +\d+ [\d:]{8}|\d{4}-\d\d-\d\dT\S+) (\S+) ([^\[:]+?)(?:\[\d+\])?: (.*)$"
+MARK = "\x01"
+PARTS = MARK.join(f"${group}" for group in range(1, 5))
+FIELDS = ("logged_at", "host", "service", "message")
 
 
 def read_logs(spark: SparkSession, path: str, containing: str | None = None) -> DataFrame:
@@ -14,15 +19,32 @@ def read_logs(spark: SparkSession, path: str, containing: str | None = None) ->
     return log_fields(spark.read.text(path), containing=containing)
 
 
+def _parts(column: str) -> Column:
+    """The line's fields from one pass of the pattern, or the line alone if it has another layout."""
+    return F.split(F.regexp_replace(F.col(column), LOG_LINE, PARTS), MARK, 4)
+
+
 def log_fields(lines: DataFrame, column: str = "value", containing: str | None = None) -> DataFrame:
-    """Extract logged_at, host, service and message; lines of another layout are dropped.
+    """Extract logged_at, host, service and message; for lines of another layout see `rejected_lines`.
 
     With `containing`, lines without that text, in any case, are dropped before the costlier pattern
     runs on them.
     """
     if containing:
         lines = lines.filter(F.lower(column).contains(containing.lower()))
-    part = [F.regexp_extract(column, LOG_LINE, group) for group in range(1, 5)]
-    return lines.filter(F.col(column).rlike(LOG_LINE)).select(
-        part[0].alias("logged_at"), part[1].alias("host"), part[2].alias("service"), part[3].alias("message")
-    )
+    parts = expanded(F.struct(_parts(column).alias("_parts")))
+    fields = [F.get("_parts", at).alias(name) for at, name in enumerate(FIELDS)]
+    return lines.select(parts).filter(F.size("_parts") == len(FIELDS)).select(*fields)
+
+
+def rejected_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Rows whose line has another layout, empty and NULL lines among them."""
+    fits = F.coalesce(F.size(_parts(column)) == len(FIELDS), F.lit(False))
+    return lines.filter(~fits)
+
+
+def log_time(logged_at: str = "logged_at", year: int = 1970) -> Column:
+    """The time as a timestamp; the classic layout has no year, so it is given. NULL if unreadable."""
+    text = F.regexp_replace(logged_at, " +", " ")
+    classic = F.try_to_timestamp(F.concat(F.lit(f"{year} "), text), F.lit("yyyy MMM d HH:mm:ss"))
+    return F.coalesce(F.when(text.rlike("^[0-9]"), F.try_to_timestamp(text)), F.when(text.rlike("^[A-Za-z]"), classic))

@@ -40,9 +40,15 @@ def decode_json(
 
 
 def rejected_json(df: DataFrame, schema: str | StructType, column: str = "value") -> DataFrame:
-    """Rows of `df` whose message does not parse, with all their columns."""
+    """Rows of `df` whose message is not one JSON value of the schema, with all their columns.
+
+    NULL, empty and blank messages are rejects, and so is anything after the value.
+    """
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     probe = StructType(list(declared.fields)).add(BAD, "string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
     parsed = F.from_json(F.col(column).cast("string"), probe, options)
-    return df.withColumn("_parsed", parsed).filter(F.col(f"_parsed.{BAD}").isNotNull()).drop("_parsed")
+    # The parser stops after the first value; put into brackets, a message is an array of one value or no JSON.
+    single = F.json_array_length(F.concat(F.lit("["), F.col(column).cast("string"), F.lit("]"))) == 1
+    fits = F.coalesce(single & F.col("_parsed").isNotNull() & F.col(f"_parsed.{BAD}").isNull(), F.lit(False))
+    return df.withColumn("_parsed", parsed).filter(~fits).drop("_parsed")

@@ -16,13 +16,17 @@ from millrace.sources import (
     decode_json,
     harmonise_union,
     log_fields,
+    log_time,
     read_csv,
     read_documents,
     read_drifting,
     read_logs,
     read_table,
     register_view,
+    rejected_csv,
+    rejected_documents,
     rejected_json,
+    rejected_lines,
 )
 
 
@@ -127,13 +131,20 @@ Jan 12 03:04:07 host2 kernel: I/O Error on sda
 not a log line with error
 Jan 12 03:04:08 host2 net-mgr[7]: ready
 Jan 12 03:04:09 host2 cron[14]: another error
+2024-01-12T03:04:10.5+00:00 host3 audio server[15]: it plays
 """
 
 
 def test_logs(spark, tmp_path):
     (tmp_path / "syslog").write_text(LOG)
     logs = read_logs(spark, str(tmp_path / "syslog"))
-    assert logs.count() == 5
+    assert logs.count() == 6
+    iso = logs.filter("service = 'audio server'").select(log_time(year=2023).alias("at"), "message").first()
+    assert (iso.at, iso.message) == (datetime.datetime(2024, 1, 12, 3, 4, 10, 500000), "it plays")
+    classic = logs.filter("service = 'kernel'").select(log_time(year=2023).alias("at")).first()
+    assert classic.at == datetime.datetime(2023, 1, 12, 3, 4, 7)
+    lines = spark.createDataFrame([(1, None), (2, ""), (3, "not a log line"), (4, LOG.split("\n")[0])], "n INT, value STRING")
+    assert sorted(r.n for r in rejected_lines(lines).collect()) == [1, 2, 3]
     first = logs.filter("service = 'kernel'").first()
     assert tuple(first) == ("Jan 12 03:04:07", "host2", "kernel", "I/O Error on sda")
     assert [tuple(r) for r in top_error_services(logs).collect()] == [("cron", 2), ("kernel", 1)]
@@ -169,6 +180,40 @@ def test_messages_decode_and_bad_ones_do_not_raise(spark):
     assert rejected[0].value == b"{broken"
 
 
+def test_messages_that_are_not_one_value_are_rejects(spark):
+    values = [sensor(), "", "  ", None, sensor() + " trailing", sensor() + sensor(), sensor() + "," + sensor()]
+    raw = spark.createDataFrame(list(enumerate(values)), "n INT, value STRING")
+    assert sorted(r.n for r in rejected_json(raw, SENSOR_READING).collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_header_in_another_order_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("major,name\nphysics,Ann\n")
+    assert read_csv(spark, str(tmp_path / "a.csv"), "major STRING, name STRING").first().name == "Ann"
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path / "a.csv"), "name STRING, major STRING").collect()
+
+
+def test_rows_and_documents_that_do_not_fit_are_listed(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,v\n1,x\ntwo,y\n3\n4,z,w\n")
+    bad = rejected_csv(spark, str(tmp_path / "a.csv"), "n INT, v STRING")
+    assert sorted(r._bad_row for r in bad.collect()) == ["3", "4,z,w", "two,y"] and bad.count() == 3
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        read_csv(spark, str(tmp_path / "a.csv"), "n INT, v STRING", mode="FAILFAST").collect()
+    (tmp_path / "d.json").write_text('{"n": 1}\n{"n": "x"}\n{broken\n')
+    docs = rejected_documents(spark, str(tmp_path / "d.json"), "n INT")
+    assert sorted(r._bad_row for r in docs.collect()) == ['{"n": "x"}', "{broken"]
+
+
+def test_files_of_one_folder_may_drift(spark, tmp_path):
+    spark.range(3).selectExpr("CAST(id AS INT) AS k", "'a' AS s").coalesce(1).write.parquet(str(tmp_path / "f"))
+    spark.range(3).selectExpr("CAST(id AS DOUBLE) AS k", "'b' AS s").coalesce(1).write.mode("append").parquet(str(tmp_path / "f"))
+    both = read_drifting(spark, [str(tmp_path / "f")], {"k": "double"})
+    assert both.count() == 6 and both.agg(F.sum("k")).first()[0] == 6.0
+    spark.range(3).selectExpr("CAST(id AS DOUBLE) AS k").coalesce(1).write.mode("append").parquet(str(tmp_path / "f"))
+    with pytest.raises(Exception, match="(?i)column|resolve"):
+        read_drifting(spark, [str(tmp_path / "f")], {"k": "double", "s": "string"}).collect()
+
+
 def test_transaction_messages(spark):
     text = json.dumps({"transaction_id": "a", "timestamp": "2024-01-01T00:00:01", "amount": 5.25, "category": "Food"})
     row = decode_json(spark.createDataFrame([(text,)], "value STRING"), TRANSACTION).first()
