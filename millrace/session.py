@@ -27,6 +27,8 @@ MAX_TASKS = 200_000
 SHUFFLE_TARGET_BYTES = 256 << 20
 MAX_SHUFFLE_WIDTH = 20_000
 MAX_STREAM_WIDTH = 2_000
+# Scratch paths handed out and not yet released.
+_SCRATCH: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -123,8 +125,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A path under the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no earlier run has used; `release_scratch` deletes it."""
+    path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete everything this process wrote under scratch paths; returns the number of paths.
+
+    Frames that read from such a path, as those of the layout and stream queries do, cannot be used afterwards.
+    """
+    released = 0
+    while _SCRATCH:
+        delete_path(spark, _SCRATCH.pop())
+        released += 1
+    return released
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -139,3 +155,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is on; nothing happens if it is absent."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, on whatever file system it is on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return sorted(status.getPath().toString() for status in found or [])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -1,4 +1,5 @@
 from millrace.sinks.streams import (
+    finished_batches,
     latest_updates,
     read_snapshot,
     to_messages,
@@ -10,6 +11,7 @@ from millrace.sinks.streams import (
 )
 from millrace.sinks.tables import (
     append_table,
+    bucket_count,
     register_external,
     replace_table,
     write_bucketed,
@@ -19,6 +21,8 @@ from millrace.sinks.tables import (
 
 __all__ = [
     "append_table",
+    "bucket_count",
+    "finished_batches",
     "latest_updates",
     "read_snapshot",
     "register_external",

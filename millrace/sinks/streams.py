@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators.ranking import rank_limit
-from millrace.session import delete_path
+from millrace.session import delete_path, matching_paths, path_exists
 
 # Results of a complete-mode stream that stay readable.
 SNAPSHOTS = 3
@@ -54,12 +54,26 @@ def write_updates(
     return writer.outputMode(mode).option("truncate", "false").start()
 
 
+def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
+    """A micro-batch as a folder of its own. A batch that is replayed after it was finished stays as it is."""
+    folder = f"{path}/batch_id={batch_id}"
+    if not path_exists(batch.sparkSession, f"{folder}/_SUCCESS"):
+        batch.write.mode("overwrite").parquet(folder)
+
+
+def finished_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the batches that are written to the end, with their `batch_id`; raises if there is none."""
+    done = [f.rsplit("/", 1)[0] for f in matching_paths(spark, f"{path}/batch_id=*/_SUCCESS")]
+    if not done:
+        raise FileNotFoundError(f"no finished batch under {path}")
+    return spark.read.option("basePath", path).parquet(*done)
+
+
 def _write_batches(
     df: DataFrame, path: str, checkpoint: str, mode: str, trigger: dict | None, history: int | None = None
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        # A replayed batch overwrites its own folder, so nothing is written twice.
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        write_batch(batch, path, batch_id)
         if history and batch_id >= history:
             delete_path(batch.sparkSession, f"{path}/batch_id={batch_id - history}")
 
@@ -73,19 +87,21 @@ def write_update_log(df: DataFrame, path: str, checkpoint: str, trigger: dict |
 
 def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """The current row of each key of an update log."""
-    return rank_limit(spark.read.parquet(path), keys, [F.desc("batch_id")], 1).drop("batch_id")
+    return rank_limit(finished_batches(spark, path), keys, [F.desc("batch_id")], 1).drop("batch_id")
 
 
-def write_snapshot(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """The whole result of an aggregate after each of the last batches; read it with `read_snapshot`.
+def write_snapshot(
+    df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, history: int = SNAPSHOTS
+) -> StreamingQuery:
+    """The whole result of an aggregate after each of the last `history` batches; read it with `read_snapshot`.
 
     Complete mode keeps every group in the state, also those behind the watermark. For windows on a stream that
     never ends use `write_update_log`, which lets closed windows go.
     """
-    return _write_batches(df, path, checkpoint, "complete", trigger, SNAPSHOTS)
+    return _write_batches(df, path, checkpoint, "complete", trigger, history)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The result after the last batch."""
-    batches = spark.read.parquet(path)
+    batches = finished_batches(spark, path)
     return batches.filter(F.col("batch_id") == batches.agg(F.max("batch_id")).scalar()).drop("batch_id")

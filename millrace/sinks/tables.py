@@ -3,6 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.session import plan_bytes
+
+BUCKET_BYTES = 256 << 20
+MAX_BUCKETS = 20_000
+# A bucket beyond this is too much for the one task that reads it.
+LARGEST_BUCKET = 4 << 30
 
 
 def append_table(df: DataFrame, path: str) -> None:
@@ -19,8 +27,12 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
     """One folder per value of `columns`; partitions that `df` does not touch stay as they are.
 
     REBALANCE brings the rows of a partition value together and splits a value too large for one task, so
-    there are neither tasks x values small files nor one task writing a hot value alone.
+    there are neither tasks x values small files nor one task writing a hot value alone. An empty text raises
+    while writing: as a folder name it would come back as NULL. Read the table back with its schema.
     """
+    refuse = F.raise_error(F.lit("an empty text cannot be a partition value"))
+    texts = [c for c, kind in df.dtypes if c in columns and kind == "string"]
+    df = df.withColumns({c: F.when(F.col(c) == "", refuse).otherwise(F.col(c)) for c in texts})
     (
         df.hint("rebalance", *columns)
         .write.mode("overwrite")
@@ -30,12 +42,21 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
     )
 
 
-def write_bucketed(df: DataFrame, name: str, n: int, key: str, path: str) -> DataFrame:
-    """Path-backed table of `n` hash buckets; grouping or joining it on `key` needs no exchange.
+def bucket_count(df: DataFrame) -> int:
+    """Buckets of about BUCKET_BYTES each, by Catalyst's estimate of the frame."""
+    return max(1, min(MAX_BUCKETS, -(-plan_bytes(df) // BUCKET_BYTES)))
+
+
+def write_bucketed(
+    df: DataFrame, name: str, key: str, path: str, n: int | None = None, largest: int = LARGEST_BUCKET
+) -> DataFrame:
+    """Path-backed table of `n` hash buckets, sized by the frame if not given.
 
-    REBALANCE into `n` hash partitions puts one bucket into one partition, and AQE lets several tasks write a
-    hot one.
+    Grouping or joining it on `key` needs no exchange. REBALANCE into `n` hash partitions puts one bucket into
+    one partition, and AQE lets several tasks write a hot one. A bucket is read by one task, so if one has more
+    than `largest` bytes the frame returned scans the files without regard to buckets.
     """
+    n = n or bucket_count(df)
     (
         df.hint("rebalance", n, key)
         .write.mode("overwrite")
@@ -44,7 +65,13 @@ def write_bucketed(df: DataFrame, name: str, n: int, key: str, path: str) -> Dat
         .sortBy(key)
         .saveAsTable(name)
     )
-    return df.sparkSession.table(name)
+    bucketed = df.sparkSession.table(name)
+    files = bucketed.select("_metadata.file_name", "_metadata.file_size").distinct()
+    bucket = F.regexp_extract("file_name", r"_(\d{5})\.", 1)
+    sizes = files.groupBy(bucket.alias("bucket")).agg(F.sum("file_size").alias("size"))
+    if sizes.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0] > largest:
+        return df.sparkSession.read.schema(bucketed.schema).parquet(path)
+    return bucketed
 
 
 def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:

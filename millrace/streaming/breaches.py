@@ -14,6 +14,7 @@ from pyspark.sql.types import IntegerType, StructType
 from millrace.operators.runs import consecutive_breaches, trailing_runs
 from millrace.plans.sizing import GROUP_ROWS
 from millrace.session import delete_path
+from millrace.sinks.streams import finished_batches, write_batch
 
 HISTORY = 3
 
@@ -28,6 +29,7 @@ def start_breach_stream(
     n: int = 3,
     trigger: dict | None = None,
     group_rows: int = GROUP_ROWS,
+    history: int = HISTORY,
 ) -> StreamingQuery:
     """Write the rows that are the `n`-th breach in a row of their key to `path`.
 
@@ -44,13 +46,13 @@ def start_breach_stream(
         try:
             carried = spark.read.schema(run_schema).parquet(state(batch_id - 1)) if batch_id else None
             hits = consecutive_breaches(batch, keys, order, breach, n, carried, group_rows)
-            hits.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            write_batch(hits, path, batch_id)
             runs = trailing_runs(batch, keys, order, breach, n, carried)
             runs.write.mode("overwrite").parquet(state(batch_id))
         finally:
             batch.unpersist()
-        if batch_id >= HISTORY:
-            delete_path(spark, state(batch_id - HISTORY))
+        if batch_id >= history:
+            delete_path(spark, state(batch_id - history))
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(on_batch)
     return (writer.trigger(**trigger) if trigger else writer).start()
@@ -58,4 +60,4 @@ def start_breach_stream(
 
 def read_breaches(spark: SparkSession, path: str) -> DataFrame:
     """All rows the stream has reported so far."""
-    return spark.read.parquet(path).drop("batch_id")
+    return finished_batches(spark, path).drop("batch_id")

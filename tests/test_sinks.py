@@ -1,10 +1,15 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import top_k
+from millrace.session import path_exists, release_scratch, scratch_path
 from millrace.sinks import (
     append_table,
+    bucket_count,
+    finished_batches,
+    read_snapshot,
     register_external,
     replace_table,
     to_messages,
@@ -12,6 +17,7 @@ from millrace.sinks import (
     write_csv_report,
     write_partitioned,
 )
+from millrace.sources import read_table
 
 
 def test_append_and_replace(spark, tmp_path):
@@ -35,7 +41,7 @@ def test_dynamic_overwrite_keeps_other_partitions_and_prunes(spark, tmp_path, pl
 
 def test_bucketed_table_needs_no_exchange(spark, tmp_path, plan):
     df = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
-    table = write_bucketed(df, "bucketed_ids", 4, "k", str(tmp_path / "b"))
+    table = write_bucketed(df, "bucketed_ids", "k", str(tmp_path / "b"), n=4)
     grouped = table.groupBy("k").count()
     assert "Exchange" not in plan(grouped)
     assert grouped.count() == 50 and table.count() == 1000
@@ -43,6 +49,55 @@ def test_bucketed_table_needs_no_exchange(spark, tmp_path, plan):
     assert "Exchange hashpartitioning" not in plan(joined)
 
 
+def test_buckets_follow_the_size_and_a_hot_one_is_split(spark, tmp_path, plan, monkeypatch):
+    from millrace.sinks import tables
+
+    df = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
+    assert bucket_count(df) == 1
+    monkeypatch.setattr(tables, "plan_bytes", lambda _: 10 << 40)
+    assert bucket_count(df) == 20_000
+    monkeypatch.setattr(tables, "plan_bytes", lambda _: 1 << 30)
+    assert bucket_count(df) == 4
+    plain = write_bucketed(df, "hot_ids", "k", str(tmp_path / "b"), largest=100)
+    assert "Exchange" in plan(plain.groupBy("k").count()) and plain.count() == 1000
+
+
+def test_partition_values_come_back_as_written(spark, tmp_path):
+    df = spark.createDataFrame([(1, "01"), (2, "1"), (3, None)], "id INT, p STRING")
+    write_partitioned(df, str(tmp_path / "p"), ["p"])
+    back = read_table(spark, str(tmp_path / "p"), df.schema)
+    assert sorted(map(tuple, back.collect())) == [(1, "01"), (2, "1"), (3, None)]
+    with pytest.raises(Exception, match="empty text"):
+        write_partitioned(spark.createDataFrame([(1, "")], "id INT, p STRING"), str(tmp_path / "q"), ["p"])
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    for batch in range(2):
+        spark.range(5).write.parquet(f"{tmp_path}/batch_id={batch}")
+    (tmp_path / "batch_id=1" / "_SUCCESS").unlink()
+    assert finished_batches(spark, str(tmp_path)).count() == 5
+    assert read_snapshot(spark, str(tmp_path)).count() == 5
+    (tmp_path / "batch_id=0" / "_SUCCESS").unlink()
+    with pytest.raises(FileNotFoundError):
+        finished_batches(spark, str(tmp_path))
+
+
+def test_scratch_is_released_when_asked(spark):
+    path = scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert path_exists(spark, path) and release_scratch(spark) >= 1
+    assert not path_exists(spark, path)
+
+
+def test_nothing_stays_cached(spark, sf_dir):
+    from millrace.plans.batch_queries import BATCH
+
+    spark.catalog.clearCache()
+    for name in ("cached_key_counts", "consecutive_breaches"):
+        BATCH[name](spark, sf_dir).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
 def test_external_table_outlives_its_name(spark, tmp_path):
     path = str(tmp_path / "x")
     replace_table(spark.range(4), path)
