@@ -12,7 +12,7 @@ from millrace import operators as op
 from millrace.functions import over_limits
 from millrace.plans import roles
 from millrace.plans.roles import table, tables
-from millrace.session import scratch_path
+from millrace.session import materialise, scratch_path
 from millrace.sinks import (
     append_table,
     register_external,
@@ -26,11 +26,16 @@ from millrace.sources import (
     decode_json,
     harmonise_union,
     log_fields,
+    log_time,
     read_csv,
     read_documents,
+    read_drifting,
+    read_logs,
     read_table,
     register_view,
+    rejected_csv,
     rejected_json,
+    rejected_lines,
 )
 from millrace.streaming import (
     alert_messages,
@@ -57,21 +62,23 @@ def query(run: Query) -> Query:
 
 @query
 def key_profile(spark, sf_dir):
-    register_view(table(spark, sf_dir, "lineitem"), "lines")
-    return spark.sql(
-        """
-        SELECT CAST(l_linenumber AS DOUBLE) AS line_number,
-               COUNT(*) AS line_count,
-               ROUND(AVG(l_extendedprice), 2) AS avg_price,
-               ROUND(AVG(l_tax), 2) AS avg_tax,
-               ROUND(AVG(l_quantity), 2) AS avg_quantity
-        FROM lines
-        GROUP BY CAST(l_linenumber AS DOUBLE)
-        ORDER BY line_number
-        """
+    lines = table(spark, sf_dir, "lineitem").withColumn("line_number", F.col("l_linenumber").cast("double"))
+    return op.summarise(
+        lines,
+        ["line_number"],
+        count="line_count",
+        averages={"l_extendedprice": "avg_price", "l_tax": "avg_tax", "l_quantity": "avg_quantity"},
+        places=2,
+        order=["line_number"],
     )
 
 
+@query
+def view_counts(spark, sf_dir):
+    register_view(table(spark, sf_dir, "lineitem"), "lines")
+    return spark.sql("SELECT l_shipdate, count(*) AS n FROM lines WHERE l_quantity > 40 GROUP BY ALL HAVING n > 1")
+
+
 @query
 def key_revenue(spark, sf_dir):
     return op.summarise(
@@ -121,7 +128,9 @@ def total_count(spark, sf_dir):
 @query
 def cached_key_counts(spark, sf_dir):
     cached, _ = op.cache_table(table(spark, sf_dir, "orders").select("o_orderpriority"))
-    return op.count_by(cached, "o_orderpriority")
+    counts = materialise(op.count_by(cached, "o_orderpriority"))
+    cached.unpersist()
+    return counts
 
 
 @query
@@ -131,6 +140,15 @@ def placed_key_counts(spark, sf_dir):
     return op.count_by(op.repartition_evenly(orders, width), "o_custkey")
 
 
+@query
+def keyed_join_counts(spark, sf_dir):
+    """A join and a grouping that both use the placement by key chosen before them."""
+    orders, customers = tables(spark, sf_dir, "orders", "customer")
+    width = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    placed = op.repartition_by_key(orders.select(F.col("o_custkey").alias("c_custkey")), width, "c_custkey")
+    return op.count_by(placed.join(customers.select("c_custkey"), "c_custkey"), "c_custkey")
+
+
 @query
 def nested_group_topn(spark, sf_dir):
     documents = roles.documents(table(spark, sf_dir, "events"))
@@ -190,8 +208,10 @@ def filter_limit(spark, sf_dir):
 
 @query
 def filter_limit_any(spark, sf_dir):
+    """Which rows come is open, so what they have in common is shown."""
     lines = table(spark, sf_dir, "lineitem").select(*LINE_ID, "l_extendedprice")
-    return op.limit_rows(lines.filter(F.col("l_extendedprice") > 50), 10000)
+    some = op.limit_rows(lines.filter(F.col("l_extendedprice") > 50), 10000)
+    return some.agg(F.count("*").alias("line_count"), F.every(F.col("l_extendedprice") > 50).alias("all_above"))
 
 
 @query
@@ -347,6 +367,30 @@ def log_error_report(spark, sf_dir):
     return read_csv(spark, path, "Service STRING, Occurrences BIGINT")
 
 
+def _log_folder(spark, sf_dir):
+    """The log as text files; every fifth line has another layout."""
+    path = scratch_path(spark, "logs")
+    lines = roles.log_text(table(spark, sf_dir, "events"), broken=5)
+    lines.select("value").write.text(path)
+    return path
+
+
+@query
+def log_files_top5(spark, sf_dir):
+    return op.top_error_services(read_logs(spark, _log_folder(spark, sf_dir), containing="error"), 5)
+
+
+@query
+def log_rejects(spark, sf_dir):
+    return rejected_lines(spark.read.text(_log_folder(spark, sf_dir)))
+
+
+@query
+def log_times(spark, sf_dir):
+    logs = log_fields(roles.log_text(table(spark, sf_dir, "events")))
+    return logs.groupBy(log_time(year=2024).cast("timestamp_ntz").alias("logged_at")).agg(F.count("*").alias("n"))
+
+
 @query
 def json_decode(spark, sf_dir):
     messages = roles.reading_messages(table(spark, sf_dir, "events"))
@@ -369,8 +413,15 @@ def json_nested_decode(spark, sf_dir):
 
 @query
 def json_rejects(spark, sf_dir):
-    # View events lose their closing brace.
-    cut = F.when(F.col("event_type") == "view", F.rtrim(F.col("props"), F.lit("}"))).otherwise(F.col("props"))
+    # View events lose their closing brace, those of clicks are empty, of purchases blank, of errors too long.
+    kind = F.col("event_type")
+    cut = (
+        F.when(kind == "view", F.rtrim(F.col("props"), F.lit("}")))
+        .when(kind == "click", "")
+        .when(kind == "purchase", "  ")
+        .when(kind == "error", F.concat("props", F.lit(" x")))
+        .otherwise(F.col("props"))
+    )
     messages = table(spark, sf_dir, "events").select("event_id", cut.alias("value"))
     return rejected_json(messages, roles.PROPS)
 
@@ -442,8 +493,11 @@ def running_metrics_batch(spark, sf_dir):
 def partitioned_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "partitioned")
     orders = table(spark, sf_dir, "orders")
-    write_partitioned(orders, path, ["o_orderstatus"])
-    return read_table(spark, path).select(*orders.columns)
+    # Text that looks like a number, and NULLs.
+    day = F.when(F.col("o_orderkey") % 5 > 0, F.date_format("o_orderdate", "MM"))
+    orders = orders.withColumn("o_month", day)
+    write_partitioned(orders, path, ["o_month"])
+    return read_table(spark, path, orders.schema)
 
 
 @query
@@ -461,7 +515,7 @@ def partition_overwrite(spark, sf_dir):
 def bucketed_roundtrip(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
     name = f"lines_{uuid.uuid4().hex}"
-    bucketed = write_bucketed(lines, name, 16, "l_orderkey", scratch_path(spark, "bucketed"))
+    bucketed = write_bucketed(lines, name, "l_orderkey", scratch_path(spark, "bucketed"))
     return op.summarise(bucketed, ["l_orderkey"], count="line_count", sums={"l_quantity": "quantity"})
 
 
@@ -491,9 +545,45 @@ def documents_roundtrip(spark, sf_dir):
     return loaded.select("_id", "userId", "eventType", "value", F.col("metadata.k").alias("k"))
 
 
+@query
+def drifting_files_profile(spark, sf_dir):
+    paths = [scratch_path(spark, f"month{at}") for at in range(3)]
+    for frame, path in zip(roles.drifting(table(spark, sf_dir, "lineitem")), paths, strict=True):
+        frame.write.parquet(path)
+    return op.summarise(
+        read_drifting(spark, paths, {"l_linenumber": "double"}),
+        ["l_linenumber"],
+        count="line_count",
+        averages={"l_extendedprice": "avg_price", "l_quantity": "avg_quantity"},
+        places=2,
+        order=["l_linenumber"],
+    )
+
+
+CUSTOMER = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+
+
+@query
+def csv_header_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    table(spark, sf_dir, "customer").write.csv(path, header=True)
+    return read_csv(spark, path, CUSTOMER)
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    """Rows with a number that is none, a cell too few or a cell too many."""
+    path = scratch_path(spark, "csv")
+    key = F.col("c_custkey")
+    cells = F.array(key.cast("string"), "c_name", F.lit("7"), F.when(key % 7 == 0, "much").otherwise("1.5"), F.lit("s"))
+    cells = F.when(key % 7 == 1, F.slice(cells, 1, 4)).when(key % 7 == 2, F.array_append(cells, F.lit("t"))).otherwise(cells)
+    named = table(spark, sf_dir, "customer").filter(F.col("c_name").isNotNull())
+    named.select(F.array_join(cells, ",").alias("value")).write.text(path)
+    return rejected_csv(spark, path, CUSTOMER, header=False).select(F.col("_bad_row").alias("line"))
+
+
 @query
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    columns = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
     table(spark, sf_dir, "customer").write.csv(path)
-    return read_csv(spark, path, columns, header=False)
+    return read_csv(spark, path, CUSTOMER, header=False)

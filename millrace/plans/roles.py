@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import configure, fit_to_inputs
-from millrace.sources import read_table
+from millrace.sources import expanded, read_table
 
 PROPS = "k INT"
 
@@ -43,14 +43,20 @@ def drifting(lines: DataFrame) -> list[DataFrame]:
     ]
 
 
+def _with_property(events: DataFrame) -> DataFrame:
+    """Events with their property as column k, parsed once per row; NULL if there is none."""
+    parsed = F.coalesce(F.from_json("props", PROPS), F.struct(F.lit(None).cast("int").alias("k")))
+    return events.select("*", expanded(parsed))
+
+
 def readings(events: DataFrame) -> DataFrame:
     """Events as sensor readings; an error event is a critical status."""
-    return events.select(
+    return _with_property(events).select(
         "event_id",
         F.col("user_id").cast("string").alias("sensor_id"),
         F.col("ts").cast("timestamp").alias("event_time"),
         F.col("value").alias("temperature"),
-        F.from_json("props", PROPS).getField("k").cast("double").alias("humidity"),
+        F.col("k").cast("double").alias("humidity"),
         F.when(F.col("event_type") == "error", "critical").otherwise("normal").alias("status"),
     )
 
@@ -86,8 +92,8 @@ def purchase_messages(events: DataFrame) -> DataFrame:
 
 def process_samples(events: DataFrame) -> DataFrame:
     """Events as process samples: the value is the CPU share, the property the memory."""
-    memory = F.from_json("props", PROPS).getField("k").cast("double")
-    return events.select(
+    memory = F.col("k").cast("double")
+    return _with_property(events).select(
         F.col("user_id").alias("pid"),
         F.col("event_type").alias("name"),
         F.col("value").alias("cpu_pct"),
@@ -112,8 +118,8 @@ def documents(events: DataFrame) -> DataFrame:
 DOCUMENT = "_id BIGINT, userId INT, eventType STRING, value DOUBLE, metadata STRUCT<k: INT>"
 
 
-def log_text(events: DataFrame) -> DataFrame:
-    """Events as system log lines; the service is the user."""
+def log_text(events: DataFrame, broken: int = 0) -> DataFrame:
+    """Events as system log lines; the service is the user. Every `broken`-th lacks its colon."""
 
     def text(name: str):
         return F.coalesce(F.col(name).cast("string"), F.lit("unknown"))
@@ -125,7 +131,7 @@ def log_text(events: DataFrame) -> DataFrame:
             text("user_id"),
             F.lit("["),
             F.col("event_id"),
-            F.lit("]: "),
+            F.when(F.col("event_id") % broken == 0, "] - ").otherwise("]: ") if broken else F.lit("]: "),
             F.initcap(text("event_type")),
             F.lit(" with value "),
             text("value"),

@@ -9,7 +9,7 @@ from millrace.plans import roles
 from millrace.plans.batch_queries import Query
 from millrace.plans.roles import table, tables
 from millrace.session import scratch_path
-from millrace.sinks import latest_updates, read_snapshot, write_files, write_snapshot
+from millrace.sinks import latest_updates, read_snapshot, write_files, write_snapshot, write_update_log
 from millrace.sources import stream_table
 from millrace.streaming import (
     alert_messages,
@@ -35,81 +35,151 @@ def query(run: Query) -> Query:
     return run
 
 
-def _event_stream(spark, sf_dir):
+# Parts of the events that arrive one after another.
+ARRIVALS = 3
+
+
+def _time_slices(events):
+    """Conditions that cut the events into equal spans of time; rows without a time come first."""
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    if low is None:
+        return [F.lit(True)]
+    cuts = [F.lit(low + (high - low) * at / ARRIVALS).cast("timestamp_ntz") for at in range(1, ARRIVALS)]
+    at = sum((F.coalesce((F.col("ts") >= cut).cast("int"), F.lit(0)) for cut in cuts), F.lit(0))
+    return [at == part for part in range(ARRIVALS)]
+
+
+def _drain(spark, sf_dir, start, parts=None):
+    """Let parts of the events arrive one after another; the queries that `start` makes of the stream drain each.
+
+    Every part is at least one micro-batch, and between parts the queries are restarted from their checkpoints.
+    """
     (events,) = tables(spark, sf_dir, "events", streaming=True)
-    return stream_table(spark, f"{sf_dir}/events.parquet", events.schema)
+    path = scratch_path(spark, "arrivals")
+    for part in parts or _time_slices(events):
+        events.filter(part).write.mode("append").parquet(path)
+        for each in start(lambda: stream_table(spark, path, events.schema)):
+            each.awaitTermination()
 
 
-def _reading_stream(spark, sf_dir, keep=()):
-    return parse_readings(roles.reading_messages(_event_stream(spark, sf_dir)), keep)
+def _readings(stream, keep=()):
+    return parse_readings(roles.reading_messages(stream), keep)
 
 
-def _snapshot(spark, df):
+def _snapshot(spark, sf_dir, aggregate):
     """Drain an aggregate in complete mode and read its last result."""
     path = scratch_path(spark, "stream")
-    write_snapshot(df, f"{path}/out", f"{path}/checkpoint", DRAIN).awaitTermination()
+    _drain(
+        spark, sf_dir, lambda source: [write_snapshot(aggregate(source), f"{path}/out", f"{path}/checkpoint", DRAIN)]
+    )
     return read_snapshot(spark, f"{path}/out")
 
 
-@query
-def alert_stream(spark, sf_dir):
+def _appended(spark, sf_dir, rows):
     path = scratch_path(spark, "stream")
-    messages = alert_messages(_reading_stream(spark, sf_dir))
-    write_files(messages, f"{path}/out", f"{path}/checkpoint", DRAIN).awaitTermination()
+    _drain(spark, sf_dir, lambda source: [write_files(rows(source), f"{path}/out", f"{path}/checkpoint", DRAIN)])
     return spark.read.parquet(f"{path}/out")
 
 
+@query
+def alert_stream(spark, sf_dir):
+    return _appended(spark, sf_dir, lambda source: alert_messages(_readings(source())))
+
+
 @query
 def critical_window_counts_stream(spark, sf_dir):
-    return _snapshot(spark, flat_window(critical_window_counts(_reading_stream(spark, sf_dir))))
+    return _snapshot(spark, sf_dir, lambda source: flat_window(critical_window_counts(_readings(source()))))
+
+
+def _both(spark, sf_dir):
+    """Alerts and counts of one start; returns their folder."""
+    path = scratch_path(spark, "stream")
+    _drain(
+        spark,
+        sf_dir,
+        lambda source: start_alerts_and_counts(
+            _readings(source()), f"{path}/checkpoint", f"{path}/counts", f"{path}/alerts", trigger=DRAIN
+        ),
+    )
+    return path
 
 
 @query
 def critical_window_updates_stream(spark, sf_dir):
+    return flat_window(latest_updates(spark, f"{_both(spark, sf_dir)}/counts", ["window", "sensor_id"]))
+
+
+@query
+def alerts_and_counts_stream(spark, sf_dir):
+    """Rows per sensor in both outputs of one start."""
+    path = _both(spark, sf_dir)
+    alerts = spark.read.parquet(f"{path}/alerts").groupBy(F.col("key").alias("sensor_id")).agg(F.count("*").alias("n"))
+    counts = latest_updates(spark, f"{path}/counts", ["window", "sensor_id"])
+    counts = counts.groupBy("sensor_id").agg(F.sum("critical_count").alias("n"))
+    return alerts.select(F.lit("alerts").alias("output"), "*").union(counts.select(F.lit("counts"), "*"))
+
+
+# Critical readings between these times come late; those after the second never come.
+LATE = ("2024-01-12", "2024-01-18")
+
+
+def _late_counts(spark, sf_dir, advance_on):
+    """Counts after a gap whose critical readings arrive when other readings are already past it."""
     path = scratch_path(spark, "stream")
-    queries = start_alerts_and_counts(
-        _reading_stream(spark, sf_dir), f"{path}/checkpoint", f"{path}/counts", f"{path}/alerts", trigger=DRAIN
-    )
-    for each in queries:
-        each.awaitTermination()
-    return flat_window(latest_updates(spark, f"{path}/counts", ["window", "sensor_id"]))
+    before, after = (F.col("ts") < F.lit(at).cast("timestamp_ntz") for at in LATE)
+    critical = F.col("event_type") == "error"
+
+    def start(source):
+        counts = flat_window(critical_window_counts(_readings(source()), advance_on=advance_on))
+        return [write_update_log(counts, f"{path}/out", f"{path}/checkpoint", DRAIN)]
+
+    _drain(spark, sf_dir, start, [before, ~after & ~critical, ~before & after & critical])
+    return latest_updates(spark, f"{path}/out", ["window_start", "window_end", "sensor_id"])
+
+
+@query
+def late_window_counts_critical(spark, sf_dir):
+    return _late_counts(spark, sf_dir, "critical")
+
+
+@query
+def late_window_counts_all(spark, sf_dir):
+    return _late_counts(spark, sf_dir, "all")
 
 
 @query
 def anomaly_stream(spark, sf_dir):
-    path = scratch_path(spark, "stream")
-    anomalies = detect_anomalies(_reading_stream(spark, sf_dir, keep=("event_id",)))
-    chosen = anomalies.select("event_id", "sensor_id", "reasons")
-    write_files(chosen, f"{path}/out", f"{path}/checkpoint", DRAIN).awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    def rows(source):
+        return detect_anomalies(_readings(source(), keep=("event_id",))).select("event_id", "sensor_id", "reasons")
+
+    return _appended(spark, sf_dir, rows)
 
 
 @query
 def anomaly_counts_stream(spark, sf_dir):
-    return _snapshot(spark, anomaly_counts(_reading_stream(spark, sf_dir)))
+    return _snapshot(spark, sf_dir, lambda source: anomaly_counts(_readings(source())))
 
 
 @query
 def running_metrics_stream(spark, sf_dir):
-    sensors = _reading_stream(spark, sf_dir, keep=("event_id",))
-    transactions = parse_transactions(roles.purchase_messages(_event_stream(spark, sf_dir)))
-    metrics = _snapshot(spark, running_metrics(sensors, transactions, tie="event_id"))
-    return metrics.withColumn("total_revenue", F.round("total_revenue", 2))
+    def metrics(source):
+        transactions = parse_transactions(roles.purchase_messages(source()))
+        return running_metrics(_readings(source(), keep=("event_id",)), transactions, tie="event_id")
+
+    return _snapshot(spark, sf_dir, metrics).withColumn("total_revenue", F.round("total_revenue", 2))
 
 
 @query
 def consecutive_breaches_stream(spark, sf_dir):
     path = scratch_path(spark, "stream")
-    events = _event_stream(spark, sf_dir).select("user_id", "ts", "event_id", "value")
-    start_breach_stream(
-        events,
-        ["user_id"],
-        ["ts", "event_id"],
-        F.col("value") > 50,
-        f"{path}/out",
-        f"{path}/checkpoint",
-        trigger=DRAIN,
-    ).awaitTermination()
+
+    def start(source):
+        events = source().select("user_id", "ts", "event_id", "value")
+        over = F.col("value") > 50
+        out = f"{path}/out", f"{path}/checkpoint"
+        return [start_breach_stream(events, ["user_id"], ["ts", "event_id"], over, *out, trigger=DRAIN)]
+
+    _drain(spark, sf_dir, start)
     return read_breaches(spark, f"{path}/out")
 
 
@@ -118,7 +188,10 @@ def lambda_serving_view(spark, sf_dir):
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
     events = table(spark, sf_dir, "events")
     batch = partial_aggregate(events.filter(F.col("ts") < cut), ["event_type"], "value")
-    recent = _event_stream(spark, sf_dir).filter(F.col("ts") >= cut)
-    speed = _snapshot(spark, partial_aggregate(recent, ["event_type"], "value"))
+    speed = _snapshot(
+        spark,
+        sf_dir,
+        lambda source: partial_aggregate(source().filter(F.col("ts") >= cut), ["event_type"], "value"),
+    )
     view = serving_view(batch, speed, ["event_type"])
     return view.withColumn("total", F.round("total", 2)).withColumn("average", F.round("average", 2))

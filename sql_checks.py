@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from millrace.functions.hashing import NULL_TEXT, SAMPLE_DIGITS, sample_cut
+
 MASK = 4294967295
 
 
@@ -67,8 +69,8 @@ def _pmod(n: int) -> str:
 
 
 def _sample(fraction: float, seed: int, columns: list[str]) -> str:
-    hashed = _murmur3("events", columns, [(str(seed), "int"), ("event_id", "long")])
-    return f"SELECT {', '.join(columns)} FROM ({hashed}) WHERE {_pmod(1000000)} < {round(fraction * 1000000)}"
+    digest = f"substr(md5('{seed}|' || coalesce(CAST(event_id AS VARCHAR), '{NULL_TEXT}')), 1, {SAMPLE_DIGITS})"
+    return f"SELECT {', '.join(columns)} FROM events WHERE {digest} < '{sample_cut(fraction)}'"
 
 
 READINGS = """(
@@ -96,6 +98,15 @@ WINDOWS = """
            CAST(user_id AS VARCHAR) AS sensor_id, COUNT(*) AS critical_count
     FROM events WHERE event_type = 'error' GROUP BY ALL"""
 
+LATE_WINDOWS = """
+    SELECT window_start, window_end, sensor_id, COUNT(*) AS critical_count
+    FROM (
+        SELECT time_bucket(INTERVAL '5 seconds', ts) AS window_start,
+               time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS window_end,
+               CAST(user_id AS VARCHAR) AS sensor_id, ts >= '2024-01-12' AS late
+        FROM events WHERE event_type = 'error' AND ts < '2024-01-18')
+    WHERE {kept} GROUP BY ALL"""
+
 ANOMALIES = f"""
     SELECT event_id, ts, sensor_id,
            concat_ws(', ',
@@ -162,6 +173,7 @@ ORACLE: dict[str, str] = {
                ROUND(AVG(l_extendedprice), 2) AS avg_price, ROUND(AVG(l_tax), 2) AS avg_tax,
                ROUND(AVG(l_quantity), 2) AS avg_quantity
         FROM lineitem GROUP BY l_linenumber ORDER BY line_number""",
+    "view_counts": "SELECT l_shipdate, COUNT(*) AS n FROM lineitem WHERE l_quantity > 40 GROUP BY ALL HAVING n > 1",
     "key_revenue": """
         SELECT o_orderpriority, COUNT(*) AS order_count, ROUND(SUM(o_totalprice), 2) AS total_revenue,
                ROUND(AVG(o_totalprice), 2) AS avg_order
@@ -169,6 +181,8 @@ ORACLE: dict[str, str] = {
     "key_counts": PRIORITY_COUNTS,
     "cached_key_counts": PRIORITY_COUNTS,
     "placed_key_counts": 'SELECT o_custkey, COUNT(*) AS "count" FROM orders GROUP BY o_custkey',
+    "keyed_join_counts": """
+        SELECT c_custkey, COUNT(*) AS "count" FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey""",
     "two_key_agg": """
         SELECT l_returnflag, l_linenumber, COUNT(*) AS cnt, ROUND(AVG(l_extendedprice), 2) AS avg_price,
                ROUND(SUM(l_extendedprice), 2) AS sum_price
@@ -201,6 +215,9 @@ ORACLE: dict[str, str] = {
     "filter_limit": f"""
         SELECT {LINE_ID}, l_extendedprice FROM lineitem WHERE l_extendedprice > 50
         ORDER BY {LINE_ORDER}, l_extendedprice LIMIT 10000""",
+    "filter_limit_any": """
+        SELECT LEAST(COUNT(*), 10000) AS line_count, CASE WHEN COUNT(*) > 0 THEN true END AS all_above
+        FROM lineitem WHERE l_extendedprice > 50""",
     "preview_rows": "SELECT * FROM events ORDER BY event_id LIMIT 10",
     "sample_rows": _sample(0.02, 7, ["event_id", "user_id", "value"]),
     "size_gate": """
@@ -251,12 +268,22 @@ ORACLE: dict[str, str] = {
     "log_error_services": """
         SELECT DISTINCT 'app-' || COALESCE(CAST(user_id AS VARCHAR), 'unknown') AS service
         FROM events WHERE event_type = 'error'""",
+    "log_files_top5": LOG_ERRORS.replace("GROUP BY 1", "AND event_id % 5 <> 0 GROUP BY 1"),
+    "log_rejects": """
+        SELECT strftime(ts, '%b %d %H:%M:%S') || ' node1 app-' || COALESCE(CAST(user_id AS VARCHAR), 'unknown')
+               || '[' || event_id || '] - ' || upper(event_type[1]) || event_type[2:] || ' with value '
+               || COALESCE(CAST(value AS VARCHAR), 'unknown') AS value
+        FROM (SELECT * REPLACE (COALESCE(event_type, 'unknown') AS event_type) FROM events) WHERE event_id % 5 = 0""",
+    "log_times": """
+        SELECT date_trunc('second', ts) + INTERVAL 1 YEAR * (2024 - year(ts)) AS logged_at, COUNT(*) AS n
+        FROM events GROUP BY 1""",
     "json_decode": f"""
         SELECT event_id, sensor_id, temperature, humidity, status, ts AS event_time FROM {READINGS}""",
     "json_nested_decode": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "json_rejects": """
-        SELECT event_id, rtrim(props, '}') AS value FROM events
-        WHERE event_type = 'view' AND props IS NOT NULL""",
+        SELECT event_id, CASE event_type WHEN 'view' THEN rtrim(props, '}') WHEN 'click' THEN '' WHEN 'purchase' THEN '  '
+               WHEN 'error' THEN props || ' x' ELSE props END AS value
+        FROM events WHERE event_type IN ('view', 'click', 'purchase', 'error') OR props IS NULL""",
     "anomaly_reasons": f"SELECT event_id, sensor_id, reasons FROM ({ANOMALIES})",
     "anomaly_stream": f"SELECT event_id, sensor_id, reasons FROM ({ANOMALIES})",
     "anomaly_numbers": f"""
@@ -283,6 +310,14 @@ ORACLE: dict[str, str] = {
     "critical_counts": WINDOWS,
     "critical_window_counts_stream": WINDOWS,
     "critical_window_updates_stream": WINDOWS,
+    "late_window_counts_critical": LATE_WINDOWS.format(kept="true"),
+    "late_window_counts_all": LATE_WINDOWS.format(kept="""
+        late IS NOT TRUE OR window_end > (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '5 seconds' FROM events
+            WHERE ts >= '2024-01-18' AND event_type <> 'error')"""),
+    "alerts_and_counts_stream": f"""
+        SELECT 'alerts' AS output, sensor_id, COUNT(*) AS n FROM ({ALERTS}) GROUP BY sensor_id
+        UNION ALL
+        SELECT 'counts', CAST(user_id AS VARCHAR), COUNT(*) FROM events WHERE event_type = 'error' GROUP BY user_id""",
     "anomaly_totals": ANOMALY_TOTALS,
     "anomaly_counts_stream": ANOMALY_TOTALS,
     "running_metrics_batch": METRICS,
@@ -290,7 +325,8 @@ ORACLE: dict[str, str] = {
     "lambda_serving_view": """
         SELECT event_type, COUNT(*) AS "count", ROUND(SUM(value), 2) AS total, ROUND(AVG(value), 2) AS average
         FROM events GROUP BY event_type""",
-    "partitioned_roundtrip": "SELECT * FROM orders",
+    "partitioned_roundtrip": """
+        SELECT *, CASE WHEN o_orderkey % 5 > 0 THEN strftime(o_orderdate, '%m') END AS o_month FROM orders""",
     "partition_overwrite": """
         SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 0.0 ELSE o_totalprice END AS o_totalprice,
                o_orderstatus FROM orders""",
@@ -301,6 +337,15 @@ ORACLE: dict[str, str] = {
     "documents_roundtrip": """
         SELECT event_id AS _id, CAST(user_id AS INTEGER) AS "userId", event_type AS "eventType", value,
                CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
+    "drifting_files_profile": """
+        SELECT CAST(l_linenumber AS DOUBLE) AS l_linenumber, COUNT(*) AS line_count,
+               ROUND(AVG(l_extendedprice), 2) AS avg_price, ROUND(AVG(l_quantity), 2) AS avg_quantity
+        FROM lineitem GROUP BY 1 ORDER BY 1""",
+    "csv_header_roundtrip": "SELECT * FROM customer",
+    "csv_rejects": """
+        SELECT c_custkey || ',' || c_name || CASE c_custkey % 7 WHEN 0 THEN ',7,much,s' WHEN 1 THEN ',7,1.5'
+               ELSE ',7,1.5,s,t' END AS line
+        FROM customer WHERE c_custkey % 7 < 3 AND c_name IS NOT NULL""",
     "csv_roundtrip": "SELECT * FROM customer",
 }
 
