@@ -24,6 +24,7 @@ ORDERS = (1, 2, 3)
 # Labelled documents per language that the model is fitted on, and how many of them all are landmarks.
 PER_LANGUAGE = 400
 LANDMARKS = 128
+SALTS = 64
 RIDGE = 1e-4
 SHARPNESS = 6.0
 # Bytes of a text that are cut into n-grams at a time.
@@ -96,7 +97,9 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     ready(docs.sparkSession)
     known = docs.select("doc_id", F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     known = known.filter(F.col("lang").isNotNull()).withColumn("_at", placed(10, "doc_id"))
-    first = rank_limit(known.select("lang", "_at"), ["lang"], [F.col("_at")], per_language)
+    # First within salted parts of a language, so that the task that merges one gets SALTS * per_language rows at most.
+    first = known.select("lang", "_at", (F.col("_at") % SALTS).alias("_salt"))
+    first = rank_limit(rank_limit(first, ["lang", "_salt"], [F.col("_at")], per_language), ["lang"], [F.col("_at")], per_language)
     cuts = first.groupBy("lang").agg(F.max("_at").alias("_cut"))
     chosen = sized_join(known, cuts, ["lang"], "inner").filter(F.col("_at") <= F.col("_cut"))
     chosen = chosen.filter(F.col("text").rlike(r"\p{L}")).dropDuplicates(["lang", "doc_id"])
