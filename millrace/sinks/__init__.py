@@ -1,5 +1,6 @@
 from millrace.sinks.streams import (
     finished_batches,
+    fold_updates,
     latest_updates,
     read_snapshot,
     to_messages,
@@ -23,6 +24,7 @@ __all__ = [
     "append_table",
     "bucket_count",
     "finished_batches",
+    "fold_updates",
     "latest_updates",
     "read_snapshot",
     "register_external",

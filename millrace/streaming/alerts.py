@@ -50,6 +50,6 @@ def start_alerts_and_counts(
     else:
         raise ValueError("give alerts_path or alerts_topic")
     counts = write_update_log(
-        critical_window_counts(readings), counts_path, f"{checkpoint}/counts", trigger=trigger
+        critical_window_counts(readings), counts_path, f"{checkpoint}/counts", trigger, ["window", "sensor_id"]
     )
     return alerts, counts

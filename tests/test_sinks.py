@@ -9,6 +9,8 @@ from millrace.sinks import (
     append_table,
     bucket_count,
     finished_batches,
+    fold_updates,
+    latest_updates,
     read_snapshot,
     register_external,
     replace_table,
@@ -82,6 +84,20 @@ def test_unfinished_batches_are_not_read(spark, tmp_path):
         finished_batches(spark, str(tmp_path))
 
 
+def test_folded_updates_read_the_same(spark, tmp_path):
+    path = str(tmp_path)
+    for batch in range(3):
+        spark.range(batch, 4).selectExpr("id", f"{batch} AS v").write.parquet(f"{path}/batch_id={batch}")
+    before = sorted(map(tuple, latest_updates(spark, path, ["id"]).collect()))
+    fold_updates(spark, path, ["id"])
+    assert sorted(p.name for p in tmp_path.iterdir() if p.is_dir()) == ["folded-2"]
+    assert sorted(map(tuple, latest_updates(spark, path, ["id"]).collect())) == before
+    spark.range(1).selectExpr("id", "9 AS v").write.parquet(f"{path}/batch_id=3")
+    assert sorted(map(tuple, latest_updates(spark, path, ["id"]).collect())) == [(0, 9), *before[1:]]
+    fold_updates(spark, path, ["id"])
+    assert sorted(map(tuple, latest_updates(spark, path, ["id"]).collect())) == [(0, 9), *before[1:]]
+
+
 def test_scratch_is_released_when_asked(spark):
     path = scratch_path(spark, "t")
     spark.range(3).write.parquet(path)
