@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.base import SPACE, WORD, whole_text
+from millrace.sources import expanded
 
 WINDOW = 5
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -93,7 +94,9 @@ def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
             (at + WINDOW).alias("end"), (s["n"] + at + WINDOW - F.greatest(at, s["end"])).cast("long").alias("n")
         ),
     )["n"]
-    return t.select(*kept, *numbers, F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
+    # A generator, so that Catalyst does not move a filter on the features, and with it all of the above, below it.
+    repeats = F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words")
+    return t.select(*kept, expanded(F.struct(*numbers, repeats)))
 
 
 def vote(rule: Rule) -> Column:
