@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.base import Shelf, whole_text
@@ -111,13 +111,13 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 def document_facts(docs: DataFrame, shelf: Shelf, text: str = "text") -> DataFrame:
     """doc_id, number of shingles, digest of the set and signature of each row, computed once."""
 
-    @F.arrow_udf("struct<n:long,cls:binary,sig:binary,bits:array<long>>")
+    @F.arrow_udf("struct<n:long,cls:binary,sig:array<short>,bits:array<long>>")
     def facts(texts: pa.Array) -> pa.Array:
         sets = [shingles(t.as_py()) for t in texts]
         columns = [
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-            pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+            pa.array([signature(s).view(np.int16) for s in sets], pa.list_(pa.int16())),
             pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())),
         ]
         return pa.StructArray.from_arrays(columns, ["n", "cls", "sig", "bits"])
@@ -127,16 +127,19 @@ def document_facts(docs: DataFrame, shelf: Shelf, text: str = "text") -> DataFra
 
 
 def buckets(classes: DataFrame, shelf: Shelf) -> DataFrame:
-    """(key, node, n, score): members of keys that several nodes share; the score says how much a node shares."""
+    """(key, pos, node, n, score): members of keys that several nodes share; the score says how much a node shares.
+
+    `pos` tells the chunk of the key and the slots left out; it is the same for all members of a key.
+    """
 
     @F.arrow_udf("array<long>")
     def keys(signatures: pa.Array) -> pa.Array:
-        found = chunk_keys(np.frombuffer(b"".join(signatures.to_pylist()), "<u2"))
+        found = chunk_keys(signatures.flatten().to_numpy(zero_copy_only=False).astype(np.int16).view(np.uint16))
         ends = pa.array(np.arange(len(found) + 1) * (CHUNKS * len(LEFT_IN)), pa.int32())
         return pa.ListArray.from_arrays(ends, pa.array(found.ravel()))
 
     width = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = classes.repartition(width).select("node", "n", F.explode(keys("sig")).alias("key"))
+    keyed = classes.repartition(width).select("node", "n", F.posexplode(keys("sig")).alias("pos", "key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     members = shelf.store(keyed.join(shared, "key"))
     scores = members.groupBy("node").agg(F.sum("members").alias("score"))
@@ -222,19 +225,37 @@ def _links(members: DataFrame, classes: DataFrame, docs: DataFrame, text: str, s
     tried = tried.agg(F.max(F.struct("k", "other")).alias("p")).select("node", F.col("p.other").alias("other"))
     links = confirmed(_ordered(tried), docs, text, shelf)
     # What still shares a key across components.
-    at = members.select("key", "node", "n").join(components(links, shelf), "node", "left")
-    at = shelf.store(at.select("key", "node", "n", F.coalesce("component", "node").alias("c")))
+    at = members.select("key", "pos", "node", "n").join(components(links, shelf), "node", "left")
+    at = shelf.store(at.select("key", "pos", "node", "n", F.coalesce("component", "node").alias("c")))
     mixed = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     bits = [F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(WORDS_OF_BITS)]
-    at = at.join(mixed, "key", "left_semi").join(classes.select("node", *bits), "node")
-    other = at.select("key", *[F.col(c).alias(f"{c}_2") for c in at.columns if c != "key"])
+    at = at.join(mixed, "key", "left_semi").join(classes.select("node", "sig", *bits), "node")
+    other = at.select("key", *[F.col(c).alias(f"{c}_2") for c in at.columns if c not in ("key", "pos")])
     differ = sum((F.bit_count(F.col(f"b{i}").bitwiseXOR(F.col(f"b{i}_2"))) for i in range(WORDS_OF_BITS)), F.lit(0))
     # With d shingles not shared, the similarity is at most (n + n2 - d) / (n + n2 + d).
     similar = (F.col("n") + F.col("n_2") - differ) * 100 >= (F.col("n") + F.col("n_2") + differ) * SIMILAR
-    across = at.join(other, (at["key"] == other["key"]) & (F.col("c") < F.col("c_2")) & similar)
+    across = at.join(other, (at["key"] == other["key"]) & (F.col("c") < F.col("c_2")) & similar & _first_key())
     return links.union(confirmed(_ordered(across.select("node", F.col("node_2").alias("other"))), docs, text, shelf))
 
 
+def _first_key() -> Column:
+    """Whether the key, at `pos`, is the first of those that the signatures `sig` and `sig_2` share.
+
+    It is if no chunk before has few enough errors, and of the choices of slots in its own chunk it is the first. For
+    one error per chunk these two cases are all there are.
+    """
+    slots = range(CHUNKS * SLOTS)
+    differ = [(F.get("sig", F.lit(i)) != F.get("sig_2", F.lit(i))).cast("int") for i in slots]
+    chunk, choice = F.col("pos") % CHUNKS, F.floor(F.col("pos") / CHUNKS)
+    errors = [sum(differ[at * SLOTS : (at + 1) * SLOTS], F.lit(0)) for at in range(CHUNKS)]
+    found = F.lit(True)
+    for at, wrong in enumerate(errors):
+        found = found & ((chunk <= at) | (wrong > ERRORS))
+        # Without errors all choices of a chunk are shared; with as many as may be left out only one is.
+        found = found & ((chunk != at) | (wrong > 0) | (choice == 0))
+    return found
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 

@@ -90,6 +90,20 @@ def test_pairs_under_the_distance_meet_under_a_key():
     assert len(set(nd.chunk_keys(a)[0].tolist())) == nd.CHUNKS * nd.SLOTS
 
 
+def test_a_pair_is_taken_at_exactly_one_shared_key(spark):
+    rng = np.random.default_rng(6)
+    rows, shared = [], {}
+    for pair in range(60):
+        a = rng.integers(0, 1 << 16, nd.CHUNKS * nd.SLOTS).astype("<u2")
+        b = np.where(rng.random(len(a)) < rng.random() * 0.6, a + 1, a).astype("<u2")
+        same = np.flatnonzero(nd.chunk_keys(a)[0] == nd.chunk_keys(b)[0]).tolist()
+        shared[pair] = bool(same)
+        rows += [(pair, pos, a.view(np.int16).tolist(), b.view(np.int16).tolist()) for pos in same]
+    df = spark.createDataFrame(rows, "pair int, pos int, sig array<short>, sig_2 array<short>")
+    taken = [r.pair for r in df.filter(nd._first_key()).collect()]
+    assert sorted(taken) == sorted(p for p, s in shared.items() if s) and len(taken) > 20
+
+
 def test_bitmaps_never_hide_a_link():
     rng = np.random.default_rng(4)
     for n in (1, 5, 60, 900):
