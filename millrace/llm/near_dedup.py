@@ -241,19 +241,17 @@ def _links(members: DataFrame, classes: DataFrame, docs: DataFrame, text: str, s
 def _first_key() -> Column:
     """Whether the key, at `pos`, is the first of those that the signatures `sig` and `sig_2` share.
 
-    It is if no chunk before has few enough errors, and of the choices of slots in its own chunk it is the first. For
-    one error per chunk these two cases are all there are.
+    It is if no chunk before has few enough errors, and of the choices of slots in its own chunk it is the first: of
+    a chunk without errors all are shared, of one with an error only one.
     """
-    slots = range(CHUNKS * SLOTS)
-    differ = [(F.get("sig", F.lit(i)) != F.get("sig_2", F.lit(i))).cast("int") for i in slots]
+
+    def errors(chunk: Column) -> Column:
+        slots = [chunk.cast("int") * SLOTS + i for i in range(SLOTS)]
+        return sum(((F.get("sig", i) != F.get("sig_2", i)).cast("int") for i in slots), F.lit(0))
+
     chunk, choice = F.col("pos") % CHUNKS, F.floor(F.col("pos") / CHUNKS)
-    errors = [sum(differ[at * SLOTS : (at + 1) * SLOTS], F.lit(0)) for at in range(CHUNKS)]
-    found = F.lit(True)
-    for at, wrong in enumerate(errors):
-        found = found & ((chunk <= at) | (wrong > ERRORS))
-        # Without errors all choices of a chunk are shared; with as many as may be left out only one is.
-        found = found & ((chunk != at) | (wrong > 0) | (choice == 0))
-    return found
+    earlier = F.exists(F.sequence(F.lit(0), F.lit(CHUNKS - 1)), lambda at: (at < chunk) & (errors(at) <= ERRORS))
+    return ~earlier & ((choice == 0) | (errors(chunk) > 0))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
