@@ -1,8 +1,10 @@
 """Packing by lexical retrieval.
 
-Documents are tokenised once into a table of token ids in the shared folder. The table is dealt into shards of about
-equal size; document frequencies of terms, which are token ids, are counted over all of it. A shard has a BM25
-inverted index of its documents: the unused neighbours that it returns for a seed document fill the seed's window one
+Documents are tokenised once into a table of token ids in the shared folder. Document frequencies of terms, which are
+token ids, are counted over all of it. The table is dealt into shards of about equal size by content: a tree of cuts
+through the documents' sketches, which are random projections of their weighted terms, so that related documents tend
+to meet whatever the number of shards is. Neighbours are not sought outside the shard. A shard has a BM25 inverted
+index of its documents: the unused neighbours that it returns for a seed document fill the seed's window one
 after another, and the one that does not fit is cut, its rest staying unused. Whole windows of a long document are
 sequences of their own. What is left at the end of a shard goes to sequences whose lengths are powers of two, which
 need no padding.
@@ -39,6 +41,8 @@ QUERY_TERMS, NEIGHBOURS = 24, 32
 # Words a worker remembers the ids of; the memory is emptied when full, and no id depends on it.
 REMEMBERED = 500_000
 TERMS = 1 << 16
+# Numbers of a sketch; documents sampled for a shard, and in all at most, to place the cuts.
+SKETCH, PER_SHARD, SAMPLED = 64, 64, 200_000
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 )
@@ -124,7 +128,7 @@ def document_frequencies(tokens: DataFrame) -> np.ndarray:
         total = np.zeros(TERMS, np.int64)
         for batch in batches:
             for ids in batch.column(0):
-                total[np.unique(np.frombuffer(ids.as_py(), "<u2"))] += 1
+                total[np.frombuffer(ids.as_py(), "<u2")] += 1  # once, however often an id is repeated
         terms = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(total[terms])], ["term", "n"])
 
@@ -135,15 +139,125 @@ def document_frequencies(tokens: DataFrame) -> np.ndarray:
     return total
 
 
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms in order, and how often each occurs; ids are not empty."""
+    ids = np.sort(ids)
+    ends = np.append(np.flatnonzero(ids[1:] != ids[:-1]), len(ids) - 1)
+    counts = ends.copy()
+    counts[1:] -= ends[:-1]
+    counts[0] += 1
+    return ids[ends], counts
+
+
+@functools.cache
+def signs() -> np.ndarray:
+    """A random sign per term and place of a sketch."""
+    return np.random.default_rng(1).integers(0, 2, (TERMS, SKETCH)).astype(np.float32) * 2 - 1
+
+
+def sketch(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The document's weighted terms projected onto random signs.
+
+    Weights are whole numbers, small enough for sums of them to be exact, so that every machine finds the same.
+    """
+    terms, tf = counted(ids)
+    weights = np.rint(idf[terms] * (tf * (K1 + 1) / (tf + K1)).astype(np.float32) * 8)
+    return (weights @ signs()[terms]).astype(np.int32)
+
+
+class Cuts:
+    """Binary tree that deals documents to shards by their sketches; equal sketches are told apart by a salt.
+
+    Each node halves its part of the sample, by tokens, across the direction in which the sketches differ most. A large
+    group of copies is cut by the salt like any other part, so no shard grows with it.
+    """
+
+    def __init__(self, sketches: np.ndarray, salts: np.ndarray, sizes: np.ndarray, shards: int) -> None:
+        self.normals, self.cuts, self.salts, self.below = [], [], [], []
+        self.leaves = 0
+        self._grow(sketches, salts, sizes, np.arange(len(sketches)), shards)
+        self.normals = np.array(self.normals, np.int64).reshape(-1, SKETCH)
+        self.cuts, self.salts = np.array(self.cuts, np.float64), np.array(self.salts, np.int64)
+        self.below = np.array(self.below, np.int64).reshape(-1, 2)
+
+    def _grow(self, sketches: np.ndarray, salts: np.ndarray, sizes: np.ndarray, part: np.ndarray, shards: int) -> int:
+        """The node that cuts `part` into so many shards; leaves are numbered from -1 down."""
+        if shards == 1:
+            self.leaves += 1
+            return -self.leaves
+        node, left = len(self.cuts), shards // 2
+        normal = np.zeros(SKETCH, np.int64)
+        if len(part) > 1:
+            x = sketches[part] / self.norms(sketches[part])[:, None]
+            spread = np.linalg.eigh(np.cov(x, rowvar=False))[1][:, -1]
+            normal = np.rint(spread * (1 << 15)).astype(np.int64)
+        values = self.values(sketches[part], normal[None])
+        order = np.lexsort((salts[part], values))
+        filled = np.cumsum(sizes[part][order])
+        at = int(np.searchsorted(filled, filled[-1] * left / shards)) if len(part) > 1 else 0
+        # A part that the sample says nothing of is cut by the salt alone.
+        everywhere = int((left / shards - 0.5) * 2.0**64)
+        self.normals.append(normal)
+        self.cuts.append(values[order[at]] if len(part) > 1 else 0.0)
+        self.salts.append(salts[part][order[at]] if len(part) > 1 else everywhere)
+        self.below.append((0, 0))
+        low = self._grow(sketches, salts, sizes, part[order[: at + 1]] if len(part) > 1 else part, left)
+        high = self._grow(sketches, salts, sizes, part[order[at + 1 :]] if len(part) > 1 else part, shards - left)
+        self.below[node] = (low, high)
+        return node
+
+    @staticmethod
+    def norms(sketches: np.ndarray) -> np.ndarray:
+        return np.maximum(np.sqrt((sketches.astype(np.int64) ** 2).sum(axis=1).astype(np.float64)), 1.0)
+
+    def values(self, sketches: np.ndarray, normals: np.ndarray) -> np.ndarray:
+        return (sketches.astype(np.int64) * normals).sum(axis=1) / self.norms(sketches)
+
+    def shards(self, sketches: np.ndarray, salts: np.ndarray) -> np.ndarray:
+        """Shard of each document."""
+        node = np.full(len(sketches), 0 if len(self.cuts) else -1, np.int64)
+        while len(at := np.flatnonzero(node >= 0)):
+            here = node[at]
+            values = self.values(sketches[at], self.normals[here])
+            high = (values > self.cuts[here]) | ((values == self.cuts[here]) & (salts[at] > self.salts[here]))
+            node[at] = self.below[here, high.astype(np.int64)]
+        return -1 - node
+
+
+def dealt(tokens: DataFrame, idf: np.ndarray, n_docs: int, shards: int) -> DataFrame:
+    """doc_id, ids and shard of each row of `tokens`."""
+    # The row number keeps rows that repeat an id from meeting in one shard.
+    salted = tokens.select("doc_id", "ids", "n", F.xxhash64("doc_id", "_metadata.row_index").alias("salt"))
+    if shards == 1:
+        return salted.select("doc_id", "ids", F.lit(0).cast("long").alias("shard"))
+
+    @F.arrow_udf("binary")
+    def sketches(ids: pa.Array) -> pa.Array:
+        return pa.array([sketch(np.frombuffer(x.as_py(), "<u2"), idf).astype("<i4").tobytes() for x in ids], pa.binary())
+
+    part = min(shards * PER_SHARD, SAMPLED) / n_docs
+    chosen = salted.filter(F.pmod(F.xxhash64("salt"), F.lit(1 << 30)) < F.lit(int(min(part, 1.0) * (1 << 30))))
+    sample = chosen.select(sketches("ids").alias("s"), "salt", "n").toArrow().sort_by("salt")
+    found = np.frombuffer(b"".join(sample.column("s").to_pylist()), "<i4").reshape(-1, SKETCH)
+    cuts = Cuts(found, sample.column("salt").to_numpy(), sample.column("n").to_numpy(), shards)
+
+    @F.arrow_udf("long")
+    def place(ids: pa.Array, salt: pa.Array) -> pa.Array:
+        rows = [sketch(np.frombuffer(x.as_py(), "<u2"), idf) for x in ids]
+        return pa.array(cuts.shards(np.array(rows, np.int32).reshape(-1, SKETCH), salt.to_numpy(zero_copy_only=False)), pa.int64())
+
+    return salted.select("doc_id", "ids", place("ids", "salt").alias("shard"))
+
+
 class Index:
     """BM25 inverted index of a shard's documents: per term the documents that have it, with their weights."""
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray) -> None:
         self.idf, self.n = idf, len(ids)
-        counted = [np.unique(x, return_counts=True) for x in ids]
-        self.terms = [t for t, _ in counted]
+        found = [counted(x) for x in ids]
+        self.terms = [t for t, _ in found]
         sizes = np.array([len(t) for t in self.terms])
-        term, tf = np.concatenate(self.terms), np.concatenate([c for _, c in counted]).astype(np.float32)
+        term, tf = np.concatenate(self.terms), np.concatenate([c for _, c in found]).astype(np.float32)
         lengths = np.array([len(x) for x in ids], np.float32)
         norm = np.repeat(K1 * (1 - B + B * lengths / lengths.mean()), sizes).astype(np.float32)
         order = np.argsort(term, kind="stable")
@@ -231,9 +345,6 @@ def pack(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS,
     frequencies = document_frequencies(tokens)
     idf = np.log1p((n_docs - frequencies + 0.5) / (frequencies + 0.5)).astype(np.float32)
     shards = max(1, -(-(n_tokens or 0) // shard_tokens))
-    # The row number keeps rows that repeat an id from meeting in one shard.
-    shard = F.pmod(F.xxhash64("doc_id", "_metadata.row_index"), F.lit(shards))
-    dealt = tokens.select("doc_id", "ids", shard.alias("shard"))
     fields = [pa.field(n, pa.int64()) for n in PIECES.replace(" long", "").replace(" binary", "").split(", ")[:-1]]
     schema = pa.schema([*fields, pa.field("ids", pa.binary())])
 
@@ -247,5 +358,5 @@ def pack(docs: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS,
             rows.append((names[doc], start, length, zlib.crc32(part), len(ids[doc]), place, offset, part if with_ids else None))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
-    found = dealt.groupBy("shard").applyInArrow(pieces, PIECES)
+    found = dealt(tokens, idf, n_docs, shards).groupBy("shard").applyInArrow(pieces, PIECES)
     return found if with_ids else found.drop("ids")

@@ -101,3 +101,26 @@ def test_neighbours_share_sequences(spark):
         by.setdefault(r.sequence_id, set()).add(r.doc_id % 3)
     whole = [s for s, t in by.items() if sum(r.length for r in rows if r.sequence_id == s) == 4096]
     assert sum(len(by[s]) == 1 for s in whole) >= len(whole) - 4
+
+
+def test_related_documents_meet_at_any_number_of_shards(spark):
+    """Documents of a topic are dealt to one shard mostly, whatever the number of shards; a group of copies is split."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("bdfgklmnprstvz")) + rng.choice(list("aeiou")) for _ in range(4)) for _ in range(2000)]
+    topic = {i: int(rng.integers(0, 40)) for i in range(1200)}
+    rows = [(i, " ".join([*rng.choice(words[50 * t : 50 * t + 50], 60), *rng.choice(words, 20)])) for i, t in topic.items()]
+    tokens = packing.tokenise(spark.createDataFrame(rows, "doc_id long, text string"))
+    frequencies = packing.document_frequencies(tokens)
+    idf = np.log1p((1200 - frequencies + 0.5) / (frequencies + 0.5)).astype(np.float32)
+    for shards in (4, 20):
+        at = {r.doc_id: r.shard for r in packing.dealt(tokens, idf, 1200, shards).select("doc_id", "shard").collect()}
+        by = {}
+        for i, t in topic.items():
+            by.setdefault(t, []).append(at[i])
+        together = [sum(a == b for a in m for b in m) / len(m) ** 2 for m in by.values()]
+        assert len(at) == 1200 and set(at.values()) <= set(range(shards))
+        assert max(list(at.values()).count(s) for s in range(shards)) < 3 * 1200 / shards
+        assert np.mean(together) > 0.4, (shards, np.mean(together))
+    same = packing.tokenise(spark.createDataFrame([(i, "same text here") for i in range(600)], "doc_id long, text string"))
+    at = [r.shard for r in packing.dealt(same, idf, 600, 6).select("shard").collect()]
+    assert len(at) == 600 and max(at.count(s) for s in range(6)) < 200
