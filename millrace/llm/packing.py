@@ -36,11 +36,13 @@ END_OF_TEXT = 2
 # Tokens of a shard: a shard is packed in one task's memory.
 SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
-# Rarest terms of a seed that it is looked up by, and neighbours that are ranked at a time.
-QUERY_TERMS, NEIGHBOURS = 24, 32
+# Neighbours that are ranked at a time, and the part of a shard, 1 in COMMON, from which a term is common.
+NEIGHBOURS, COMMON = 32, 4
 # Words a worker remembers the ids of; the memory is emptied when full, and no id depends on it.
 REMEMBERED = 500_000
 TERMS = 1 << 16
+# A seed is looked up by all of its terms.
+QUERY_TERMS = TERMS
 # Numbers of a sketch; documents sampled for a shard, and in all at most, to place the cuts.
 SKETCH, PER_SHARD, SAMPLED = 64, 64, 200_000
 PIECES = (
@@ -250,10 +252,14 @@ def dealt(tokens: DataFrame, idf: np.ndarray, n_docs: int, shards: int) -> DataF
 
 
 class Index:
-    """BM25 inverted index of a shard's documents: per term the documents that have it, with their weights."""
+    """BM25 inverted index of a shard's documents: per term the documents that have it, with their weights.
+
+    Common terms have a row with the weights of all documents instead; there are at most COMMON times as many numbers
+    in such rows as the terms occur in documents.
+    """
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray) -> None:
-        self.idf, self.n = idf, len(ids)
+        self.n = len(ids)
         found = [counted(x) for x in ids]
         self.terms = [t for t, _ in found]
         sizes = np.array([len(t) for t in self.terms])
@@ -264,14 +270,22 @@ class Index:
         self.docs = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
         self.weights = (idf[term] * tf * np.float32(K1 + 1) / (tf + norm)).astype(np.float32)[order]
         self.starts = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        common = np.flatnonzero(np.diff(self.starts) * COMMON >= self.n)
+        self.row = np.full(len(idf), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), self.n), np.float32)
+        for row, t in zip(self.rows, common, strict=True):
+            part = slice(self.starts[t], self.starts[t + 1])
+            row[self.docs[part]] = self.weights[part]
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
-        """Unused documents by falling score for the seed's rarest terms, then in order."""
+        """Unused documents by falling score for all of the seed's terms, then in order."""
         terms = self.terms[seed]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-self.idf[terms], QUERY_TERMS)[:QUERY_TERMS]]
-        scores = np.zeros(self.n, np.float32)
-        for t in terms:
+        rows = self.row[terms]
+        asked = np.zeros(len(self.rows), np.float32)
+        asked[rows[rows >= 0]] = 1
+        scores = asked @ self.rows
+        for t in terms[rows < 0]:
             part = slice(self.starts[t], self.starts[t + 1])
             scores[self.docs[part]] += self.weights[part]
         scores[~unused] = 0

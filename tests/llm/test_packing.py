@@ -124,3 +124,27 @@ def test_related_documents_meet_at_any_number_of_shards(spark):
     same = packing.tokenise(spark.createDataFrame([(i, "same text here") for i in range(600)], "doc_id long, text string"))
     at = [r.shard for r in packing.dealt(same, idf, 600, 6).select("shard").collect()]
     assert len(at) == 600 and max(at.count(s) for s in range(6)) < 200
+
+
+def test_all_terms_of_a_long_seed_count():
+    rng = np.random.default_rng(2)
+    # Common and rare terms, well over a hundred distinct ones in the seed.
+    ids = [(rng.zipf(1.3, rng.integers(200, 600)) % 900).astype("<u2") for _ in range(80)]
+    ids += [np.array([5000 + i], "<u2") for i in range(3)]
+    idf = rng.random(1 << 16).astype(np.float32)
+    terms = sorted(set(ids[7].tolist()))
+    # One document has just the seed's least informative term.
+    ids.append(np.array([min(terms, key=lambda t: idf[t])] * 3, "<u2"))
+    index, mean = packing.Index(ids, idf), np.mean([len(x) for x in ids])
+    assert len(terms) > 72 and 0 < (index.row[terms] >= 0).sum() < len(terms)
+
+    def score(x):
+        tf = [(t, (x == t).sum()) for t in terms]
+        return sum(idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(x) / mean)) for t, n in tf)
+
+    unused = np.ones(len(ids), bool)
+    unused[7] = False
+    got = list(index.neighbours(7, unused))
+    want = sorted((i for i in range(len(ids)) if unused[i] and score(ids[i]) > 0), key=lambda i: -score(ids[i]))
+    assert sorted(got) == sorted(want) and len(ids) - 1 in got
+    np.testing.assert_allclose([score(ids[i]) for i in got], [score(ids[i]) for i in want], rtol=1e-4)
