@@ -40,11 +40,11 @@ class Target:
             raise ValueError("give max_repeats or min_entropy")
 
 
-def token_sizes(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, source (empty if null) and n_tokens (words of the whole text, 0 if null)."""
+def token_sizes(docs: DataFrame, text: str = "text", source: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source (empty if null), n_tokens (words of the whole text, 0 if null) and the columns to carry."""
     name = F.coalesce(F.col(source).cast("string"), F.lit(""))
     words = F.regexp_count(whole_text(text), F.lit(WORD)).cast("long")
-    return docs.select(F.col("doc_id"), name.alias("source"), words.alias("n_tokens"))
+    return docs.select(F.col("doc_id"), name.alias("source"), words.alias("n_tokens"), *carry)
 
 
 def exponent(totals: DataFrame, target: Target) -> float:
@@ -93,20 +93,20 @@ def quotas(totals: DataFrame, at: float, budget: float) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, target: Target, text: str = "text", source: str = "source") -> DataFrame:
-    """One row per use of a document: doc_id, source, n_tokens, epoch, block_order, doc_order.
+def mix(docs: DataFrame, target: Target, text: str = "text", source: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per use of a document: doc_id, source, n_tokens, epoch, block_order, doc_order, and columns to carry.
 
     The order of a source's stream is (epoch, block_order, doc_order); no source gets more tokens than its part of
     the budget, and misses it by less than the document that did not fit. Null text is empty; a source without words
     is left out; a null source is the source named ""; rows that repeat a document are used side by side.
     """
     ready(docs.sparkSession)
-    sizes = token_sizes(docs, text, source).checkpoint()
+    sizes = token_sizes(docs, text, source, carry).checkpoint()
     totals = sizes.groupBy("source").agg(F.sum("n_tokens").alias("t")).checkpoint()
     parts = quotas(totals, exponent(totals, target), target.budget)
     parts = F.broadcast(parts.coalesce(1)) if totals.count() <= 100_000 else parts
     rows = sizes.join(parts, "source").withColumn("block", placed(DEAL, "doc_id") % F.col("blocks"))
-    rows = rows.select("doc_id", "source", "n_tokens", "block")
+    rows = rows.select("doc_id", "source", "n_tokens", "block", *carry)
     blocks = rows.groupBy("source", "block").agg(F.sum("n_tokens").alias("size")).join(parts, "source")
     blocks = blocks.select("source", "block", "size", "epochs", "rest", F.explode(F.sequence(F.lit(0).cast("long"), "epochs")).alias("epoch"))
     order = Window.partitionBy("source", "epoch").orderBy(placed(ORDER_BLOCKS, "epoch", "source", "block"), "block")
@@ -119,15 +119,25 @@ def mix(docs: DataFrame, target: Target, text: str = "text", source: str = "sour
     inside = Window.partitionBy("source", "epoch", "block").orderBy(placed(ORDER_DOCS, "epoch", "doc_id"), "doc_id", "n_tokens")
     running = F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     used = used.select("*", running.alias("running"), F.row_number().over(inside).cast("long").alias("doc_order"))
-    return used.filter("running <= space").select("doc_id", "source", "n_tokens", "epoch", "block_order", "doc_order")
+    return used.filter("running <= space").select("doc_id", "source", "n_tokens", "epoch", "block_order", "doc_order", *carry)
 
 
 def mix_rows(docs: DataFrame, target: Target, text: str = "text", source: str = "source") -> DataFrame:
-    """The rows of `docs` that the mixture uses, each as often as it uses them, with the columns they have."""
-    uses = mix(docs, target, text, source).filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("epoch").alias("_uses"))
-    found = sized_join(docs, uses, ["doc_id"], "inner")
-    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), "_uses")))
-    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of `docs` that the mixture uses, each as often as it uses them, with the columns they have.
+
+    A row with a null doc_id is known by all its columns; such rows that are equal stand for each other.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.to_json(F.struct(*[c.cast("string").alias(f"c{i}") for i, c in enumerate(columns)]))
+    keyed = docs.withColumn("_row", F.when(F.col("doc_id").isNull(), F.sha2(row, 256)).otherwise(F.lit("")))
+    uses = mix(keyed, target, text, source, ("_row",)).groupBy("doc_id", "_row").agg(F.max("epoch").alias("_last"), F.count("*").alias("_n"))
+    # Nulls do not join; the row tells a null from the number that stands for it.
+    known = F.coalesce(F.col("doc_id"), F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("_id")
+    uses = uses.select(known, "_row", F.when(F.col("_row") == "", F.col("_last") + 1).otherwise(F.col("_n")).alias("_uses"))
+    once = keyed.filter("doc_id is not null").union(keyed.filter("doc_id is null").dropDuplicates(["_row"]))
+    found = sized_join(once.select("*", known), uses, ["_id", "_row"], "inner")
+    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_uses")))
+    return copies.select(*columns)
 
 
 def oracle(target: Target) -> str:

@@ -75,6 +75,18 @@ def test_odd_rows(spark):
         mx.Target()
 
 
+def test_rows_without_an_id_are_kept(spark):
+    rows = [(None, f"t{i} " * 5, "a", i) for i in range(6)] + [(None, "same words", "a", 9)] * 3 + [(0, "zero id", "a", 1), (1, "b " * 9, "b", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n int")
+    got = sorted(map(tuple, mx.mix_rows(docs, mx.Target(1.0, max_repeats=1.0)).collect()), key=str)
+    assert got == sorted(rows, key=str)
+    uses = [(r.doc_id, r.n_tokens) for r in mx.mix(docs, mx.Target(1.0, max_repeats=2.0)).collect() if r.doc_id is None]
+    twice = mx.mix_rows(docs, mx.Target(1.0, max_repeats=2.0)).filter("doc_id is null").collect()
+    assert sorted(n for _, n in uses) == sorted(len(r.text.split()) for r in twice)
+    cut = mx.mix_rows(docs.filter("doc_id is null"), mx.Target(0.5, max_repeats=1.0)).collect()
+    assert 0 < sum(len(r.text.split()) for r in cut) <= 18
+
+
 def test_plan_has_no_python(spark, sf_dir, plan):
     text = plan(QUERIES["op9_mixing"](spark, sf_dir))
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text
