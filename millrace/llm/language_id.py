@@ -91,18 +91,18 @@ def fit(labels: list[str], packed: np.ndarray, landmarks: int = LANDMARKS, ridge
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """Fit on at most `per_language` documents of each language, chosen by a hash of doc_id.
 
-    Documents without a language or without a letter teach nothing. The driver gets the presence bits (1 KB each)
+    Documents without a language or without a letter teach nothing and take no place, nor do repeated ids. The driver gets the presence bits (1 KB each)
     of the chosen documents only.
     """
     ready(docs.sparkSession)
     known = docs.select("doc_id", F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    known = known.filter(F.col("lang").isNotNull()).withColumn("_at", placed(10, "doc_id"))
+    known = known.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("_at", placed(10, "doc_id"))
     # First within salted parts of a language, so that the task that merges one gets SALTS * per_language rows at most.
-    first = known.select("lang", "_at", (F.col("_at") % SALTS).alias("_salt"))
+    first = known.select("lang", "_at", (F.col("_at") % SALTS).alias("_salt")).distinct()
     first = rank_limit(rank_limit(first, ["lang", "_salt"], [F.col("_at")], per_language), ["lang"], [F.col("_at")], per_language)
     cuts = first.groupBy("lang").agg(F.max("_at").alias("_cut"))
     chosen = sized_join(known, cuts, ["lang"], "inner").filter(F.col("_at") <= F.col("_cut"))
-    chosen = chosen.filter(F.col("text").rlike(r"\p{L}")).dropDuplicates(["lang", "doc_id"])
+    chosen = chosen.dropDuplicates(["lang", "doc_id"])
 
     @F.arrow_udf("binary")
     def bits(texts: pa.Array) -> pa.Array:

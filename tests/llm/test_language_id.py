@@ -53,3 +53,12 @@ def test_sample_is_bounded(spark):
     rows = [(i, f"word {i}", "en") for i in range(500)]
     model = li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=20)
     assert len(model.landmarks) == 20
+
+
+def test_rows_that_teach_nothing_take_no_place(spark):
+    rows = [(i, ["", None, "12 34 !"][i % 3], "en") for i in range(200)] + [(1000 + i, f"the cat and dog {chr(97 + i) * 4}", "en") for i in range(12)]
+    rows += [(2000, "und die katze", "de")] * 50 + [(2001 + i, f"der hund {chr(97 + i) * 4}", "de") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = li.train(docs, per_language=10)
+    # Ten different documents of each language, and none is used twice.
+    assert model.languages == ["de", "en"] and len(np.unique(model.landmarks, axis=0)) == len(model.landmarks) == 20
