@@ -50,6 +50,32 @@ def placed(seed: int, *columns: str) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores after it until it is none of the frame's columns (nor of the names before)."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a text's bytes as DuckDB SQL, over a view `crc_steps` with one row, see `CRC_STEPS`."""
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    step = "lambda a, b: xor(a >> 8, steps[1 + (xor(a, b) & 255)])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), {step}), 4294967295)"
+
+
+# What each value of a byte adds to a CRC-32, as common table expressions.
+CRC_STEPS = """
+crc_bits(i, k, c) AS (
+    SELECT i, 0, i FROM range(256) r(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_bits WHERE k < 8),
+crc_steps AS (SELECT list(c ORDER BY i) AS steps FROM crc_bits WHERE k = 8)"""
+
+
 class Shelf:
     """Frames computed once into the shared folder as Parquet, to be deleted together.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_gam, quality_rules, repeats, warc
+from millrace.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_gam, quality_rules, repeats, sharding, warc
 from millrace.llm.base import given
 from millrace.llm.token_counts import count_tokens
 from millrace.session import delete_path, scratch_path
@@ -117,3 +117,17 @@ def op10_language_id(spark, sf_dir):
     docs = language_id.held_out(given(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     model = language_id.train(docs.filter("not held_out"))
     return language_id.identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+# 40 shards in two regions of four racks, and the same with one more.
+TREE = sharding.layout(40)
+GROWN = TREE.joined(40)
+
+
+@query
+def op11_sharding(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard_rows(docs, TREE, GROWN, keep_text=False)
+
+
+SQL["op11_sharding"] = sharding.oracle(TREE, GROWN)
