@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_gam, quality_rules, repeats, sharding, warc
+from millrace.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_gam, quality_rules, repeats, resampling, sharding, warc
 from millrace.llm.base import given
 from millrace.llm.token_counts import count_tokens
 from millrace.session import delete_path, scratch_path
@@ -131,3 +131,12 @@ def op11_sharding(spark, sf_dir):
 
 
 SQL["op11_sharding"] = sharding.oracle(TREE, GROWN)
+
+
+@query
+def op12_resampling(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, given(spark, sf_dir, "benchmark"), keep_text=False)
+
+
+SQL["op12_resampling"] = resampling.oracle()
