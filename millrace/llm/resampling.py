@@ -39,11 +39,37 @@ CUT = re.compile(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 BLOCK = 1 << 21
 
 
-def blocks(texts: list[str], size: int = BLOCK) -> Iterator[tuple[list[int], list[str]]]:
+def _shifts(longest: int) -> np.ndarray:
+    """What 0 to `longest` bytes of zeros after it make of each byte of a CRC-32, as [length, byte's place, value]."""
+    bits = np.uint32(1) << np.arange(32, dtype=np.uint32)
+    tables = []
+    for _ in range(longest + 1):
+        table = np.zeros((4, 256), np.uint32)
+        for at, image in enumerate(bits):
+            table[at // 8, (np.arange(256) >> (at % 8)) & 1 == 1] ^= image
+        tables.append(table)
+        for _ in range(8):
+            bits = (bits >> np.uint32(1)) ^ np.where(bits & np.uint32(1), np.uint32(0xEDB88320), np.uint32(0))
+    return np.stack(tables)
+
+
+# Words of more bytes than this are hashed one by one.
+SHIFTED = 64
+SHIFTS = _shifts(SHIFTED)
+BLANK = zlib.crc32(b" ")
+
+
+def crc_joined(left: np.ndarray, right: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRC-32 of two texts one after the other from that of each and the second's bytes, at most SHIFTED."""
+    parts = [SHIFTS[size, at, (left >> (8 * at)) & 255] for at in range(4)]
+    return (parts[0] ^ parts[1] ^ parts[2] ^ parts[3]).astype(np.int64) ^ right
+
+
+def blocks(texts: pa.Array, size: int = BLOCK) -> Iterator[tuple[np.ndarray, pa.Array]]:
     """Whole texts as blocks of pieces with their text's number; a text over `size` is cut between two words."""
     rows, pieces, held = [], [], 0
-    for row, text in enumerate(texts):
-        start = 0
+    for row, value in enumerate(texts):
+        text, start = value.as_py(), 0
         while start < len(text):
             cut = CUT.search(text, start + size - held) if len(text) - start > size - held else None
             end = cut.end() if cut else len(text)
@@ -52,49 +78,65 @@ def blocks(texts: list[str], size: int = BLOCK) -> Iterator[tuple[list[int], lis
             held += end - start
             start = end
             if held >= size:
-                yield rows, pieces
+                yield np.array(rows), pa.array(pieces, pa.string())
                 rows, pieces, held = [], [], 0
     if pieces:
-        yield rows, pieces
+        yield np.array(rows), pa.array(pieces, pa.string())
+
+
+def _crcs(words: pa.Array) -> np.ndarray:
+    """CRC-32 of each text's bytes, read where they lie."""
+    _, starts, data = words.buffers()
+    at = np.frombuffer(starts, np.int32)[words.offset : words.offset + len(words) + 1].tolist() if len(words) else [0]
+    octets = memoryview(data) if data is not None else b""
+    return np.fromiter((zlib.crc32(octets[a:b]) for a, b in zip(at, at[1:])), np.int64, len(words))
 
 
-def grams(rows: list[int], pieces: list[str], before: tuple[int, list[bytes]], longest: int = LONGEST):
+def grams(rows: np.ndarray, pieces: pa.Array, before: tuple[int, list[str]], longest: int = LONGEST):
     """n-grams of a block, and what the next block needs of it.
 
     For each length: the text's number at each place, the place's distinct n-gram, and the CRC-32 of each distinct
     n-gram. `before` has the last words of the text that the block goes on with, whose own n-grams were counted.
     """
-    split = pc.split_pattern_regex(pc.ascii_lower(pa.array(pieces, pa.string())), BETWEEN)
+    split = pc.split_pattern_regex(pc.ascii_lower(pieces), BETWEEN)
     words, parents = pc.list_flatten(split), pc.list_parent_indices(split)
     there = pc.greater(pc.binary_length(words), 0)
-    owner = np.asarray(rows, np.int64)[parents.filter(there).to_numpy()]
+    owner = rows[parents.filter(there).to_numpy()]
     words = words.filter(there)
     carried = before[1] if before[0] == rows[0] else []
     if carried:
-        words = pa.concat_arrays([pa.array(carried, pa.binary()).cast(pa.string()), words])
+        words = pa.concat_arrays([pa.array(carried, pa.string()), words])
         owner = np.concatenate([np.full(len(carried), rows[0]), owner])
     encoded = words.dictionary_encode()
-    number, spelt = encoded.indices.to_numpy().astype(np.int64), [w.as_buffer().to_pybytes() for w in encoded.dictionary]
-    found, place, crcs = [], number, [zlib.crc32(w) for w in spelt]
+    number, spelt = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
+    sizes, alone = pc.binary_length(spelt).to_numpy().astype(np.int64), _crcs(spelt)
+    found, place, crcs = [], number, alone
     for n in range(1, longest + 1):
         if n > 1:
             whole = owner[n - 1 :] == owner[: len(owner) - n + 1]
             pairs = place[: max(len(owner) - n + 1, 0)] * max(len(spelt), 1) + number[n - 1 :]
             # Places whose n words are not of one text get a number of their own that nothing reads.
             distinct, place = np.unique(np.where(whole, pairs, -1), return_inverse=True)
-            spaced = [zlib.crc32(b" ", c) for c in crcs]
-            crcs = [zlib.crc32(spelt[p % len(spelt)], spaced[p // len(spelt)]) if p >= 0 else 0 for p in distinct.tolist()]
+            head, word = np.divmod(np.maximum(distinct, 0), max(len(spelt), 1))
+            spaced = crc_joined(crcs[head], BLANK, 1) if len(head) else head
+            crcs = crc_joined(spaced, alone[word], np.minimum(sizes[word], SHIFTED)) if len(head) else head
+            for i in np.flatnonzero(sizes[word] > SHIFTED):
+                crcs[i] = zlib.crc32(spelt[word[i]].as_buffer(), int(spaced[i]))
         else:
             whole = np.ones(len(owner), bool)
         new = whole & (np.arange(len(whole)) + n > len(carried))
-        found.append((owner[: len(whole)][new], place[new], np.asarray(crcs, np.int64)))
+        found.append((owner[: len(whole)][new], place[new], crcs))
     last = rows[-1]
-    tail = [spelt[i] for i in number[max(len(number) - longest + 1, 0) :][owner[max(len(owner) - longest + 1, 0) :] == last]]
-    return found, (last, tail)
+    tail = np.arange(max(len(number) - longest + 1, 0), len(number))
+    return found, (last, spelt.take(pa.array(number[tail[owner[tail] == last]])).to_pylist())
 
 
-def each_block(texts: list[str], size: int = BLOCK) -> Iterator[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    before: tuple[int, list[bytes]] = (-1, [])
+def each_block(texts: pa.Array, size: int = BLOCK) -> Iterator[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """n-grams of all texts by blocks. A batch that is a block at most is taken as it is."""
+    before: tuple[int, list[str]] = (-1, [])
+    if 0 < texts.nbytes <= size:
+        yield grams(np.arange(len(texts)), texts, before)[0]
+        return
     for rows, pieces in blocks(texts, size):
         found, before = grams(rows, pieces, before)
         yield found
@@ -107,7 +149,7 @@ def bucket_counts(docs: DataFrame, text: str = "text", buckets: int = BUCKETS) -
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for found in each_block(batch.column(0).to_pylist()):
+            for found in each_block(batch.column(0)):
                 for _, place, crcs in found:
                     np.add.at(total, crcs % buckets, np.bincount(place, minlength=len(crcs)))
         there = np.flatnonzero(total)
@@ -138,7 +180,7 @@ def weighed(docs: DataFrame, gains: np.ndarray, text: str = "text") -> DataFrame
     @F.arrow_udf("struct<n_words:long,n_features:long,weight:long>")
     def weigh(texts: pa.Array) -> pa.Array:
         n, total = np.zeros((LONGEST, len(texts)), np.int64), np.zeros(len(texts), np.int64)
-        for found in each_block(texts.to_pylist()):
+        for found in each_block(texts):
             for at, (owner, place, crcs) in enumerate(found):
                 if not len(owner):
                     continue

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import duckdb_result, open_tables, spark_result
 
@@ -87,18 +88,25 @@ def test_odd_rows(spark):
 
 @pytest.mark.parametrize("size", [1, 7, 40, 1 << 21])
 def test_blocks_lose_no_feature(size):
-    texts = ["One two  three,two one;" * 5, "", "...", "x", "Tail of ,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,, spaces", "b c"]
+    texts = ["One two  three,two one;" * 5, "", "...", "x", "" + "w" * 65 + " " + "v" * 64 + " w" * 3, "Tail of ,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,,, spaces", "b c"]
     got = [Counter() for _ in texts]
-    for found in rs.each_block(texts, size):
+    for found in rs.each_block(pa.array(texts), size):
         for owner, place, crcs in found:
             for o, p in zip(owner, place):
                 got[o][int(crcs[p])] += 1
     assert got == [Counter(zlib.crc32(f.encode()) for f in features(t)[1]) for t in texts]
-    assert ["".join(p for rows, pieces in rs.blocks(texts, size) for r, p in zip(rows, pieces) if r == i) for i in range(6)] == texts
+    assert ["".join(p for rows, pieces in rs.blocks(pa.array(texts), size) for r, p in zip(rows, pieces.to_pylist()) if r == i) for i in range(7)] == texts
+
+
+def test_joined_crcs():
+    left, right = [b"", b"ab", b"x" * 300], [b"", b" ", b"word", "é中".encode(), b"y" * 64]
+    for a in left:
+        got = rs.crc_joined(np.full(5, zlib.crc32(a)), np.array([zlib.crc32(b) for b in right]), np.array([len(b) for b in right]))
+        assert got.tolist() == [zlib.crc32(a + b) for b in right]
 
 
 def test_longer_runs():
-    found, _ = rs.grams([0, 1], ["a b a b c", "d e"], (-1, []), longest=3)
+    found, _ = rs.grams(np.arange(2), pa.array(["a b a b c", "d e"]), (-1, []), longest=3)
     counts = [Counter(np.asarray(crcs)[place].tolist()) for _, place, crcs in found]
     three = ["a b a", "b a b", "a b c"]
     assert counts[2] == Counter(zlib.crc32(x.encode()) for x in three)
