@@ -16,37 +16,36 @@ def consecutive_breaches(
     order: list[str],
     breach: Column,
     n: int = 3,
-    carried: DataFrame | None = None,
     group_rows: int = GROUP_ROWS,
+    open_start: bool = False,
 ) -> DataFrame:
     """Rows that are the `n`-th breach in a row of their key; a longer run is reported once.
 
-    `order` must leave no ties within a key; a NULL condition is no breach. `carried` gives, per key, the
-    `run` of breaches that ended right before the first row of `df`, see `trailing_runs`.
+    `order` must leave no ties within a key; a NULL condition is no breach. With `open_start`, a run that begins
+    with the first row of its key is left out, for it may have begun before.
 
     Keys with up to `group_rows` rows are windowed whole. Larger ones are cut into ranges of about that many
     rows (at most MAX_SHUFFLE_WIDTH ranges), and only the `n` rows on either side of each cut are looked at
     together, so no task ever holds a hot key whole.
     """
-    flagged = _flagged(df, keys, breach, carried)
-    order = ["_live", *order]
+    flagged = _flagged(df, breach)
     by_key = Window.partitionBy(*keys).orderBy(*order)
     hot = materialise(oversized_groups(flagged, keys, group_rows))
     hot_rows = hot.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     if not hot_rows:
-        return flagged.withColumn("_hit", _nth(by_key, n)).filter("_hit").select(*df.columns)
+        return flagged.withColumn("_hit", _nth(by_key, n, open_start)).filter("_hit").select(*df.columns)
 
     hot_keys = hot.select(*(F.col(k).alias(f"_hot_{k}") for k in keys))
     hot_keys = broadcastable(hot_keys) or hot_keys
     is_hot = same([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
-    cold = flagged.join(hot_keys, is_hot, "left_anti").withColumn("_hit", _nth(by_key, n))
+    cold = flagged.join(hot_keys, is_hot, "left_anti").withColumn("_hit", _nth(by_key, n, open_start))
 
     in_range = Window.partitionBy(*keys, "_range").orderBy(*order)
     placed = (
         flagged.join(hot_keys, is_hot, "left_semi")
         .repartitionByRange(min(hot_rows // group_rows + 1, MAX_SHUFFLE_WIDTH), *keys, *order)
         .withColumn("_range", F.spark_partition_id())
-        .withColumn("_hit", _nth(in_range, n))
+        .withColumn("_hit", _nth(in_range, n, open_start))
         .withColumn("_head", F.lag(F.lit(1), n).over(in_range).isNull())
         .withColumn("_tail", F.lead(F.lit(1), n).over(in_range).isNull())
     )
@@ -54,42 +53,45 @@ def consecutive_breaches(
     kept = materialise(placed.filter(F.col("_hit") | F.col("_head") | F.col("_tail")))
     inner = kept.filter(F.col("_hit") & ~F.col("_head"))
     # The last n rows of a range directly precede the first n of the next one.
-    edges = kept.filter(F.col("_head") | F.col("_tail")).withColumn("_hit", _nth(by_key, n))
+    edges = kept.filter(F.col("_head") | F.col("_tail")).withColumn("_hit", _nth(by_key, n, open_start))
     parts = (cold.filter("_hit"), inner, edges.filter(F.col("_head") & F.col("_hit")))
     first, second, third = (part.select(*df.columns) for part in parts)
     return first.unionByName(second).unionByName(third)
 
 
-def trailing_runs(
-    df: DataFrame, keys: list[str], order: list[str], breach: Column, n: int = 3, carried: DataFrame | None = None
-) -> DataFrame:
-    """Keys whose last row is a breach, with the length of that `run`, counted up to `n`."""
-    newest_first = Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in ("_live", *order)))
-    last_n = (
-        _flagged(df, keys, breach, carried)
-        .withColumn("_position", F.row_number().over(newest_first))
-        .filter(F.col("_position") <= n)
-    )
-    first_calm = F.min(F.when(F.col("_breach") == 0, F.col("_position")))
-    run = F.coalesce(first_calm - 1, F.count("*")).cast("int")
-    return last_n.groupBy(*keys).agg(run.alias("run")).filter(F.col("run") > 0)
+def run_edges(df: DataFrame, keys: list[str], order: list[str], breach: Column, n: int = 3) -> DataFrame:
+    """Per key `n_rows` up to `n`, whether `all_breaches`, and `last_run`, the breaches that its last rows are, up to `n`.
 
+    A task sends one row and `n` more of a key, however many it holds.
+    """
+    flagged = _flagged(df.select("*"), breach)
+    last = rank_positions(flagged, keys, [F.desc(c) for c in order], n)
+    calm = F.min(F.when(F.col("_breach") == 0, F.col("_position")))
+    run = F.coalesce(calm - 1, F.count("*")).cast("int").alias("last_run")
+    runs = last.groupBy(*keys).agg(run, F.count("*").cast("int").alias("n_rows"))
+    whole = flagged.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg((F.min("_breach") == 1).alias("all_breaches"))
+    return runs.join(whole, same([F.col(k) for k in keys], [F.col(f"_{k}") for k in keys])).drop(*(f"_{k}" for k in keys))
 
-def _flagged(df: DataFrame, keys: list[str], breach: Column, carried: DataFrame | None) -> DataFrame:
-    """Adds `_breach`, and `_live` that tells rows of `df` from those standing for a carried run."""
-    flagged = df.withColumn("_breach", F.coalesce(breach, F.lit(False)).cast("int")).withColumn(
-        "_live", F.lit(True)
-    )
-    if carried is None:
-        return flagged
-    earlier = carried.select(
-        *keys, F.explode(F.sequence(F.lit(1), F.col("run"))).alias("_step"), F.lit(1).alias("_breach")
-    ).drop("_step")
-    return flagged.unionByName(earlier.withColumn("_live", F.lit(False)), allowMissingColumns=True)
+
+def leading_rows(df: DataFrame, keys: list[str], order: list[str], breach: Column, n: int = 3) -> DataFrame:
+    """Breaches that their key begins with, up to `n`, with their `_position` from 1 on."""
+    first = rank_positions(_flagged(df, breach), keys, order, n)
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return first.withColumn("_breach", F.min("_breach").over(before)).filter(F.col("_breach") == 1).drop("_breach")
+
+
+def rank_positions(df: DataFrame, keys: list[str], order: list[Column | str], n: int) -> DataFrame:
+    """The first `n` rows per key with their `_position`; a task sends at most `n` rows of a key."""
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_position", position).filter(F.col("_position") <= n)
+
+
+def _flagged(df: DataFrame, breach: Column) -> DataFrame:
+    return df.withColumn("_breach", F.coalesce(breach, F.lit(False)).cast("int"))
 
 
-def _nth(ordered: WindowSpec, n: int) -> Column:
-    """Whether exactly `n` breaches in a row end at a live row: the last n are breaches, the one before is not."""
+def _nth(ordered: WindowSpec, n: int, open_start: bool) -> Column:
+    """Whether exactly `n` breaches in a row end at a row: the last n are breaches, the one before is not."""
     last_n = F.sum("_breach").over(ordered.rowsBetween(1 - n, 0))
-    before = F.coalesce(F.lag("_breach", n).over(ordered), F.lit(0))
-    return (last_n == n) & (before == 0) & F.col("_live")
+    before = F.coalesce(F.lag("_breach", n).over(ordered), F.lit(int(open_start)))
+    return (last_n == n) & (before == 0)

@@ -14,8 +14,13 @@ from millrace.plans import roles
 from millrace.plans.roles import table, tables
 from millrace.session import materialise, scratch_path
 from millrace.sinks import (
+    append_rows,
     append_table,
+    bucket_count,
+    increment_stored,
+    read_stored,
     register_external,
+    replace_rows,
     replace_table,
     to_messages,
     write_bucketed,
@@ -24,6 +29,7 @@ from millrace.sinks import (
 )
 from millrace.sources import (
     decode_json,
+    field_kinds,
     harmonise_union,
     log_fields,
     log_time,
@@ -32,10 +38,12 @@ from millrace.sources import (
     read_drifting,
     read_logs,
     read_table,
+    read_variants,
     register_view,
     rejected_csv,
     rejected_json,
     rejected_lines,
+    typed_fields,
 )
 from millrace.streaming import (
     alert_messages,
@@ -368,10 +376,13 @@ def log_error_report(spark, sf_dir):
 
 
 def _log_folder(spark, sf_dir):
-    """The log as text files; every fifth line has another layout."""
+    """The log as text files; every fifth line has another layout, and some more hold the character that parts fields."""
     path = scratch_path(spark, "logs")
-    lines = roles.log_text(table(spark, sf_dir, "events"), broken=5)
-    lines.select("value").write.text(path)
+    events = table(spark, sf_dir, "events")
+    shifted = F.replace("value", F.lit(" node1 "), F.lit(" no\x01de1 "))
+    shifted = roles.log_text(events.filter(F.col("event_id") % 50 == 2)).select(shifted.alias("value"))
+    junk = events.filter(F.col("event_id") % 50 == 1).select(F.format_string("error\x01b\x01c\x01%d", "event_id").alias("value"))
+    roles.log_text(events, broken=5).union(shifted).union(junk).write.text(path)
     return path
 
 
@@ -428,13 +439,13 @@ def json_rejects(spark, sf_dir):
 
 @query
 def anomaly_reasons(spark, sf_dir):
-    anomalies = op.detect_anomalies(roles.readings(table(spark, sf_dir, "events")))
+    anomalies = op.detect_anomalies(roles.readings(table(spark, sf_dir, "events"), filtered=True))
     return anomalies.select("event_id", "sensor_id", "reasons")
 
 
 @query
 def anomaly_numbers(spark, sf_dir):
-    anomalies = op.detect_anomalies(roles.readings(table(spark, sf_dir, "events")))
+    anomalies = op.detect_anomalies(roles.readings(table(spark, sf_dir, "events"), filtered=True))
     return op.numbered(anomalies.select("event_id", "event_time"), ["event_time", "event_id"]).select(
         "event_id", "anomaly_no"
     )
@@ -519,6 +530,20 @@ def bucketed_roundtrip(spark, sf_dir):
     return op.summarise(bucketed, ["l_orderkey"], count="line_count", sums={"l_quantity": "quantity"})
 
 
+@query
+def bucketed_join(spark, sf_dir):
+    """Lines of each order status, by a join of two bucketed tables of which one has twice the buckets."""
+    orders, lines = tables(spark, sf_dir, "orders", "lineitem")
+    n = bucket_count(orders)
+    names = [f"{name}_{uuid.uuid4().hex}" for name in ("orders", "lines")]
+    orders = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    orders = write_bucketed(orders, names[0], "l_orderkey", scratch_path(spark, "bucketed"), n=n)
+    lines = lines.select("l_orderkey", "l_quantity")
+    lines = write_bucketed(lines, names[1], "l_orderkey", scratch_path(spark, "bucketed"), n=2 * n)
+    joined = lines.join(orders.hint("merge"), "l_orderkey")
+    return op.summarise(joined, ["o_orderstatus"], count="line_count", sums={"l_quantity": "quantity"})
+
+
 @query
 def external_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "external")
@@ -537,6 +562,47 @@ def append_replace_roundtrip(spark, sf_dir):
     return read_table(spark, path)
 
 
+@query
+def stored_roundtrip(spark, sf_dir):
+    """Events stored, replaced by a part of themselves, and completed by a batch that comes twice."""
+    path = scratch_path(spark, "store")
+    events = table(spark, sf_dir, "events")
+    replace_rows(events, path)
+    is_error = F.col("event_type").eqNullSafe("error")
+    replace_rows(read_stored(spark, path).filter(is_error), path)
+    for _ in range(2):
+        append_rows(events.filter(~is_error), path, batch=("rest", 1))
+    return read_stored(spark, path)
+
+
+@query
+def increment_stored_rows(spark, sf_dir):
+    """`increment_first` on a stored table, of which only files with a row to change are written."""
+    path = scratch_path(spark, "store")
+    events, orders = tables(spark, sf_dir, "events", "orders")
+    replace_rows(events.select("event_id", "user_id", "value").repartitionByRange(8, "event_id"), path)
+    increment_stored(spark, path, orders.select(F.col("o_custkey").alias("user_id")), "user_id", ["event_id"], "value")
+    return read_stored(spark, path)
+
+
+def _loose_documents(spark, sf_dir):
+    path = scratch_path(spark, "documents")
+    roles.loose_documents(table(spark, sf_dir, "events")).write.text(path)
+    return read_variants(spark, path)
+
+
+@query
+def variant_field_kinds(spark, sf_dir):
+    return field_kinds(_loose_documents(spark, sf_dir))
+
+
+@query
+def variant_documents(spark, sf_dir):
+    fields = {"_id": "$._id BIGINT", "value": "$.value DOUBLE", "about": "$.value STRING", "note": "$.note STRING", "k": "$.metadata.k INT"}
+    docs = typed_fields(_loose_documents(spark, sf_dir), fields)
+    return docs.withColumn("about", F.when(F.col("about").startswith("about"), F.col("about")))
+
+
 @query
 def documents_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "documents")
@@ -577,8 +643,7 @@ def csv_rejects(spark, sf_dir):
     key = F.col("c_custkey")
     cells = F.array(key.cast("string"), "c_name", F.lit("7"), F.when(key % 7 == 0, "much").otherwise("1.5"), F.lit("s"))
     cells = F.when(key % 7 == 1, F.slice(cells, 1, 4)).when(key % 7 == 2, F.array_append(cells, F.lit("t"))).otherwise(cells)
-    named = table(spark, sf_dir, "customer").filter(F.col("c_name").isNotNull())
-    named.select(F.array_join(cells, ",").alias("value")).write.text(path)
+    table(spark, sf_dir, "customer").select(F.array_join(cells, ",", "").alias("value")).write.text(path)
     return rejected_csv(spark, path, CUSTOMER, header=False).select(F.col("_bad_row").alias("line"))
 
 

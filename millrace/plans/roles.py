@@ -43,15 +43,21 @@ def drifting(lines: DataFrame) -> list[DataFrame]:
     ]
 
 
-def _with_property(events: DataFrame) -> DataFrame:
-    """Events with their property as column k, parsed once per row; NULL if there is none."""
+def _with_property(events: DataFrame, filtered: bool) -> DataFrame:
+    """Events with their property as column k; NULL if there is none.
+
+    A plain column is not computed where nothing needs it, but would be computed again for a filter on it; with
+    `filtered` it is parsed once per row, whether it is needed or not.
+    """
+    if not filtered:
+        return events.withColumn("k", F.from_json("props", PROPS)["k"])
     parsed = F.coalesce(F.from_json("props", PROPS), F.struct(F.lit(None).cast("int").alias("k")))
     return events.select("*", expanded(parsed))
 
 
-def readings(events: DataFrame) -> DataFrame:
-    """Events as sensor readings; an error event is a critical status."""
-    return _with_property(events).select(
+def readings(events: DataFrame, filtered: bool = False) -> DataFrame:
+    """Events as sensor readings; an error event is a critical status. `filtered`: the query filters on humidity."""
+    return _with_property(events, filtered).select(
         "event_id",
         F.col("user_id").cast("string").alias("sensor_id"),
         F.col("ts").cast("timestamp").alias("event_time"),
@@ -93,7 +99,7 @@ def purchase_messages(events: DataFrame) -> DataFrame:
 def process_samples(events: DataFrame) -> DataFrame:
     """Events as process samples: the value is the CPU share, the property the memory."""
     memory = F.col("k").cast("double")
-    return _with_property(events).select(
+    return _with_property(events, filtered=True).select(
         F.col("user_id").alias("pid"),
         F.col("event_type").alias("name"),
         F.col("value").alias("cpu_pct"),
@@ -104,6 +110,23 @@ def process_samples(events: DataFrame) -> DataFrame:
     )
 
 
+def loose_documents(events: DataFrame) -> DataFrame:
+    """Events as JSON lines: a third have a further field, and every fourth value is a text."""
+    number = F.col("event_id")
+    fields = {
+        "_id": number,
+        "userId": F.col("user_id"),
+        "eventType": F.col("event_type"),
+        "value": F.when(number % 4 > 0, F.col("value")),
+        "text": F.when(number % 4 == 0, F.concat(F.lit("about "), F.col("value").cast("string"))),
+        "note": F.when(number % 3 == 0, F.concat(F.lit("note "), number.cast("string"))),
+        "metadata": F.from_json("props", PROPS),
+    }
+    line = F.to_json(F.struct(*(c.alias(name) for name, c in fields.items())))
+    # One field of two types: a struct cannot hold it, so the text gets its name in the line.
+    return events.select(F.replace(line, F.lit('"text":'), F.lit('"value":')).alias("value"))
+
+
 def documents(events: DataFrame) -> DataFrame:
     """Events as nested documents."""
     return events.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Session-level settings that results or plan shapes depend on; all can be set on a running session.
@@ -16,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Per-group limits stay map-side (WindowGroupLimit) up to this k instead of the default 1000.
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    # A table with a multiple of the other's buckets is read with as many as the other, rather than shuffled.
+    "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true",
     # Stream state on executor disk rather than the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -167,3 +170,46 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def matching_sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Sizes in bytes of the files that match a glob pattern, from the listing alone."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return {status.getPath().toString(): status.getLen() for status in found or []}
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file on whatever file system `path` is on; replaces one that is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file from whatever file system it is on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file to a name that must be free; False, and nothing renamed, if it is taken."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    source, target = fs.Path(source), fs.Path(target)
+    home = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    context = fs.FileContext.getFileContext(home.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    try:
+        context.rename(home.makeQualified(source), home.makeQualified(target), options)
+    except Py4JJavaError as failed:
+        if "FileAlreadyExistsException" not in str(failed.java_exception.getClass().getName()):
+            raise
+        return False
+    return True

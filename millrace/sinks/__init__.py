@@ -1,6 +1,16 @@
+from millrace.sinks.stored import (
+    ConcurrentChange,
+    append_rows,
+    expire_versions,
+    increment_stored,
+    read_stored,
+    replace_rows,
+    stored_version,
+    upsert_rows,
+    write_upserts,
+)
 from millrace.sinks.streams import (
     finished_batches,
-    fold_updates,
     latest_updates,
     read_snapshot,
     to_messages,
@@ -21,15 +31,22 @@ from millrace.sinks.tables import (
 )
 
 __all__ = [
+    "ConcurrentChange",
+    "append_rows",
     "append_table",
     "bucket_count",
+    "expire_versions",
     "finished_batches",
-    "fold_updates",
+    "increment_stored",
     "latest_updates",
     "read_snapshot",
+    "read_stored",
     "register_external",
+    "replace_rows",
     "replace_table",
+    "stored_version",
     "to_messages",
+    "upsert_rows",
     "write_bucketed",
     "write_csv_report",
     "write_files",
@@ -38,4 +55,5 @@ __all__ = [
     "write_topic",
     "write_update_log",
     "write_updates",
+    "write_upserts",
 ]

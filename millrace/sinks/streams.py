@@ -5,8 +5,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -16,8 +14,6 @@ from millrace.session import delete_path, matching_paths, path_exists
 
 # Results of a complete-mode stream that stay readable.
 SNAPSHOTS = 3
-# Batches of an update log with keys after which it is folded.
-FOLD_EVERY = 50
 
 
 def to_messages(df: DataFrame, key: str, fields: list[str], keep: tuple[str | Column, ...] = ()) -> DataFrame:
@@ -72,34 +68,11 @@ def _finished(spark: SparkSession, path: str, name: str) -> dict[int, str]:
 
 
 def finished_batches(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the batches that are written to the end, with their `batch_id`; raises if there is none.
-
-    Batches that `fold_updates` has folded have the number of the last of them.
-    """
-    batches, folded = _finished(spark, path, "batch_id="), _finished(spark, path, "folded-")
-    base = max(folded, default=-1)
-    later = [folder for number, folder in batches.items() if number > base]
-    frames = [spark.read.option("basePath", path).parquet(*later)] if later else []
-    if folded:
-        frames.insert(0, spark.read.parquet(folded[base]).withColumn("batch_id", F.lit(base)))
-    if not frames:
+    """Rows of the batches that are written to the end, with their `batch_id`; raises if there is none."""
+    folders = [mark.rsplit("/", 1)[0] for mark in matching_paths(spark, f"{path}/batch_id=*/_SUCCESS")]
+    if not folders:
         raise FileNotFoundError(f"no finished batch under {path}")
-    return reduce(DataFrame.unionByName, frames)
-
-
-def fold_updates(spark: SparkSession, path: str, keys: list[str]) -> None:
-    """Fold the finished batches of an update log into one table with the current row of each key.
-
-    Readers go over to it when it is written to the end; only then what it replaces is deleted.
-    """
-    batches, folded = _finished(spark, path, "batch_id="), _finished(spark, path, "folded-")
-    last = max(batches, default=-1)
-    if last <= max(folded, default=-1):
-        return
-    latest_updates(spark, path, keys).write.mode("overwrite").parquet(f"{path}/folded-{last}")
-    for number, folder in [*folded.items(), *batches.items()]:
-        if number <= last:
-            delete_path(spark, folder)
+    return spark.read.option("basePath", path).parquet(*folders)
 
 
 def _write_batches(
@@ -109,31 +82,21 @@ def _write_batches(
     mode: str,
     trigger: dict | None,
     history: int | None = None,
-    fold: tuple[list[str], int] | None = None,
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, path, batch_id)
-        if fold and batch_id % fold[1] == fold[1] - 1:
-            fold_updates(batch.sparkSession, path, fold[0])
         if history and batch_id >= history:
             delete_path(batch.sparkSession, f"{path}/batch_id={batch_id - history}")
 
     return _writer(df, checkpoint, trigger).outputMode(mode).foreachBatch(write).start()
 
 
-def write_update_log(
-    df: DataFrame,
-    path: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-    keys: list[str] | None = None,
-    fold_every: int = FOLD_EVERY,
-) -> StreamingQuery:
+def write_update_log(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Changed rows of an aggregate as a table that keeps each batch; read it with `latest_updates`.
 
-    With `keys` the log is folded every `fold_every` batches, so that it does not grow for ever.
+    The log grows with every batch; `write_upserts` keeps the current rows only.
     """
-    return _write_batches(df, path, checkpoint, "update", trigger, fold=(keys, fold_every) if keys else None)
+    return _write_batches(df, path, checkpoint, "update", trigger)
 
 
 def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:

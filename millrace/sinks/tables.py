@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import plan_bytes
+from millrace.session import matching_sizes, plan_bytes
 
+# Tables that are joined on their bucket keys need no exchange if one's number of buckets divides the other's.
 BUCKET_BYTES = 256 << 20
 MAX_BUCKETS = 20_000
 # A bucket beyond this is too much for the one task that reads it.
@@ -14,12 +17,12 @@ LARGEST_BUCKET = 4 << 30
 
 
 def append_table(df: DataFrame, path: str) -> None:
-    """Add rows to a Parquet table; every task writes its own files."""
+    """Add rows to a Parquet table; every task writes its own files. `append_rows` knows a batch that it has added before."""
     df.write.mode("append").parquet(path)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Drop the table's rows and write new ones."""
+    """Drop the table's rows and write new ones. Readers may find neither meanwhile; `replace_rows` has no such gap."""
     df.write.mode("overwrite").parquet(path)
 
 
@@ -66,10 +69,12 @@ def write_bucketed(
         .saveAsTable(name)
     )
     bucketed = df.sparkSession.table(name)
-    files = bucketed.select("_metadata.file_name", "_metadata.file_size").distinct()
-    bucket = F.regexp_extract("file_name", r"_(\d{5})\.", 1)
-    sizes = files.groupBy(bucket.alias("bucket")).agg(F.sum("file_size").alias("size"))
-    if sizes.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0] > largest:
+    sizes: dict[str, int] = {}
+    for file, size in matching_sizes(df.sparkSession, f"{path}/part-*").items():
+        # Spark puts the bucket's number before the extension.
+        bucket = re.search(r"_(\d{5,})\.", file.rsplit("/", 1)[1]).group(1)
+        sizes[bucket] = sizes.get(bucket, 0) + size
+    if max(sizes.values(), default=0) > largest:
         return df.sparkSession.read.schema(bucketed.schema).parquet(path)
     return bucketed
 

@@ -19,6 +19,7 @@ from millrace.sources.tables import (
     rejected_documents,
 )
 from millrace.sources.topics import read_topic, stream_table
+from millrace.sources.variants import field_kinds, found_schema, read_variants, typed_fields
 
 __all__ = [
     "CARD_TRANSACTION",
@@ -29,6 +30,8 @@ __all__ = [
     "TRANSACTION",
     "decode_json",
     "expanded",
+    "field_kinds",
+    "found_schema",
     "harmonise_union",
     "log_fields",
     "log_time",
@@ -38,10 +41,12 @@ __all__ = [
     "read_logs",
     "read_table",
     "read_topic",
+    "read_variants",
     "register_view",
     "rejected_csv",
     "rejected_documents",
     "rejected_json",
     "rejected_lines",
     "stream_table",
+    "typed_fields",
 ]

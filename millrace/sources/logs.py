@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from millrace.sources.messages import expanded
 
 # Time, host, `service[pid]:` and message; the time is `MMM dd HH:mm:ss` or ISO 8601.
-LOG_LINE = r"^(\w{3} +\d+ [\d:]{8}|\d{4}-\d\d-\d\dT\S+) (\S+) ([^\[:]+?)(?:\[\d+\])?: (.*)$"
+# The mark that parts the fields is in none of them but the message.
 MARK = "\x01"
+LOG_LINE = r"^(\w{3} +\d+ [\d:]{8}|\d{4}-\d\d-\d\dT[^\s\x01]+) ([^\s\x01]+) ([^\[:\x01]+?)(?:\[\d+\])?: (.*)$"
 PARTS = MARK.join(f"${group}" for group in range(1, 5))
 FIELDS = ("logged_at", "host", "service", "message")
 
@@ -20,8 +21,13 @@ def read_logs(spark: SparkSession, path: str, containing: str | None = None) ->
 
 
 def _parts(column: str) -> Column:
-    """The line's fields from one pass of the pattern, or the line alone if it has another layout."""
-    return F.split(F.regexp_replace(F.col(column), LOG_LINE, PARTS), MARK, 4)
+    """The line's fields from one pass of the pattern; one item or NULL if the line has another layout.
+
+    A line that holds the mark itself is tested against the pattern first, for it could pass for fields.
+    """
+    line = F.col(column)
+    parts = F.split(F.regexp_replace(line, LOG_LINE, PARTS), MARK, 4)
+    return F.when(~line.contains(MARK) | line.rlike(LOG_LINE), parts)
 
 
 def log_fields(lines: DataFrame, column: str = "value", containing: str | None = None) -> DataFrame:

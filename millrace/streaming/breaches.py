@@ -1,24 +1,65 @@
-"""Consecutive breaches on a stream.
+"""Consecutive breaches on a stream, with state by key.
 
-Each micro-batch runs the batch operator, which splits hot keys, and carries over the open run of each key.
-The state is a table next to the checkpoint, with a row only for keys whose last reading was a breach.
+Inside a micro-batch the batch operator finds the hits, with hot keys split over tasks. What a key's earlier batches
+have to do with it is told by a row per key: how many of its rows, and whether all of them, are breaches, and the run
+that its last rows end with. These rows, which Spark has reduced from at most n first and n last rows of a key, go
+through a stateful stream of their own. Its state store has one row for each key whose last reading was a breach, and a
+batch touches the rows of its own keys only, however many are open. The stream tells the run that each key came with,
+which decides about the run at the beginning of the batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from millrace.operators.runs import consecutive_breaches, trailing_runs
+from millrace.operators.runs import consecutive_breaches, leading_rows, run_edges
 from millrace.plans.sizing import GROUP_ROWS
 from millrace.session import delete_path
 from millrace.sinks.streams import finished_batches, write_batch
 
+EDGES = "key STRING, batch BIGINT, n_rows INT, all_breaches BOOLEAN, last_run INT"
+RUNS = "key STRING, batch BIGINT, before INT"
+# Batches whose edges and runs stay next to the checkpoint.
 HISTORY = 3
 
 
+def carry_runs(n: int):
+    """The step of the state: per key and batch the run before it, then the run after it is kept, 0 as nothing."""
+
+    def step(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        kept = run = state.get[0] if state.exists else 0
+        found = []
+        for row in pd.concat(list(frames)).sort_values("batch").itertuples():
+            found.append((key[0], row.batch, run))
+            run = min(n, run + row.n_rows) if row.all_breaches else row.last_run
+        if run and run != kept:
+            state.update((int(run),))
+        elif not run and state.exists:
+            state.remove()
+        yield pd.DataFrame(found, columns=["key", "batch", "before"])
+
+    return step
+
+
+def drain_runs(spark: SparkSession, folder: str, n: int) -> None:
+    """Let the stateful stream take in the edges it has not seen; it goes on from its own checkpoint."""
+    edges = spark.readStream.schema(EDGES).parquet(f"{folder}/edges/batch_id=*")
+    runs = edges.groupBy("key").applyInPandasWithState(carry_runs(n), RUNS, "run INT", "append", GroupStateTimeout.NoTimeout)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, f"{folder}/runs", batch_id)
+
+    writer = runs.writeStream.queryName("open_runs").option("checkpointLocation", f"{folder}/state")
+    writer.trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+
+
 def start_breach_stream(
     stream: DataFrame,
     keys: list[str],
@@ -33,26 +74,30 @@ def start_breach_stream(
 ) -> StreamingQuery:
     """Write the rows that are the `n`-th breach in a row of their key to `path`.
 
-    Rows are ordered by `order` within a batch; batches follow each other as they arrive.
+    Rows are ordered by `order` within a batch; batches follow each other as they arrive. A batch that is replayed
+    finds its edges written and taken in, and gets the same runs.
     """
-    run_schema = StructType([stream.schema[k] for k in keys]).add("run", IntegerType())
-
-    def state(batch_id: int) -> str:
-        return f"{checkpoint}/open_runs/batch_id={batch_id}"
+    spark, folder = stream.sparkSession, f"{checkpoint}/open_runs"
+    as_text = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch = batch.persist(StorageLevel.DISK_ONLY)
         try:
-            carried = spark.read.schema(run_schema).parquet(state(batch_id - 1)) if batch_id else None
-            hits = consecutive_breaches(batch, keys, order, breach, n, carried, group_rows)
-            write_batch(hits, path, batch_id)
-            runs = trailing_runs(batch, keys, order, breach, n, carried)
-            runs.write.mode("overwrite").parquet(state(batch_id))
+            edges = run_edges(batch, keys, order, breach, n)
+            marked = edges.select(as_text.alias("key"), F.lit(batch_id).cast("long").alias("batch"), "n_rows", "all_breaches", "last_run")
+            write_batch(marked, f"{folder}/edges", batch_id)
+            drain_runs(spark, folder, n)
+            runs = finished_batches(spark, f"{folder}/runs").filter(F.col("batch") == batch_id).select("key", "before")
+            # Runs that the key's first row begins are decided by what came before.
+            first = leading_rows(batch, keys, order, breach, n).withColumn("key", as_text).join(runs, "key")
+            completes = (F.col("before") < n) & (F.col("_position") == n - F.col("before"))
+            inner = consecutive_breaches(batch, keys, order, breach, n, group_rows, open_start=True)
+            write_batch(inner.unionByName(first.filter(completes).select(*batch.columns)), path, batch_id)
         finally:
             batch.unpersist()
         if batch_id >= history:
-            delete_path(spark, state(batch_id - history))
+            for part in ("edges", "runs"):
+                delete_path(spark, f"{folder}/{part}/batch_id={batch_id - history}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(on_batch)
     return (writer.trigger(**trigger) if trigger else writer).start()

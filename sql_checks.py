@@ -104,7 +104,7 @@ LATE_WINDOWS = """
         SELECT time_bucket(INTERVAL '5 seconds', ts) AS window_start,
                time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS window_end,
                CAST(user_id AS VARCHAR) AS sensor_id, ts >= '2024-01-12' AS late
-        FROM events WHERE event_type = 'error' AND ts < '2024-01-18')
+        FROM events WHERE event_type = 'error' AND ts IS NOT NULL)
     WHERE {kept} GROUP BY ALL"""
 
 ANOMALIES = f"""
@@ -270,10 +270,17 @@ ORACLE: dict[str, str] = {
         FROM events WHERE event_type = 'error'""",
     "log_files_top5": LOG_ERRORS.replace("GROUP BY 1", "AND event_id % 5 <> 0 GROUP BY 1"),
     "log_rejects": """
-        SELECT strftime(ts, '%b %d %H:%M:%S') || ' node1 app-' || COALESCE(CAST(user_id AS VARCHAR), 'unknown')
-               || '[' || event_id || '] - ' || upper(event_type[1]) || event_type[2:] || ' with value '
-               || COALESCE(CAST(value AS VARCHAR), 'unknown') AS value
-        FROM (SELECT * REPLACE (COALESCE(event_type, 'unknown') AS event_type) FROM events) WHERE event_id % 5 = 0""",
+        WITH e AS (SELECT * REPLACE (COALESCE(event_type, 'unknown') AS event_type) FROM events),
+        lines AS (
+            SELECT event_id, strftime(ts, '%b %d %H:%M:%S') AS logged, '-' || COALESCE(CAST(user_id AS VARCHAR), 'unknown')
+                   || '[' || event_id || ']' AS service, upper(event_type[1]) || event_type[2:] || ' with value '
+                   || COALESCE(CAST(value AS VARCHAR), 'unknown') AS message
+            FROM e)
+        SELECT logged || ' node1 app' || service || ' - ' || message AS value FROM lines WHERE event_id % 5 = 0
+        UNION ALL
+        SELECT logged || ' no' || chr(1) || 'de1 app' || service || ': ' || message FROM lines WHERE event_id % 50 = 2
+        UNION ALL
+        SELECT 'error' || chr(1) || 'b' || chr(1) || 'c' || chr(1) || event_id FROM lines WHERE event_id % 50 = 1""",
     "log_times": """
         SELECT date_trunc('second', ts) + INTERVAL 1 YEAR * (2024 - year(ts)) AS logged_at, COUNT(*) AS n
         FROM events GROUP BY 1""",
@@ -315,9 +322,20 @@ ORACLE: dict[str, str] = {
         late IS NOT TRUE OR window_end > (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '5 seconds' FROM events
             WHERE ts >= '2024-01-18' AND event_type <> 'error')"""),
     "alerts_and_counts_stream": f"""
-        SELECT 'alerts' AS output, sensor_id, COUNT(*) AS n FROM ({ALERTS}) GROUP BY sensor_id
+        SELECT 'alerts' AS output, key AS sensor_id, value AS entry, COUNT(*) AS n FROM ({MESSAGES}) GROUP BY key, value
+        UNION ALL
+        SELECT 'counts', sensor_id, strftime(window_start, '%Y-%m-%d %H:%M:%S'), critical_count
+        FROM ({WINDOWS}) WHERE window_start IS NOT NULL""",
+    "late_readings_kept": """
+        WITH critical AS (
+            SELECT event_id, CAST(user_id AS VARCHAR) AS sensor_id, ts >= '2024-01-12' AND ts < '2024-01-18'
+                   AND time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds'
+                       <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '5 seconds' FROM events
+                           WHERE event_type = 'error' AND (ts < '2024-01-12' OR ts >= '2024-01-18')) AS late
+            FROM events WHERE event_type = 'error' AND ts IS NOT NULL)
+        SELECT 'late' AS output, sensor_id, event_id, 1 AS n FROM critical WHERE late
         UNION ALL
-        SELECT 'counts', CAST(user_id AS VARCHAR), COUNT(*) FROM events WHERE event_type = 'error' GROUP BY user_id""",
+        SELECT 'counted', sensor_id, NULL, COUNT(*) FROM critical WHERE NOT late GROUP BY sensor_id""",
     "anomaly_totals": ANOMALY_TOTALS,
     "anomaly_counts_stream": ANOMALY_TOTALS,
     "running_metrics_batch": METRICS,
@@ -332,6 +350,23 @@ ORACLE: dict[str, str] = {
                o_orderstatus FROM orders""",
     "bucketed_roundtrip": """
         SELECT l_orderkey, COUNT(*) AS line_count, SUM(l_quantity) AS quantity FROM lineitem GROUP BY l_orderkey""",
+    "bucketed_join": """
+        SELECT o_orderstatus, COUNT(*) AS line_count, SUM(l_quantity) AS quantity
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY o_orderstatus""",
+    "stored_roundtrip": "SELECT * FROM events",
+    "increment_stored_rows": INCREMENTED.format(stamp=""),
+    "variant_field_kinds": """
+        SELECT unnest(['_id', 'userId', 'eventType', 'value', 'value', 'note', 'metadata']) AS field,
+               unnest(['NUMBER', 'NUMBER', 'STRING', 'NUMBER', 'STRING', 'STRING', 'OBJECT']) AS kind,
+               unnest([COUNT(*), COUNT(user_id), COUNT(event_type), COUNT(value) FILTER (event_id % 4 > 0),
+                       COUNT(value) FILTER (event_id % 4 = 0), COUNT(*) FILTER (event_id % 3 = 0), COUNT(props)]) AS n
+        FROM events""",
+    "variant_documents": """
+        SELECT event_id AS _id, CASE WHEN event_id % 4 > 0 THEN value END AS value,
+               CASE WHEN event_id % 4 = 0 THEN 'about ' || CAST(value AS VARCHAR) END AS about,
+               CASE WHEN event_id % 3 = 0 THEN 'note ' || event_id END AS note,
+               CAST(json_extract(props, '$.k') AS INTEGER) AS k
+        FROM events""",
     "external_roundtrip": "SELECT * FROM customer",
     "append_replace_roundtrip": "SELECT * FROM events",
     "documents_roundtrip": """
@@ -343,9 +378,9 @@ ORACLE: dict[str, str] = {
         FROM lineitem GROUP BY 1 ORDER BY 1""",
     "csv_header_roundtrip": "SELECT * FROM customer",
     "csv_rejects": """
-        SELECT c_custkey || ',' || c_name || CASE c_custkey % 7 WHEN 0 THEN ',7,much,s' WHEN 1 THEN ',7,1.5'
+        SELECT c_custkey || ',' || COALESCE(c_name, '') || CASE c_custkey % 7 WHEN 0 THEN ',7,much,s' WHEN 1 THEN ',7,1.5'
                ELSE ',7,1.5,s,t' END AS line
-        FROM customer WHERE c_custkey % 7 < 3 AND c_name IS NOT NULL""",
+        FROM customer WHERE c_custkey % 7 < 3""",
     "csv_roundtrip": "SELECT * FROM customer",
 }
 

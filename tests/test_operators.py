@@ -304,18 +304,22 @@ def test_hot_keys_are_cut_without_changing_hits(spark, n, group_rows):
     assert sorted(r.id for r in hits.collect()) == brute_force_hits(rows, n)
 
 
-@pytest.mark.parametrize("group_rows", [10_000, 20])
-def test_carried_runs_join_the_batches(spark, group_rows):
-    rows = sorted(run_rows(300, 9), key=lambda r: (r[2], r[0]))
-    cuts = [0, 2, 50, 51, 180, 300]
-    carried, found = None, []
-    for a, b in zip(cuts, cuts[1:]):
-        df = spark.createDataFrame(rows[a:b], RUN_SCHEMA)
-        args = (df, ["k"], ["ts", "id"], F.col("v") > 5, 3, carried)
-        found += [r.id for r in op.consecutive_breaches(*args, group_rows=group_rows).collect()]
-        runs = op.runs.trailing_runs(*args).collect()
-        carried = spark.createDataFrame(runs, "k INT, run INT")
-    assert sorted(found) == brute_force_hits(rows, 3)
+def test_run_edges_and_leading_rows(spark):
+    rows = run_rows(200, 9) + [(1000 + i, 77, 500 + i, 9) for i in range(2)] + [(2000, 78, 1, 1)]
+    df = spark.createDataFrame(rows, RUN_SCHEMA)
+    by_key = {}
+    for r in sorted(rows, key=lambda r: (r[2], r[0])):
+        by_key.setdefault(r[1], []).append((r[3] is not None and r[3] > 5, r[0]))
+    edges = {r.k: (r.n_rows, r.all_breaches, r.last_run) for r in op.runs.run_edges(df, ["k"], ["ts", "id"], F.col("v") > 5).collect()}
+    first = {}
+    for r in op.runs.leading_rows(df, ["k"], ["ts", "id"], F.col("v") > 5).collect():
+        first.setdefault(r.k, []).append((r._position, r.id))
+    assert set(edges) == set(by_key)
+    for k, seen in by_key.items():
+        run = next((i for i, (b, _) in enumerate(reversed(seen)) if not b), len(seen))
+        lead = next((i for i, (b, _) in enumerate(seen) if not b), len(seen))
+        assert edges[k] == (min(len(seen), 3), all(b for b, _ in seen), min(run, 3))
+        assert sorted(first.get(k, [])) == [(i + 1, id) for i, (_, id) in enumerate(seen[: min(lead, 3)])]
 
 
 def test_process_samples(spark):

@@ -9,8 +9,6 @@ from millrace.sinks import (
     append_table,
     bucket_count,
     finished_batches,
-    fold_updates,
-    latest_updates,
     read_snapshot,
     register_external,
     replace_table,
@@ -64,6 +62,18 @@ def test_buckets_follow_the_size_and_a_hot_one_is_split(spark, tmp_path, plan, m
     assert "Exchange" in plan(plain.groupBy("k").count()) and plain.count() == 1000
 
 
+def test_bucketed_tables_join_without_exchange(spark, tmp_path, plan):
+    left = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
+    right = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    a = write_bucketed(left, "many_buckets", "k", str(tmp_path / "a"), n=8)
+    b = write_bucketed(right, "few_buckets", "k", str(tmp_path / "b"), n=4)
+    same = a.join(write_bucketed(right, "same_buckets", "k", str(tmp_path / "c"), n=8).hint("merge"), "k")
+    multiple = a.join(b.hint("merge"), "k")
+    for joined in (same, multiple):
+        assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
+        assert joined.agg(F.count("*"), F.sum("w")).first() == (1000, 20 * sum(range(0, 100, 2)))
+
+
 def test_partition_values_come_back_as_written(spark, tmp_path):
     df = spark.createDataFrame([(1, "01"), (2, "1"), (3, None)], "id INT, p STRING")
     write_partitioned(df, str(tmp_path / "p"), ["p"])
@@ -84,20 +94,6 @@ def test_unfinished_batches_are_not_read(spark, tmp_path):
         finished_batches(spark, str(tmp_path))
 
 
-def test_folded_updates_read_the_same(spark, tmp_path):
-    path = str(tmp_path)
-    for batch in range(3):
-        spark.range(batch, 4).selectExpr("id", f"{batch} AS v").write.parquet(f"{path}/batch_id={batch}")
-    before = sorted(map(tuple, latest_updates(spark, path, ["id"]).collect()))
-    fold_updates(spark, path, ["id"])
-    assert sorted(p.name for p in tmp_path.iterdir() if p.is_dir()) == ["folded-2"]
-    assert sorted(map(tuple, latest_updates(spark, path, ["id"]).collect())) == before
-    spark.range(1).selectExpr("id", "9 AS v").write.parquet(f"{path}/batch_id=3")
-    assert sorted(map(tuple, latest_updates(spark, path, ["id"]).collect())) == [(0, 9), *before[1:]]
-    fold_updates(spark, path, ["id"])
-    assert sorted(map(tuple, latest_updates(spark, path, ["id"]).collect())) == [(0, 9), *before[1:]]
-
-
 def test_scratch_is_released_when_asked(spark):
     path = scratch_path(spark, "t")
     spark.range(3).write.parquet(path)

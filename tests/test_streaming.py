@@ -3,28 +3,47 @@
 import json
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 from test_operators import RUN_SCHEMA, brute_force_hits, run_rows
 
 from millrace.session import scratch_path
-from millrace.sinks import latest_updates, read_snapshot, write_files, write_snapshot, write_update_log, write_updates
+from millrace.sinks import (
+    latest_updates,
+    read_snapshot,
+    read_stored,
+    stored_version,
+    write_files,
+    write_snapshot,
+    write_update_log,
+    write_updates,
+)
 from millrace.sources import read_topic, stream_table
 from millrace.streaming import (
     alert_messages,
     anomaly_counts,
     critical_window_counts,
     flat_window,
+    hand_over,
     parse_readings,
     partial_aggregate,
     read_breaches,
+    read_output,
+    read_view,
     running_metrics,
     serving_view,
     start_alerts_and_counts,
     start_breach_stream,
+    start_speed_layer,
 )
+from millrace.streaming import alerts as alerts_module
+from millrace.streaming import breaches as breaches_module
+from millrace.streaming.alerts import ALERTS, COUNTS
+from millrace.streaming.alerts import LATE as LATE_READINGS
 
 DRAIN = {"availableNow": True}
 MESSAGE = "value STRING"
@@ -122,21 +141,66 @@ def test_alerts_restart_without_duplicates(spark, topic, scratch):
     assert drain() == second
 
 
-def test_alerts_and_counts_run_side_by_side(spark, topic, scratch):
-    topic.send(reading(1, "critical"), reading(2, "critical", temperature=33.0), reading(3))
-    topic.send(reading(7, "critical"))
-    queries = start_alerts_and_counts(
-        parse_readings(topic.stream()), f"{scratch}/cp", f"{scratch}/counts", f"{scratch}/alerts", trigger=DRAIN
-    )
-    spark.streams.awaitAnyTermination()
-    for query in queries:
-        query.awaitTermination()
-    assert spark.read.parquet(f"{scratch}/alerts").count() == 3
-    counts = flat_window(latest_updates(spark, f"{scratch}/counts", ["window", "sensor_id"]))
-    assert sorted((r.window_start.second, r.critical_count) for r in counts.collect()) == [(0, 2), (5, 1)]
-    spark.streams.resetTerminated()
-    with pytest.raises(ValueError):
-        start_alerts_and_counts(parse_readings(topic.stream()), scratch, scratch)
+def outputs(spark, store):
+    alerts = sorted((r.key, json.loads(r.value)["status"]) for r in read_output(spark, store, ALERTS).collect())
+    counts = sorted((r.window_start.second, r.critical_count) for r in read_output(spark, store, COUNTS).collect())
+    return alerts, counts, sorted(r.event_time.second for r in read_output(spark, store, LATE_READINGS).collect())
+
+
+def test_alerts_and_counts_come_from_one_read(spark, topic, scratch):
+    topic.send(reading(1, "critical"), reading(2, "critical", temperature=33.0), reading(3), "{broken")
+    topic.send(reading(7, "critical"), reading(8, temperature=40.0))
+
+    def start():
+        return start_alerts_and_counts(parse_readings(topic.stream()), f"{scratch}/out", f"{scratch}/cp", trigger=DRAIN)
+
+    query = start()
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 6
+    expected = [("S1", "critical")] * 3 + [("S1", "normal")], [(0, 2), (5, 1)], []
+    assert outputs(spark, f"{scratch}/out") == expected
+    start().awaitTermination()
+    assert outputs(spark, f"{scratch}/out") == expected
+
+
+@pytest.mark.parametrize("killed_at", ["counts", "commit"])
+def test_both_outputs_of_a_batch_or_neither(spark, topic, scratch, monkeypatch, killed_at):
+    def start():
+        return start_alerts_and_counts(parse_readings(topic.stream()), f"{scratch}/out", f"{scratch}/cp", trigger=DRAIN)
+
+    topic.send(reading(1, "critical"))
+    start().awaitTermination()
+    before = outputs(spark, f"{scratch}/out")
+    topic.send(reading(2, "critical"), reading(9, temperature=50.0))
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    # The alerts of the batch are written by then.
+    monkeypatch.setattr(alerts_module, {"counts": "merged_files", "commit": "commit"}[killed_at], die)
+    with pytest.raises(Exception, match="killed"):
+        start().awaitTermination()
+    assert outputs(spark, f"{scratch}/out") == before
+    monkeypatch.undo()
+    start().awaitTermination()
+    assert outputs(spark, f"{scratch}/out") == ([("S1", "critical")] * 2 + [("S1", "normal")], [(0, 2)], [])
+
+
+def test_late_readings_are_those_the_watermark_drops(spark, topic, scratch):
+    counts = critical_window_counts(parse_readings(topic.stream()))
+    native = write_update_log(counts, f"{scratch}/native", f"{scratch}/cp1")
+    for values in ([1, 6], [20], [3, 14, 16, 26], [2, 40, 41], [24, 39], [30, 45]):
+        topic.send(*(reading(s, "critical") for s in values))
+        native.processAllAvailable()
+    native.stop()
+    store = f"{scratch}/out"
+    start_alerts_and_counts(parse_readings(topic.stream()), store, f"{scratch}/cp2", trigger=DRAIN).awaitTermination()
+    alerts, kept, late = outputs(spark, store)
+    latest = latest_updates(spark, f"{scratch}/native", ["window", "sensor_id"])
+    assert kept == sorted((r.window.start.second, r.critical_count) for r in latest.collect())
+    dropped = sum(s["numRowsDroppedByWatermark"] for p in native.recentProgress for s in p["stateOperators"])
+    assert late == [2, 3, 14, 24, 30] and dropped == stored_version(spark, store).notes["late"] == 5
+    assert len(alerts) == len(late) + sum(n for _, n in kept)
 
 
 def test_complete_mode_equals_batch(spark, topic, scratch):
@@ -205,8 +269,80 @@ def test_breaches_over_batches_and_restarts(spark, scratch, tmp_path, group_rows
         done += size
         assert drain() == brute_force_hits(rows[:done], 3)
     assert drain() == brute_force_hits(rows, 3)
-    kept = os.listdir(f"{scratch}/cp/open_runs".removeprefix("file:"))
-    assert sorted(k for k in kept if k.startswith("batch")) == ["batch_id=2", "batch_id=3", "batch_id=4"]
+    for part in ("edges", "runs"):
+        kept = os.listdir(f"{scratch}/cp/open_runs/{part}".removeprefix("file:"))
+        assert sorted(k for k in kept if k.startswith("batch")) == ["batch_id=2", "batch_id=3", "batch_id=4"]
+
+
+class Progress(StreamingQueryListener):
+    """What the state of the open runs did, batch by batch."""
+
+    def __init__(self):
+        self.seen = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        if event.progress.name == "open_runs" and event.progress.numInputRows:
+            (state,) = event.progress.stateOperators
+            self.seen.append((state.numRowsTotal, state.numRowsUpdated, state.numRowsRemoved))
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def test_a_batch_touches_the_state_of_its_own_keys(spark, scratch, tmp_path):
+    folder, n_keys = str(tmp_path / "rows"), 100_000
+    schema = StructType.fromDDL("k LONG, ts INT, v INT")
+    batches = [
+        spark.range(n_keys).selectExpr("id AS k", "1 AS ts", "9 AS v"),
+        spark.createDataFrame([(5, 2, 9)], schema),
+        spark.createDataFrame([(5, 3, 9), (6, 3, 1), (None, 3, 9)], schema),
+        spark.createDataFrame([(5, 4, 9), (None, 4, 9), (None, 5, 9)], schema),
+    ]
+    listener = Progress()
+    spark.streams.addListener(listener)
+    try:
+        for batch in batches:
+            batch.write.mode("append").parquet(folder)
+            stream = stream_table(spark, folder, schema)
+            start_breach_stream(
+                stream, ["k"], ["ts"], F.col("v") > 5, f"{scratch}/out", f"{scratch}/cp", 3, DRAIN
+            ).awaitTermination()
+        for _ in range(100):
+            if len(listener.seen) == len(batches):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    hits = sorted((r.k or -1, r.ts) for r in read_breaches(spark, f"{scratch}/out").collect())
+    assert hits == [(-1, 5), (5, 3)]
+    assert listener.seen == [(n_keys, n_keys, 0), (n_keys, 1, 0), (n_keys, 2, 1), (n_keys, 1, 0)]
+
+
+def test_a_batch_that_is_replayed_reports_the_same(spark, scratch, tmp_path, monkeypatch):
+    folder, schema = str(tmp_path / "rows"), StructType.fromDDL("k LONG, ts INT, v INT")
+
+    def drain():
+        stream = stream_table(spark, folder, schema)
+        args = ["k"], ["ts"], F.col("v") > 5, f"{scratch}/out", f"{scratch}/cp", 3, DRAIN
+        start_breach_stream(stream, *args).awaitTermination()
+
+    spark.createDataFrame([(1, 1, 9), (1, 2, 9), (2, 1, 9)], schema).write.mode("append").parquet(folder)
+    drain()
+    spark.createDataFrame([(1, 3, 9), (2, 2, 1)], schema).write.mode("append").parquet(folder)
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    # The state has taken the batch in by then.
+    monkeypatch.setattr(breaches_module, "leading_rows", die)
+    with pytest.raises(Exception, match="killed"):
+        drain()
+    monkeypatch.undo()
+    drain()
+    assert [tuple(r) for r in read_breaches(spark, f"{scratch}/out").collect()] == [(1, 3, 9)]
 
 
 def test_serving_view_equals_recomputing(spark, scratch, tmp_path):
@@ -223,6 +359,34 @@ def test_serving_view_equals_recomputing(spark, scratch, tmp_path):
     assert sorted(map(tuple, view.collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_the_cut_moves_while_the_stream_goes_on(spark, scratch, tmp_path):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, *range(100)]), rng.choice([None, 1.0, 2.0])) for _ in range(400)]
+    schema = StructType.fromDDL("k STRING, ts INT, v DOUBLE")
+    folder, store, slot = str(tmp_path / "rows"), f"{scratch}/store", F.floor(F.col("ts") / 10).cast("int")
+
+    def view_equals(seen):
+        df = spark.createDataFrame(seen, schema)
+        expected = df.groupBy("k").agg(F.count("*").alias("count"), F.sum("v").alias("total"), F.avg("v").alias("average"))
+        assert sorted(map(tuple, read_view(spark, store, ["k"]).collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+
+    with pytest.raises(FileNotFoundError):
+        read_view(spark, store, ["k"])
+    for at, cut in enumerate((3, 7, None, 10)):
+        seen = rows[: (at + 1) * 100]
+        spark.createDataFrame(rows[at * 100 : at * 100 + 100], schema).write.mode("append").parquet(folder)
+        stream = stream_table(spark, folder, schema)
+        start_speed_layer(stream, store, f"{scratch}/cp", ["k"], "v", slot, DRAIN).awaitTermination()
+        view_equals(seen)
+        if cut:
+            hand_over(spark, store, spark.createDataFrame(seen, schema), ["k"], "v", slot, cut)
+            view_equals(seen)
+            assert stored_version(spark, store).notes["cut"] == cut
+            speed = read_stored(spark, store, "speed_view")
+            assert speed.filter(F.col("slot") < cut).count() == 0
+    assert read_stored(spark, store, "speed_view").count() == 0
+
+
 def test_serving_view_of_a_key_without_values(spark):
     df = spark.createDataFrame([("a", None)], "k STRING, v DOUBLE")
     part = partial_aggregate(df, ["k"], "v")
