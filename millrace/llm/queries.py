@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_gam, quality_rules, repeats, resampling, sharding, warc
+from millrace.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_gam, quality_rules, repeats, resampling, sharding, vector_codes, warc
 from millrace.llm.base import given
 from millrace.llm.token_counts import count_tokens
 from millrace.session import delete_path, scratch_path
@@ -140,3 +140,11 @@ def op12_resampling(spark, sf_dir):
 
 
 SQL["op12_resampling"] = resampling.oracle()
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    return vector_codes.vector_codes(given(spark, sf_dir, "embeddings"))
+
+
+SQL["op13_vector_codes"] = vector_codes.oracle()
