@@ -58,7 +58,8 @@ def first_k_per_key(
     """Bulk lookup: up to `k` rows of `df` for every key value in `keys`.
 
     A key set that fits is broadcast and filters the scan before the ranking. A larger one is joined after
-    the ranking, when every key is down to `k` rows, so no hot key is ever shuffled whole.
+    the ranking, when every key is down to `k` rows, so no hot key is ever shuffled whole; its range of values is
+    pushed to the scan, and where the scan is large Spark puts a Bloom filter of the set on it, below the ranking.
     """
     wanted = keys.select(key).distinct()
     if not small_by_estimate(wanted):
@@ -66,7 +67,9 @@ def first_k_per_key(
     small = broadcastable(wanted)
     if small is not None:
         return rank_limit(df.join(small, key, "left_semi"), [key], order, k)
-    return rank_limit(df, [key], order, k).join(wanted, key, "left_semi")
+    # The range is a filter on both sides: Spark builds a Bloom filter only of a side that has one.
+    within = F.col(key).between(*(F.lit(end) for end in wanted.agg(F.min(key), F.max(key)).first()))
+    return rank_limit(df.filter(within), [key], order, k).join(wanted.filter(within), key, "left_semi")
 
 
 def latest_versions(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:

@@ -21,7 +21,8 @@ def consecutive_breaches(
 ) -> DataFrame:
     """Rows that are the `n`-th breach in a row of their key; a longer run is reported once.
 
-    `order` must leave no ties within a key; a NULL condition is no breach. With `open_start`, a run that begins
+    `order` must leave no ties within a key; a NULL condition is no breach. Keys are not counted unless a sketch of
+    them says that some may be large. With `open_start`, a run that begins
     with the first row of its key is left out, for it may have begun before.
 
     Keys with up to `group_rows` rows are windowed whole. Larger ones are cut into ranges of about that many

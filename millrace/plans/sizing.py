@@ -11,6 +11,8 @@ from millrace.session import materialise, plan_bytes, size_setting
 
 BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD = 64
+# Cells of the sketch of large groups, and the size of a row that is taken for its width.
+SKETCH_CELLS, MAX_SKETCH_CELLS, LEAST_ROW_BYTES = 1 << 14, 1 << 22, 16
 # Rows of one key that a single task may sort before the key is split.
 GROUP_ROWS = 2_000_000
 
@@ -56,6 +58,25 @@ def sized_join(df: DataFrame, side: DataFrame, on: list[str] | Column, how: str)
     return df.join(side, on, how)
 
 
-def oversized_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """Keys with more than `limit` rows and their `_rows`; at most total rows / limit of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
+def sketch_width(rows_bytes: int, limit: int) -> int:
+    """Cells of the sketch: enough that a cell of small groups stays well below `limit` rows."""
+    cells = SKETCH_CELLS
+    while cells < MAX_SKETCH_CELLS and rows_bytes // LEAST_ROW_BYTES // cells > limit // 8:
+        cells *= 2
+    return cells
+
+
+def oversized_groups(df: DataFrame, keys: list[str], limit: int, cells: int | None = None) -> DataFrame:
+    """Keys with more than `limit` rows and their `_rows`; at most total rows / limit of them.
+
+    Found in a sketch first: rows are counted by a hash of their keys in a bounded number of cells, the only thing that
+    every row goes through. A key with more than `limit` rows makes its cell exceed it, so none is missed; keys are
+    counted one by one only in the few cells that do, and not at all if there is none.
+    """
+    cell = F.pmod(F.xxhash64(*keys), F.lit(cells or sketch_width(plan_bytes(df), limit)))
+    full = df.groupBy(cell.alias("_cell")).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit).select("_cell")
+    full = materialise(full)
+    if full.isEmpty():
+        return df.select(*keys, F.lit(0).cast("long").alias("_rows")).limit(0)
+    suspects = df.select(*keys).join(broadcastable(full) or full, cell == F.col("_cell"), "left_semi")
+    return suspects.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)

@@ -19,6 +19,10 @@ SETTINGS = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # A table with a multiple of the other's buckets is read with as many as the other, rather than shuffled.
     "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true",
+    # Bloom filters of a join's key set, of 8 MB for up to four million keys, are worth a pass over sets up to this size.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
     # Stream state on executor disk rather than the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -1,5 +1,7 @@
 """The physical plans, not only the results, are what they should be."""
 
+import re
+
 import pytest
 
 from millrace import operators as op
@@ -136,3 +138,73 @@ def test_hot_partition_value_is_written_by_several_tasks(spark, splitting, tmp_p
     table = write_bucketed(df, "hot_buckets", "k", str(tmp_path / "b"), n=4)
     assert len(list((tmp_path / "b").glob("*.parquet"))) > 4
     assert table.count() == 200_000
+
+
+def test_a_large_key_set_filters_the_scan_by_a_bloom_filter(spark, tmp_path, plan, monkeypatch):
+    from millrace.operators import ranking
+
+    folder = str(tmp_path / "rows")
+    spark.range(100_000).selectExpr("id", "id % 5000 AS k").write.parquet(folder)
+    rows, keys = spark.read.parquet(folder), spark.range(200).selectExpr("id * 7 AS k")
+    expected = sorted(map(tuple, op.first_k_per_key(rows, keys, "k", ["id"], 3).collect()))
+    monkeypatch.setattr(ranking, "broadcastable", lambda _: None)
+    monkeypatch.setattr(ranking, "small_by_estimate", lambda _: False)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = op.first_k_per_key(rows, keys, "k", ["id"], 3)
+        text = plan(found)
+        assert text.index("WindowGroupLimit") < text.index("might_contain") < text.index("FileScan")
+        assert "GreaterThanOrEqual(k,0)" in text
+        assert sorted(map(tuple, found.collect())) == expected and len(expected) == 600
+        scanned = found._jdf.queryExecution().executedPlan()
+        assert op.first_k_per_key(rows, keys.limit(0), "k", ["id"], 3).count() == 0
+        passed = [int(n) for n in re.findall(r"rows out (\d+)", _rows_out(scanned))]
+        assert min(passed) < 100_000 * 200 / 5000 * 1.5
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _rows_out(executed):
+    """`rows out n` of each filter of a plan that has run."""
+    nodes, found = [executed], []
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+            continue
+        if node.nodeName().endswith("QueryStage"):
+            nodes.append(node.plan())
+            continue
+        if node.nodeName() == "Filter":
+            found.append(f"rows out {node.metrics().apply('numOutputRows').value()}")
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return " ".join(found)
+
+
+def test_hot_keys_are_found_without_counting_all(spark, plan):
+    hot = spark.range(1_000_000).selectExpr("id % 5 AS k")
+    rows = hot.union(spark.range(10_000_000).selectExpr("id + 10 AS k"))
+    found = sizing.oversized_groups(rows, ["k"], 100_000)
+    assert sorted(map(tuple, found.collect())) == [(k, 200_000) for k in range(5)]
+    # Only the rows of suspect cells reach the count by key.
+    assert "LeftSemi" in plan(found) or "left_semi" in plan(found).lower()
+    none = sizing.oversized_groups(rows, ["k"], 300_000)
+    assert none.collect() == [] and "Exchange" not in plan(none)
+
+
+@pytest.mark.parametrize("cells", [1, 2, 1 << 14])
+def test_a_narrow_sketch_misses_no_group(spark, cells):
+    rows = spark.range(3000).selectExpr("IF(id % 3 = 0, NULL, id % 50) AS k", "IF(id % 2 = 0, 'x', NULL) AS j")
+    exact = rows.groupBy("k", "j").count().filter("count > 45").collect()
+    found = sizing.oversized_groups(rows, ["k", "j"], 45, cells=cells).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, exact), key=str) and len(found) >= 2
+
+
+def test_the_sketch_widens_with_the_rows():
+    assert sizing.sketch_width(1 << 30, 2_000_000) == sizing.SKETCH_CELLS
+    wide = sizing.sketch_width(100 << 40, 2_000_000)
+    assert sizing.SKETCH_CELLS < wide <= sizing.MAX_SKETCH_CELLS
