@@ -145,14 +145,17 @@ def descend(boxes: Boxes, entries: Boxes, order: np.ndarray) -> Found:
         if depth < entries.last:
             node, entry, depth = np.repeat(node, 2), np.stack([2 * entry, 2 * entry + 1], axis=1).ravel(), depth + 1
         if level < boxes.last:
-            # Pairs stay sorted by node: all of a left half come before those of the right one.
-            node, entry, level = np.concatenate([2 * node, 2 * node + 1]), np.tile(entry, 2), level + 1
-            sort = np.argsort(node, kind="stable")
-            node, entry = node[sort], entry[sort]
+            # Both halves of a node take over its entries, so pairs stay sorted by node.
+            first = np.flatnonzero(np.diff(node, prepend=-1))
+            sizes = np.repeat(np.diff(first, append=len(node)), 2)
+            source = np.arange(sizes.sum()) - np.repeat(sizes.cumsum() - sizes - np.repeat(first, 2), sizes)
+            half = np.stack([2 * node[first], 2 * node[first] + 1], axis=1).ravel()
+            node, entry, level = np.repeat(half, sizes), entry[source], level + 1
     ends, first = entries.ends[depth], np.flatnonzero(np.diff(node, prepend=-1))
     for a, b in zip(first, np.append(first[1:], len(node))):
-        left = np.concatenate([order[ends[e] : ends[e + 1]] for e in entry[a:b]])
-        found.unsure.append((int(node[a]), np.sort(left)))
+        # A leaf of the entries' tree has one or two of them: its first and its last.
+        left = np.concatenate([order[ends[entry[a:b]]], order[ends[entry[a:b] + 1] - 1]])
+        found.unsure.append((int(node[a]), np.unique(left)))
     return found
 
 
