@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +64,22 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return free
 
 
+def located(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """`docs` with the file and row that each of its rows lies at, and the names of these two columns.
+
+    A frame that is not a file scan is stored first. The place tells rows apart that have nothing else to do so.
+    """
+    names = free_names(docs, "__path", "__row")
+    place = [F.col(f"_metadata.{field}").alias(name) for field, name in zip(("file_path", "row_index"), names, strict=True)]
+    try:
+        return docs.select("*", *place), names
+    except AnalysisException:
+        spark = docs.sparkSession
+        path = scratch_path(spark, "documents")
+        docs.write.parquet(path)
+        return spark.read.parquet(path).select("*", *place), names
+
+
 def crc32_sql(text: str) -> str:
     """CRC-32 of a text's bytes as DuckDB SQL, over a view `crc_steps` with one row, see `CRC_STEPS`."""
     octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
@@ -76,6 +95,19 @@ crc_bits(i, k, c) AS (
 crc_steps AS (SELECT list(c ORDER BY i) AS steps FROM crc_bits WHERE k = 8)"""
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings that hold while something runs to its end, and are as before afterwards."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 class Shelf:
     """Frames computed once into the shared folder as Parquet, to be deleted together.
 

@@ -9,11 +9,10 @@ documents that only share a digest are told apart by their bytes.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import SPACE, ready, whole_text
+from millrace.llm.base import SPACE, located, ready, settings, whole_text
 from millrace.plans.sizing import sized_join
 from millrace.session import delete_path, scratch_path
 from millrace.sinks import write_update_log
@@ -39,18 +38,6 @@ def sha256(value: Column) -> Column:
     return F.sha2(value.cast("binary"), 256)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """`docs` with the file and row that each document lies in; a frame that is not a file scan is stored first."""
-    place = [F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row")]
-    try:
-        return docs.select("*", *place)
-    except AnalysisException:
-        spark = docs.sparkSession
-        path = scratch_path(spark, "documents")
-        docs.write.parquet(path)
-        return spark.read.parquet(path).select("*", *place)
-
-
 def _stays() -> Column:
     """Orders the documents of a group: most code points first, then smallest identifier, nulls last, then place."""
     return F.struct("n_chars", F.bitwise_not("doc_id").alias("not_id"), F.col("__path").alias("path"), F.col("__row").alias("row"))
@@ -64,8 +51,6 @@ def dedup_state(arrivals: DataFrame) -> DataFrame:
 def drain(arrivals: DataFrame) -> DataFrame:
     """Store arrivals, stream them through `dedup_state` in batches, and read the state's last row per digest."""
     spark = ready(arrivals.sparkSession)
-    for name, value in STATE.items():
-        spark.conf.set(f"spark.sql.streaming.stateStore.{name}", value)
     path = scratch_path(spark, "exact")
     arrivals.write.parquet(f"{path}/arrivals")
     stored = spark.read.parquet(f"{path}/arrivals")
@@ -74,7 +59,8 @@ def drain(arrivals: DataFrame) -> DataFrame:
         spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", per_batch).parquet(f"{path}/arrivals")
     )
     log = f"{path}/state"
-    write_update_log(dedup_state(stream), log, f"{path}/checkpoint", {"availableNow": True}).awaitTermination()
+    with settings(spark, {f"spark.sql.streaming.stateStore.{name}": value for name, value in STATE.items()}):
+        write_update_log(dedup_state(stream), log, f"{path}/checkpoint", {"availableNow": True}).awaitTermination()
     schema = "digest string, n bigint, stays struct<n_chars:bigint,not_id:bigint,path:string,row:bigint>, batch_id int"
     state = spark.read.schema(schema).parquet(log) if stored.take(1) else spark.createDataFrame([], schema)
     last = state.groupBy("digest").agg(F.max_by(F.struct("n", "stays"), "batch_id").alias("s")).select("digest", "s.*")
@@ -91,11 +77,12 @@ def exact_groups(docs: DataFrame, text: str = "text", digest=sha256) -> DataFram
     columns are not read. `digest` is a column function from the normalised text to a string; groups come out right
     with any, because hits are checked on full bytes.
     """
-    return _groups(located(docs), text, digest)
+    return _groups(*located(docs), text, digest)
 
 
-def _groups(placed: DataFrame, text: str, digest) -> DataFrame:
-    rows = placed.select(F.col("doc_id").cast("long"), whole_text(text).alias("_t"), normalised(text).alias("_n"), *PLACE)
+def _groups(placed: DataFrame, names: list[str], text: str, digest) -> DataFrame:
+    place = [F.col(name).alias(to) for name, to in zip(names, PLACE, strict=True)]
+    rows = placed.select(F.col("doc_id").cast("long"), whole_text(text).alias("_t"), normalised(text).alias("_n"), *place)
     arrivals = rows.select(
         "doc_id", digest(F.col("_n")).alias("digest"), F.length("_t").cast("long").alias("n_chars"),
         sha256(F.col("_n")).alias("text_sha256"), *PLACE,
@@ -127,6 +114,7 @@ def _by_bytes(found: DataFrame, content: DataFrame, clash: DataFrame) -> DataFra
 
 def exact_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with the columns they have; see `exact_groups`."""
-    placed = located(docs)
-    gone = _groups(placed, text, sha256).filter(~F.col("kept")).select(*PLACE)
-    return sized_join(placed, gone, PLACE, "left_anti").drop(*PLACE)
+    placed, names = located(docs)
+    gone = _groups(placed, names, text, sha256).filter(~F.col("kept"))
+    gone = gone.select(*[F.col(at).alias(name) for at, name in zip(PLACE, names, strict=True)])
+    return sized_join(placed, gone, names, "left_anti").drop(*names)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import crc32_of, placed, ready, whole_text
+from millrace.llm.base import crc32_of, free_names, placed, ready, whole_text
 from millrace.operators import rank_limit
 from millrace.plans.sizing import sized_join
 
@@ -126,14 +126,15 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         names, scores = model.predict(texts.to_pylist())
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
-    found = docs.withColumn("_l", scored(whole_text(text)))
+    (name,) = free_names(docs, "_l")
+    found = docs.withColumn(name, scored(whole_text(text)))
     letters = F.coalesce(F.col(text).cast("string").rlike(r"\p{L}"), F.lit(False))
     return found.withColumns(
         {
-            "lang_pred": F.when(letters, F.col("_l.lang")).otherwise(UNDETERMINED),
-            "score": F.when(letters, F.col("_l.score")).otherwise(0.0),
+            "lang_pred": F.when(letters, F.col(f"{name}.lang")).otherwise(UNDETERMINED),
+            "score": F.when(letters, F.col(f"{name}.score")).otherwise(0.0),
         }
-    ).drop("_l")
+    ).drop(name)
 
 
 def held_out(docs: DataFrame) -> DataFrame:

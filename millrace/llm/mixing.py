@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import WORD, placed, ready, whole_text
+from millrace.llm.base import WORD, free_names, located, placed, ready, whole_text
 from millrace.plans.sizing import sized_join
 
 BLOCK_TOKENS = 50_000
@@ -125,19 +125,15 @@ def mix(docs: DataFrame, target: Target, text: str = "text", source: str = "sour
 def mix_rows(docs: DataFrame, target: Target, text: str = "text", source: str = "source") -> DataFrame:
     """The rows of `docs` that the mixture uses, each as often as it uses them, with the columns they have.
 
-    A row with a null doc_id is known by all its columns; such rows that are equal stand for each other.
+    A row is known by the place that it lies at, so rows that repeat an id, and rows without one, are used one by one
+    and the budget holds for them as for others.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    row = F.to_json(F.struct(*[c.cast("string").alias(f"c{i}") for i, c in enumerate(columns)]))
-    keyed = docs.withColumn("_row", F.when(F.col("doc_id").isNull(), F.sha2(row, 256)).otherwise(F.lit("")))
-    uses = mix(keyed, target, text, source, ("_row",)).groupBy("doc_id", "_row").agg(F.max("epoch").alias("_last"), F.count("*").alias("_n"))
-    # Nulls do not join; the row tells a null from the number that stands for it.
-    known = F.coalesce(F.col("doc_id"), F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("_id")
-    uses = uses.select(known, "_row", F.when(F.col("_row") == "", F.col("_last") + 1).otherwise(F.col("_n")).alias("_uses"))
-    once = keyed.filter("doc_id is not null").union(keyed.filter("doc_id is null").dropDuplicates(["_row"]))
-    found = sized_join(once.select("*", known), uses, ["_id", "_row"], "inner")
-    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_uses")))
-    return copies.select(*columns)
+    placed_rows, names = located(docs)
+    uses, copy = free_names(placed_rows, "_uses", "_copy")
+    counted = mix(placed_rows, target, text, source, tuple(names)).groupBy(*names).agg(F.count("*").alias(uses))
+    found = sized_join(placed_rows, counted, names, "inner")
+    copies = found.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(uses))))
+    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def oracle(target: Target) -> str:

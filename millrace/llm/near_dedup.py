@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import Shelf, whole_text
+from millrace.llm.base import Shelf, free_names, located, whole_text
+from millrace.operators import numbered
 from millrace.plans.sizing import sized_join
 
 CHUNKS, SLOTS, ERRORS = 12, 5, 1
@@ -259,6 +260,22 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, one document of each group, with the columns they have."""
-    gone = near_groups(docs, text).filter(~F.col("kept")).select("doc_id")
-    return sized_join(docs, gone, ["doc_id"], "left_anti")
+    """The rows of `docs` that stay, one document of each group, with the columns they have.
+
+    Rows that repeat an id are documents of their own: the first of them, by place, has the id, and the others get
+    numbers above all ids. Of a group the smallest stays. Rows without an id, words or text stay.
+    """
+    placed, names = located(docs.withColumn("doc_id", F.col("doc_id").cast("long")))
+    (key,) = free_names(placed, "_key")
+    ids = placed.filter("doc_id is not null").groupBy("doc_id")
+    ids = ids.agg(F.count("*").alias("n"), F.min(F.struct(*names)).alias("first"))
+    top, most = ids.agg(F.max("doc_id"), F.max("n")).first()
+    keyed = placed.withColumn(key, F.col("doc_id"))
+    if (most or 0) > 1:
+        again = sized_join(placed.select("doc_id", *names), ids.filter("n > 1"), ["doc_id"], "inner")
+        again = again.filter(F.struct(*names) != F.col("first")).select(*names)
+        fresh = numbered(again, names, key).withColumn(key, F.col(key) + F.lit(max(top, 0)))
+        keyed = sized_join(placed, fresh, names, "left").withColumn(key, F.coalesce(key, "doc_id"))
+    gone = near_groups(keyed.select(F.col(key).alias("doc_id"), text), text).filter(~F.col("kept"))
+    gone = gone.select(F.col("doc_id").alias(key))
+    return sized_join(keyed, gone, [key], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import SPACE, WORD, whole_text
+from millrace.llm.base import SPACE, WORD, free_names, ready, whole_text
+from millrace.session import scratch_path
 from millrace.sources import expanded
 
 WINDOW = 5
@@ -51,44 +52,45 @@ def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
     Words repeated in windows: the windows' hashes say quickly that a text has no window twice, which is true for
     most; the others are decided on the words themselves.
     """
+    t_, w_, lines_, h_, s_, at_ = free_names(docs, "_t", "_w", "_lines", "_h", "_s", "_at")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in FEATURES]
-    t = docs.select(*kept, whole_text(text).alias("_t"))
+    t = docs.select(*kept, whole_text(text).alias(t_))
     t = t.select(
         *kept,
-        F.array_remove(F.split("_t", f"[{SPACE}]+"), "").alias("_w"),
-        F.filter(F.split("_t", "\n"), lambda line: line.rlike(WORD)).alias("_lines"),
-        F.regexp_count("_t", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        F.regexp_count("_t", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
+        F.array_remove(F.split(t_, f"[{SPACE}]+"), "").alias(w_),
+        F.filter(F.split(t_, "\n"), lambda line: line.rlike(WORD)).alias(lines_),
+        F.regexp_count(t_, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        F.regexp_count(t_, F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
     )
-    starts = F.when(F.size("_w") >= WINDOW, F.sequence(F.lit(0), F.size("_w") - WINDOW)).otherwise(
+    starts = F.when(F.size(w_) >= WINDOW, F.sequence(F.lit(0), F.size(w_) - WINDOW)).otherwise(
         F.array().cast("array<int>")
     )
-    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get("_w", i + at) for at in range(WINDOW)]))
+    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(w_, i + at) for at in range(WINDOW)]))
     counted = [
-        F.size("_w").cast("long").alias("n_words"),
-        F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.size(F.array_distinct("_w")).cast("long").alias("n_distinct"),
+        F.size(w_).cast("long").alias("n_words"),
+        F.length(F.array_join(w_, "")).cast("long").alias("word_chars"),
+        F.size(lines_).cast("long").alias("n_lines"),
+        (F.size(lines_) - F.size(F.array_distinct(lines_))).cast("long").alias("n_dup_lines"),
+        F.size(F.array_distinct(w_)).cast("long").alias("n_distinct"),
     ]
-    t = t.select(*kept, "_w", "n_symbols", "n_upper", *counted, hashes.alias("_h"))
+    t = t.select(*kept, w_, "n_symbols", "n_upper", *counted, hashes.alias(h_))
     windows = F.transform(
-        F.sequence(F.lit(0), F.size("_w") - WINDOW),
-        lambda i: F.struct(F.array_join(F.slice("_w", i + 1, WINDOW), " ").alias("words"), i.alias("at")),
+        F.sequence(F.lit(0), F.size(w_) - WINDOW),
+        lambda i: F.struct(F.array_join(F.slice(w_, i + 1, WINDOW), " ").alias("words"), i.alias("at")),
     )
-    repeated = F.size(F.array_distinct("_h")) < F.size("_h")
+    repeated = F.size(F.array_distinct(h_)) < F.size(h_)
     numbers = [F.col(c) for c in FEATURES if c != "n_repeat_words"]
-    t = t.select(*kept, *numbers, F.when(repeated, F.array_sort(windows)).alias("_s"))
+    t = t.select(*kept, *numbers, F.when(repeated, F.array_sort(windows)).alias(s_))
 
     def twice(window: Column, i: Column) -> Column:
-        before, after = F.get("_s", i - 1)["words"], F.get("_s", i + 1)["words"]
+        before, after = F.get(s_, i - 1)["words"], F.get(s_, i + 1)["words"]
         return F.coalesce(before == window["words"], F.lit(False)) | F.coalesce(after == window["words"], F.lit(False))
 
-    found = F.array_sort(F.transform(F.filter("_s", twice), lambda window: window["at"]))
-    t = t.select(*kept, *numbers, found.alias("_at"))
+    found = F.array_sort(F.transform(F.filter(s_, twice), lambda window: window["at"]))
+    t = t.select(*kept, *numbers, found.alias(at_))
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
     covered = F.aggregate(
-        "_at",
+        at_,
         zero,
         lambda s, at: F.struct(
             (at + WINDOW).alias("end"), (s["n"] + at + WINDOW - F.greatest(at, s["end"])).cast("long").alias("n")
@@ -164,11 +166,16 @@ def quality_rules(
     """`docs` with FEATURES, `base_failed`, the posterior `p_good` and `kept` (0.5 or more and not failed).
 
     Null text counts as empty, which fails the base limits; repeated rows are judged alike and each counts in the
-    estimate; columns of the new names are replaced, others stay. The texts are read twice, once for the estimate;
-    without `keep_text` the text goes and the numbers are checkpointed, so that once is enough.
+    estimate; columns of the new names are replaced, others stay. The features are computed once: without `keep_text`
+    the text goes and the numbers are checkpointed, with it both are stored as a table in the shared folder, which
+    `release_scratch` deletes.
     """
     features = text_features(docs, text)
-    if not keep_text:
+    if keep_text:
+        path = scratch_path(ready(docs.sparkSession), "features")
+        features.write.parquet(path)
+        features = docs.sparkSession.read.schema(features.schema).parquet(path)
+    else:
         features = features.drop(text).checkpoint()
     rates = estimate(features, rules, steps)
     p_good = F.lit(1.0) / (F.lit(1.0) + F.exp(-log_odds([vote(r) for r in rules], rates)))

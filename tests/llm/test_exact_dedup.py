@@ -58,3 +58,12 @@ def test_rows_that_stay_keep_their_columns(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, 7, 8, None, 9, 10, 11], key=str)
     assert ed.exact_dedup(frame(spark).limit(0)).count() == 0
     assert ed.exact_groups(frame(spark).limit(0)).count() == 0
+
+
+def test_clashing_names_are_kept(spark):
+    rows = [(1, "a b", "p", 1), (2, "ab", "q", 2), (3, "c", "r", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __path string, __row int")
+    before = spark.conf.get("spark.sql.streaming.stateStore.unloadOnCommit", None)
+    kept = ed.exact_dedup(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+    assert spark.conf.get("spark.sql.streaming.stateStore.unloadOnCommit", None) == before

@@ -62,3 +62,9 @@ def test_rows_that_teach_nothing_take_no_place(spark):
     model = li.train(docs, per_language=10)
     # Ten different documents of each language, and none is used twice.
     assert model.languages == ["de", "en"] and len(np.unique(model.landmarks, axis=0)) == len(model.landmarks) == 20
+
+
+def test_a_clashing_name_is_kept(spark):
+    docs = spark.createDataFrame([(1, "some words", "x")], "doc_id long, text string, _l string")
+    got = li.identify(docs, li.Model([], np.zeros((0, li.CELLS // 8), np.uint8), np.zeros((0, 0))))
+    assert got.columns == ["doc_id", "text", "_l", "lang_pred", "score"] and got.first()._l == "x"

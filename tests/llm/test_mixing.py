@@ -90,3 +90,14 @@ def test_rows_without_an_id_are_kept(spark):
 def test_plan_has_no_python(spark, sf_dir, plan):
     text = plan(QUERIES["op9_mixing"](spark, sf_dir))
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text
+
+
+def test_rows_that_repeat_an_id_are_held_to_the_budget(spark):
+    rows = [(7, "w " * 4, "a", i) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _row int").repartition(4)
+    half = mx.mix_rows(docs, mx.Target(0.5, max_repeats=1.0))
+    assert half.columns == docs.columns and half.count() == half.distinct().count() == 50
+    assert mx.mix_rows(docs, mx.Target(1.0, max_repeats=1.0)).count() == 100
+    other = spark.createDataFrame([(7, "x " * 40, "b", 1, 2), (7, "y y", "b", 3, 4)], "doc_id long, text string, source string, _id int, _uses int")
+    got = mx.mix_rows(other, mx.Target(1.0, max_repeats=1.0))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, other.collect()))

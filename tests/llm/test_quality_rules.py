@@ -66,3 +66,11 @@ def test_agrees_with_labels(spark, sf_dir):
 def test_plan_has_no_python(spark, sf_dir, plan):
     text = plan(QUERIES["op5_quality_rules"](spark, sf_dir))
     assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
+
+
+def test_clashing_names_are_kept(spark):
+    names = ["_t", "_w", "_lines", "_h", "_s", "_at", "t_"]
+    docs = spark.createDataFrame([(1, "some words " * 8, *names)], ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
+    got = q.quality_rules(docs)
+    assert got.columns[: len(docs.columns)] == docs.columns and got.first()[: len(docs.columns)] == docs.first()
+    assert got.first().n_words == 16
