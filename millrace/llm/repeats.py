@@ -1,4 +1,4 @@
-"""Removal of long repeats by a distributed difference-cover suffix sort, cut off at the length that matters.
+"""Removal of long repeats by fingerprints at a difference cover chosen by content, cut off at the length that matters.
 
 Only the first LENGTH bytes of suffixes are ever compared, so suffixes need telling apart no further than that.
 
@@ -13,6 +13,10 @@ Only the first LENGTH bytes of suffixes are ever compared, so suffixes need tell
 4. The remaining suffixes, starts in stretches that differ from all others of their group, are merged in: they are
    compared with each other and with one stretch of each kind by their LENGTH-byte names.
 
+A text that goes on with a short period is sampled once a period; equal stretches that follow each other are one row
+with the number of times. What is held to be equal agrees in two 64-bit fingerprints, of the start itself and of its
+group; texts are told apart by 96 bits and their length.
+
 Names are counted with partial aggregation and joined back through exchanges that AQE can split, so a string that a
 third of all documents share is gathered nowhere.
 """
@@ -96,6 +100,15 @@ def stretches(text: bytes):
         yield first, count, group, content, low, whole
 
 
+def runs(first: np.ndarray, count: np.ndarray, group: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of stretches that follow each other and are equal, the first one's index, and how many they are."""
+    follows = first[1:] == first[:-1] + count[:-1]
+    for x in (count, group, content):
+        follows &= x[1:] == x[:-1]
+    at = np.flatnonzero(np.concatenate([[True], ~follows])[: len(first)])
+    return at, np.diff(at, append=len(first))
+
+
 def merged(spans: np.ndarray) -> np.ndarray:
     """Spans, packed as first << 32 | end, as rows of (first, end) that neither touch nor overlap."""
     spans = np.unique(spans)
@@ -112,32 +125,35 @@ def _list(lengths: list[int], columns: dict[str, list[np.ndarray]]) -> pa.Array:
 
 
 def repeated_spans(docs: DataFrame, shelf: Shelf, text: str = "text") -> DataFrame:
-    """(key, n, spans) of each text with repeats: fingerprint, bytes, and 64-bit pairs of first and end position."""
+    """(key, key2, spans) of each text with repeats: its fingerprints, and 64-bit pairs of first and end position."""
 
-    @F.arrow_udf("array<struct<first:long,count:long,grp:long,content:long>>")
+    @F.arrow_udf("array<struct<first:long,count:long,grp:long,content:long,times:long>>")
     def found(texts: pa.Array) -> pa.Array:
-        lengths, columns = [], {"first": [], "count": [], "grp": [], "content": []}
+        lengths, columns = [], {"first": [], "count": [], "grp": [], "content": [], "times": []}
         for t in texts:
             n = 0
             for first, count, group, content, low, _ in stretches(t.as_py().encode(errors="replace")):
-                n += len(first)
-                for name, x in zip(columns, (first + low, count, group.view(np.int64), content.view(np.int64)), strict=True):
+                at, times = runs(first, count, group, content)
+                n += len(at)
+                kept = (first[at] + low, count[at], group[at].view(np.int64), content[at].view(np.int64), times)
+                for name, x in zip(columns, kept, strict=True):
                     columns[name].append(x)
             lengths.append(n)
         return _list(lengths, columns)
 
-    @F.arrow_udf("array<struct<first:long,name:long,single:long>>")
+    @F.arrow_udf("array<struct<first:long,grp:long,name:long,single:long>>")
     def started(texts: pa.Array, wanted: pa.Array) -> pa.Array:
-        lengths, columns = [], {"first": [], "name": [], "single": []}
+        lengths, columns = [], {"first": [], "grp": [], "name": [], "single": []}
         for t, w in zip(texts, wanted, strict=True):
             asked = np.array(w.as_py(), np.int64)
             asked.sort()
             n = 0
-            for first, count, _, _, low, whole in stretches(t.as_py().encode(errors="replace")):
+            for first, count, group, _, low, whole in stretches(t.as_py().encode(errors="replace")):
                 at = np.searchsorted(asked >> 1, first + low)
                 here = np.flatnonzero((at < len(asked)) & ((asked >> 1)[np.minimum(at, len(asked) - 1)] == first + low))
                 starts = np.concatenate([np.arange(first[k], first[k] + count[k]) for k in here] or [np.zeros(0, np.int64)])
                 columns["first"].append(starts + low)
+                columns["grp"].append(np.repeat(group[here].view(np.int64), count[here]))
                 columns["name"].append(whole(starts).view(np.int64))
                 columns["single"].append(np.repeat(asked[at[here]] & 1, count[here]))
                 n += len(starts)
@@ -149,31 +165,34 @@ def repeated_spans(docs: DataFrame, shelf: Shelf, text: str = "text") -> DataFra
         return pa.array([merged(np.array(s.as_py(), np.int64)).tobytes() for s in spans], pa.binary())
 
     texts = keyed(docs, text).filter(F.col("n") >= LENGTH)
-    rows = texts.select("key", "n", F.inline(found("_t")))
-    again = rows.groupBy("grp").agg(F.count("*").alias("k")).filter("k > 1").select("grp")
+    rows = texts.select("key", "key2", F.inline(found("_t")))
+    again = rows.groupBy("grp").agg(F.sum("times").alias("k")).filter("k > 1").select("grp")
     rows = shelf.store(rows.join(again, "grp", "left_semi"))
-    kinds = rows.groupBy("grp", "content").agg(F.count("*").alias("k"), F.min(F.struct("key", "n", "first")).alias("one"))
+    kinds = rows.groupBy("grp", "content").agg(F.sum("times").alias("k"), F.min(F.struct("key", "key2", "first")).alias("one"))
     kinds = shelf.store(kinds)
     settled = rows.join(kinds.filter("k > 1").select("grp", "content"), ["grp", "content"], "left_semi")
-    settled = settled.select("key", "n", F.col("first"), (F.col("first") + F.col("count") - 1 + LENGTH).alias("end"))
+    settled = settled.select("key", "key2", F.col("first"), (F.col("first") + F.col("count") * F.col("times") - 1 + LENGTH).alias("end"))
     # Stretches to look into: those that occur once in groups of several kinds, and one of each other kind there.
     open_ = kinds.groupBy("grp").agg(F.count("*").alias("kinds"), F.min("k").alias("least")).filter("kinds > 1 and least = 1")
     asked = kinds.join(open_.select("grp"), "grp", "left_semi").select("one.*", (F.col("k") == 1).cast("long").alias("single"))
-    asked = asked.groupBy("key", "n").agg(F.collect_list(F.col("first") * 2 + F.col("single")).alias("asked"))
+    asked = asked.groupBy("key", "key2").agg(F.collect_list(F.col("first") * 2 + F.col("single")).alias("asked"))
     asked = shelf.store(asked)
-    starts = sized_join(texts, asked, ["key", "n"], "inner").select("key", "n", F.inline(started("_t", "asked")))
-    twice = starts.groupBy("name").agg(F.count("*").alias("k"), F.max("single").alias("s")).filter("k > 1 and s = 1").select("name")
-    hits = starts.filter("single = 1").join(twice, "name", "left_semi")
-    hits = hits.select("key", "n", "first", (F.col("first") + LENGTH).alias("end"))
+    starts = sized_join(texts, asked, ["key", "key2"], "inner").select("key", "key2", F.inline(started("_t", "asked")))
+    twice = starts.groupBy("grp", "name").agg(F.count("*").alias("k"), F.max("single").alias("s"))
+    twice = twice.filter("k > 1 and s = 1").select("grp", "name")
+    hits = starts.filter("single = 1").join(twice, ["grp", "name"], "left_semi")
+    hits = hits.select("key", "key2", "first", (F.col("first") + LENGTH).alias("end"))
     spans = settled.union(hits).distinct()
-    packed = spans.groupBy("key", "n").agg(F.collect_list(F.shiftleft("first", 32).bitwiseOR(F.col("end"))).alias("spans"))
-    return shelf.store(packed.select("key", "n", joined("spans").alias("spans")))
+    packed = spans.groupBy("key", "key2").agg(F.collect_list(F.shiftleft("first", 32).bitwiseOR(F.col("end"))).alias("spans"))
+    return shelf.store(packed.select("key", "key2", joined("spans").alias("spans")))
 
 
 def keyed(docs: DataFrame, text: str) -> DataFrame:
-    """`docs` with the text as _t, its fingerprint as key and its bytes as n; equal texts are one text."""
+    """`docs` with the text as _t, its bytes as n, and fingerprints as key, and with the bytes as key2; equal texts are one."""
     found = docs.withColumn("_t", whole_text(text))
-    return found.withColumns({"key": F.xxhash64("_t"), "n": F.octet_length("_t").cast("long")})
+    n = F.octet_length("_t").cast("long")
+    more = F.hash("_t").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+    return found.withColumns({"key": F.xxhash64("_t"), "key2": F.shiftleft(n, 32).bitwiseOR(more), "n": n})
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", with_kept: bool = False) -> DataFrame:
@@ -181,7 +200,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", with_kept: bool = False)
 
     A byte goes if it is covered by LENGTH bytes that also start anywhere else, in the same or another text. Null
     texts are empty; repeated rows are each other's repeats; texts under LENGTH bytes lose nothing; other columns are
-    not read. A block of BLOCK bytes is named at a time, so memory does not grow with the text beyond the text itself.
+    not read. A block of BLOCK bytes is named at a time; beside the text a worker holds a row per 56 bytes or per run of a
+    period, and the spans to be cut.
     """
     shelf = Shelf(docs.sparkSession)
     docs = docs.select(F.col("doc_id"), F.col(text).alias("text"))
@@ -203,7 +223,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", with_kept: bool = False)
             out["kept"].append(b"".join(kept) if with_kept else None)
         return pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out.values(), (pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)], list(out))
 
-    rows = sized_join(keyed(docs, "text"), spans, ["key", "n"], "left")
+    rows = sized_join(keyed(docs, "text"), spans, ["key", "key2"], "left")
     rows = rows.select("doc_id", F.col("n").alias("n_bytes"), cut("_t", "spans").alias("c"))
     columns = [F.col("c.removed").alias("n_removed"), F.col("c.spans").alias("n_spans"), F.col("c.sha").alias("kept_sha256")]
     rows = rows.select("doc_id", "n_bytes", *columns, *([F.col("c.kept").alias("kept")] if with_kept else []))

@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from millrace.llm import repeats as rp
@@ -78,6 +80,32 @@ def test_blocks_change_nothing(spark, monkeypatch):
     assert whole[1].sum() == len(text) - 399 and whole[1].max() <= rp.COVER
 
 
+def test_periodic_texts_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(rp, "BLOCK", 3000)
+    rng = random.Random(8)
+    noise = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    pattern = "".join(rng.choice("abcd") for _ in range(150))
+    texts = ["a" * 7000, "ab" * 3000, "x" + "ab" * 500 + "y" + "ab" * 300, "abc" * 700 + noise + "abc" * 400, pattern * 30, pattern[7:] * 3, noise + "-" * 450]
+    texts += ["-" * 300 + noise[:200] + "-" * 399, "z" * 400, "z" * 401]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(rp.remove_repeats(df)) == brute_force(rows)
+
+
+def test_a_long_periodic_text_is_few_rows():
+    for text in (b"a" * 3_000_000, b"ab" * 1_500_000):
+        kept = [rp.runs(first, count, group, content)[0] for first, count, group, content, _, _ in rp.stretches(text)]
+        assert sum(map(len, kept)) < 20
+
+
+def test_very_long_periodic_texts(spark, tmp_path):
+    rows = [(1, "a" * 40_000_000), (2, "ab" * 20_000_000), (3, "short")]
+    pq.write_table(pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]}), f"{tmp_path}/long.parquet")
+    df = spark.read.parquet(f"{tmp_path}/long.parquet")
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in rp.remove_repeats(df).collect()}
+    assert found == {i: (len(t), len(t) if i < 3 else 0, int(i < 3)) for i, t in rows}
+
+
 def test_kept_bytes_and_odd_rows(spark):
     passage = "é" * 250
     rows = [(1, "start " + passage + " end"), (2, passage), (2, passage), (None, passage), (3, None)]
