@@ -31,19 +31,23 @@ HISTORY = 3
 
 
 def carry_runs(n: int):
-    """The step of the state: per key and batch the run before it, then the run after it is kept, 0 as nothing."""
+    """The step of the state: per key and batch the run before it, unless 0, then the run after it is kept, unless 0."""
+    columns = ["batch", "n_rows", "all_breaches", "last_run"]
 
     def step(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         kept = run = state.get[0] if state.exists else 0
         found = []
-        for row in pd.concat(list(frames)).sort_values("batch").itertuples():
-            found.append((key[0], row.batch, run))
-            run = min(n, run + row.n_rows) if row.all_breaches else row.last_run
+        # Most keys have one row; lists cost a fraction of what a frame costs.
+        for batch, n_rows, all_breaches, last_run in sorted(row for frame in frames for row in zip(*(frame[c].tolist() for c in columns))):
+            if run:
+                found.append((key[0], batch, run))
+            run = min(n, run + n_rows) if all_breaches else last_run
         if run and run != kept:
             state.update((int(run),))
         elif not run and state.exists:
             state.remove()
-        yield pd.DataFrame(found, columns=["key", "batch", "before"])
+        if found:
+            yield pd.DataFrame(found, columns=["key", "batch", "before"])
 
     return step
 
@@ -89,8 +93,9 @@ def start_breach_stream(
             drain_runs(spark, folder, n)
             runs = finished_batches(spark, f"{folder}/runs").filter(F.col("batch") == batch_id).select("key", "before")
             # Runs that the key's first row begins are decided by what came before.
-            first = leading_rows(batch, keys, order, breach, n).withColumn("key", as_text).join(runs, "key")
-            completes = (F.col("before") < n) & (F.col("_position") == n - F.col("before"))
+            first = leading_rows(batch, keys, order, breach, n).withColumn("key", as_text).join(runs, "key", "left")
+            before = F.coalesce("before", F.lit(0))
+            completes = (before < n) & (F.col("_position") == n - before)
             inner = consecutive_breaches(batch, keys, order, breach, n, group_rows, open_start=True)
             write_batch(inner.unionByName(first.filter(completes).select(*batch.columns)), path, batch_id)
         finally:

@@ -293,7 +293,7 @@ class Progress(StreamingQueryListener):
 
 
 def test_a_batch_touches_the_state_of_its_own_keys(spark, scratch, tmp_path):
-    folder, n_keys = str(tmp_path / "rows"), 100_000
+    folder, n_keys = str(tmp_path / "rows"), 50_000
     schema = StructType.fromDDL("k LONG, ts INT, v INT")
     batches = [
         spark.range(n_keys).selectExpr("id AS k", "1 AS ts", "9 AS v"),
