@@ -183,6 +183,16 @@ def matching_sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
     return {status.getPath().toString(): status.getLen() for status in found or []}
 
 
+def plain_files(spark: SparkSession, path: str) -> list[str] | None:
+    """The data files of a file or flat folder, from one listing and no job; None if it has folders or a pattern."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    home = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if any(sign in path for sign in "*?[{") or not home.exists(target):
+        return None
+    seen = [s for s in home.listStatus(target) if s.getPath().getName()[0] not in "_."]
+    return None if any(s.isDirectory() for s in seen) else sorted(s.getPath().toString() for s in seen)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small text file on whatever file system `path` is on; replaces one that is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.session import plain_files
+
 # Paths whose footers are looked at together.
 FOOTER_THREADS = 8
 
@@ -52,7 +54,7 @@ def read_drifting(
     """
     if schemas is None:
         with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-            listed = list(pool.map(lambda path: sorted(spark.read.parquet(path).inputFiles()), paths))
+            listed = list(pool.map(lambda path: plain_files(spark, path) or sorted(spark.read.parquet(path).inputFiles()), paths))
             paths = [file for files in listed for file in files]
             schemas = list(pool.map(lambda file: spark.read.parquet(file).schema, paths))
         first = max(range(len(listed[0])), key=lambda at: len(schemas[at]))
