@@ -11,6 +11,8 @@ from millrace.session import matching_sizes, plan_bytes
 
 # Tables that are joined on their bucket keys need no exchange if one's number of buckets divides the other's.
 BUCKET_BYTES = 256 << 20
+# Files and estimates of few columns say little about what the task that sorts or groups a bucket holds; its rows do.
+BUCKET_ROWS = 1 << 20
 MAX_BUCKETS = 20_000
 # A bucket beyond this is too much for the one task that reads it.
 LARGEST_BUCKET = 4 << 30
@@ -46,8 +48,11 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
 
 
 def bucket_count(df: DataFrame) -> int:
-    """Buckets of about BUCKET_BYTES each, by Catalyst's estimate of the frame."""
-    return max(1, min(MAX_BUCKETS, -(-plan_bytes(df) // BUCKET_BYTES)))
+    """Buckets of about BUCKET_BYTES each, by Catalyst's estimate of the frame, and of about BUCKET_ROWS at most.
+
+    Rows are counted; of a plain Parquet scan that reads the footers only.
+    """
+    return max(1, min(MAX_BUCKETS, max(-(-plan_bytes(df) // BUCKET_BYTES), -(-df.count() // BUCKET_ROWS))))
 
 
 def write_bucketed(

@@ -62,6 +62,19 @@ def test_buckets_follow_the_size_and_a_hot_one_is_split(spark, tmp_path, plan, m
     assert "Exchange" in plan(plain.groupBy("k").count()) and plain.count() == 1000
 
 
+def test_rows_of_a_narrow_table_that_compresses_well_fill_buckets(spark, tmp_path, monkeypatch):
+    from millrace.sinks import tables
+
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 1000)
+    spark.range(10_500).select((F.col("id") % 5000).alias("k"), F.lit(1).alias("v")).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    assert tables.plan_bytes(df) < tables.BUCKET_BYTES and bucket_count(df) == 11
+    table = write_bucketed(df, "counted_buckets", "k", str(tmp_path / "b"))
+    assert table.count() == 10_500
+    held = table.groupBy("k").count().groupBy(F.spark_partition_id().alias("p")).agg(F.sum("count").alias("n")).collect()
+    assert len(held) == 11 and max(r.n for r in held) < 2000
+
+
 def test_bucketed_tables_join_without_exchange(spark, tmp_path, plan):
     left = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
     right = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
