@@ -75,6 +75,18 @@ def test_rows_of_a_narrow_table_that_compresses_well_fill_buckets(spark, tmp_pat
     assert len(held) == 11 and max(r.n for r in held) < 2000
 
 
+def test_a_join_of_bucketed_tables_takes_its_buckets_from_the_larger(spark, sf_dir, monkeypatch):
+    from millrace.plans.batch_queries import BATCH
+    from millrace.sinks import tables
+
+    seen, write = [], tables.write_bucketed
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 10_000)
+    monkeypatch.setattr("millrace.plans.batch_queries.write_bucketed", lambda *a, n, **b: seen.append(n) or write(*a, n=n, **b))
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert sum(r.line_count for r in BATCH["bucketed_join"](spark, sf_dir).collect()) == lines
+    assert seen[1] == 2 * seen[0] >= lines / 10_000 > 2
+
+
 def test_bucketed_tables_join_without_exchange(spark, tmp_path, plan):
     left = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
     right = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
