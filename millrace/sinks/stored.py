@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from millrace.operators.mutation import apply_increments, increment_targets
 from millrace.plans.sizing import same
-from millrace.session import delete_path, materialise, matching_paths, path_exists, read_text, rename_new, write_text
+from millrace.session import adaptive, delete_path, materialise, matching_paths, path_exists, read_text, rename_new, write_text
 
 ROWS = "rows"
 # Versions that stay readable however old they are, and for how many seconds any version does.
@@ -84,7 +84,9 @@ def new_files(df: DataFrame, path: str) -> list[list]:
     """
     folder = f"data/{uuid.uuid4().hex}"
     if BUCKET in df.columns:
-        df.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{folder}")
+        # Without AQE, as in the step of a stream, the hint does nothing and every task writes a file per bucket.
+        with adaptive(df.sparkSession):
+            df.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{folder}")
         found = matching_paths(df.sparkSession, f"{path}/{folder}/{BUCKET}=*/part-*")
         return [[f"{folder}/" + "/".join(f.split("/")[-2:]), int(f.split("/")[-2].split("=")[1])] for f in found]
     df.write.parquet(f"{path}/{folder}")

@@ -198,3 +198,14 @@ def test_upserts_of_a_stream_survive_a_crash_and_a_restart(spark, path, tmp_path
 def test_no_such_table(spark, path):
     with pytest.raises(FileNotFoundError):
         read_stored(spark, path)
+
+
+def test_a_stream_writes_a_bucket_in_one_file(spark, path, tmp_path):
+    folder, schema = str(tmp_path / "rows"), "id LONG, v INT"
+    for at in range(2):
+        spark.range(4000).selectExpr(f"id + {at} * 2000 AS id", f"{at} AS v").write.mode("append").parquet(folder)
+        counts = spark.readStream.schema(schema).parquet(folder).groupBy("id").agg(F.max("v").alias("v"))
+        write_upserts(counts, path, str(tmp_path / "cp"), ["id"], buckets=16, trigger={"availableNow": True}).awaitTermination()
+        files = stored_version(spark, path).files()
+        assert sorted(bucket for _, bucket in files) == list(range(16))
+    assert read_stored(spark, path).selectExpr("count(*)", "count(distinct id)", "sum(v)").first() == (6000, 6000, 4000)
