@@ -413,3 +413,14 @@ def test_console_sink_in_update_mode(spark, topic, scratch):
 def test_topic_source_needs_the_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_topic(spark, "sensors", starting="earliest", group_id="g", max_per_trigger=10)
+
+
+def test_arrivals_are_files_of_bounded_rows(spark, sf_dir, monkeypatch):
+    from millrace.plans import stream_queries
+
+    monkeypatch.setattr(stream_queries, "ARRIVAL_ROWS", 500)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").coalesce(1)
+    path, n = stream_queries._laid_out(spark, sf_dir, events, [F.lit(True)], "bounded")
+    arrived = spark.read.parquet(f"{path}/0.part")
+    assert n == 1 and arrived.count() == events.count() > 500
+    assert arrived.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 500
