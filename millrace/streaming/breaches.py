@@ -11,13 +11,14 @@ which decides about the run at the beginning of the batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from millrace.operators.runs import consecutive_breaches, leading_rows, run_edges
 from millrace.plans.sizing import GROUP_ROWS
@@ -25,37 +26,50 @@ from millrace.session import delete_path
 from millrace.sinks.streams import finished_batches, write_batch
 
 EDGES = "key STRING, batch BIGINT, n_rows INT, all_breaches BOOLEAN, last_run INT"
+EDGE_COLUMNS = ["key", "batch", "n_rows", "all_breaches", "last_run"]
 RUNS = "key STRING, batch BIGINT, before INT"
+# Groups that keys are stepped in: a call of the step for each key would cost milliseconds. A key never changes its slot.
+SLOTS = 4096
 # Batches whose edges and runs stay next to the checkpoint.
 HISTORY = 3
 
 
-def carry_runs(n: int):
-    """The step of the state: per key and batch the run before it, unless 0, then the run after it is kept, unless 0."""
-    columns = ["batch", "n_rows", "all_breaches", "last_run"]
+def carry_runs(n: int) -> StatefulProcessor:
+    """The step of the state: per key and batch the run before it, unless 0, then the run after it is kept, unless 0.
 
-    def step(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = run = state.get[0] if state.exists else 0
-        found = []
-        # Most keys have one row; lists cost a fraction of what a frame costs.
-        for batch, n_rows, all_breaches, last_run in sorted(row for frame in frames for row in zip(*(frame[c].tolist() for c in columns))):
-            if run:
-                found.append((key[0], batch, run))
-            run = min(n, run + n_rows) if all_breaches else last_run
-        if run and run != kept:
-            state.update((int(run),))
-        elif not run and state.exists:
-            state.remove()
-        if found:
-            yield pd.DataFrame(found, columns=["key", "batch", "before"])
+    It is called for a slot of keys; each key of the slot has an entry of its own in the state, which is a row of the store.
+    """
 
-    return step
+    # Defined here, the class goes to the workers by value, as functions do.
+    class CarryRuns(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.runs = handle.getMapState("runs", "key STRING", "run INT")
+
+        def handleInputRows(self, slot, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+            found = []
+            edges = sorted(row for frame in rows for row in zip(*(frame[c].tolist() for c in EDGE_COLUMNS)))
+            for key, batches in groupby(edges, itemgetter(0)):
+                (kept,) = self.runs.getValue((key,)) or (0,)
+                run = kept
+                for _, batch, n_rows, all_breaches, last_run in batches:
+                    if run:
+                        found.append((key, batch, run))
+                    run = min(n, run + n_rows) if all_breaches else last_run
+                if run and run != kept:
+                    self.runs.updateValue((key,), (run,))
+                elif kept and not run:
+                    self.runs.removeKey((key,))
+            if found:
+                yield pd.DataFrame(found, columns=["key", "batch", "before"])
+
+    return CarryRuns()
 
 
 def drain_runs(spark: SparkSession, folder: str, n: int) -> None:
     """Let the stateful stream take in the edges it has not seen; it goes on from its own checkpoint."""
     edges = spark.readStream.schema(EDGES).parquet(f"{folder}/edges/batch_id=*")
-    runs = edges.groupBy("key").applyInPandasWithState(carry_runs(n), RUNS, "run INT", "append", GroupStateTimeout.NoTimeout)
+    in_slots = edges.withColumn("slot", F.pmod(F.xxhash64("key"), F.lit(SLOTS)))
+    runs = in_slots.groupBy("slot").transformWithStateInPandas(carry_runs(n), RUNS, "append", "none")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, f"{folder}/runs", batch_id)

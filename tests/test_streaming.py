@@ -5,6 +5,7 @@ import os
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -321,6 +322,34 @@ def test_a_batch_touches_the_state_of_its_own_keys(spark, scratch, tmp_path):
     assert listener.seen == [(n_keys, n_keys, 0), (n_keys, 1, 0), (n_keys, 2, 1), (n_keys, 1, 0)]
 
 
+class Entries:
+    """A map state in memory, with the keys it was asked for."""
+
+    def __init__(self, runs):
+        self.runs, self.asked = runs, []
+
+    def getValue(self, key):  # noqa: N802
+        self.asked.append(key[0])
+        return self.runs.get(key)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.runs[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        del self.runs[key]
+
+
+def test_a_call_steps_many_keys():
+    step = breaches_module.carry_runs(3)
+    step.runs = Entries({("b",): (2,), ("c",): (1,), ("d",): (3,), ("other",): (1,)})
+    edges = [("d", 5, 1, True, 1), ("a", 5, 2, True, 2), ("b", 6, 3, False, 0), ("c", 5, 3, False, 2), ("b", 5, 1, True, 1)]
+    frames = [pd.DataFrame(part, columns=breaches_module.EDGE_COLUMNS) for part in (edges[:2], edges[2:])]
+    (found,) = step.handleInputRows((0,), iter(frames), None)
+    assert found.values.tolist() == [["b", 5, 2], ["b", 6, 3], ["c", 5, 1], ["d", 5, 3]]
+    assert step.runs.runs == {("a",): (2,), ("c",): (2,), ("d",): (3,), ("other",): (1,)}
+    assert step.runs.asked == ["a", "b", "c", "d"]
+
+
 def test_a_batch_that_is_replayed_reports_the_same(spark, scratch, tmp_path, monkeypatch):
     folder, schema = str(tmp_path / "rows"), StructType.fromDDL("k LONG, ts INT, v INT")
 
