@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import os
+import string
 import sys
 import unicodedata
 import zlib
@@ -38,8 +39,11 @@ SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
 # Neighbours that are ranked at a time, and the part of a shard, 1 in COMMON, from which a term is common.
 NEIGHBOURS, COMMON = 32, 4
-# Words a worker remembers the ids of; the memory is emptied when full, and no id depends on it.
-REMEMBERED = 500_000
+# Words a worker remembers the ids of; the memory is emptied when full, and no id depends on it. A dictionary doubles
+# its tables beyond 699,050 entries.
+REMEMBERED = 690_000
+# A run of these at the end of a word is one piece.
+MARKS = string.punctuation
 TERMS = 1 << 16
 # A seed is looked up by all of its terms.
 QUERY_TERMS = TERMS
@@ -77,8 +81,8 @@ class WordIds(dict):
         if part.isalpha():
             letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
             ids = array("H", [t.id for t in self.tokenize(letters)]).tobytes()
-        elif part[:-1].isalpha() and part[-1] in ".,":
-            ids = self[part[:-1]] + self[part[-1]]
+        elif (letters := part.rstrip(MARKS)).isalpha():
+            ids = self[letters] + self[part[len(letters) :]]
         elif len(pieces := self.pieces(part)) > 1:
             ids = b"".join(map(self.__getitem__, pieces))
         else:
@@ -164,7 +168,7 @@ def sketch(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """
     terms, tf = counted(ids)
     weights = np.rint(idf[terms] * (tf * (K1 + 1) / (tf + K1)).astype(np.float32) * 8)
-    return (weights @ signs()[terms]).astype(np.int32)
+    return (weights @ signs().take(terms, axis=0)).astype(np.int32)
 
 
 class Cuts:
@@ -267,7 +271,7 @@ class Index:
         lengths = np.array([len(x) for x in ids], np.float32)
         norm = np.repeat(K1 * (1 - B + B * lengths / lengths.mean()), sizes).astype(np.float32)
         order = np.argsort(term, kind="stable")
-        self.docs = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
+        self.docs = np.repeat(np.arange(self.n), sizes)[order]
         self.weights = (idf[term] * tf * np.float32(K1 + 1) / (tf + norm)).astype(np.float32)[order]
         self.starts = np.searchsorted(term[order], np.arange(len(idf) + 1))
         common = np.flatnonzero(np.diff(self.starts) * COMMON >= self.n)
@@ -285,9 +289,11 @@ class Index:
         asked = np.zeros(len(self.rows), np.float32)
         asked[rows[rows >= 0]] = 1
         scores = asked @ self.rows
-        for t in terms[rows < 0]:
-            part = slice(self.starts[t], self.starts[t + 1])
-            scores[self.docs[part]] += self.weights[part]
+        rare = terms[rows < 0]
+        sizes = self.starts[rare + 1] - self.starts[rare]
+        ends = np.cumsum(sizes)
+        postings = np.arange(ends[-1] if len(rare) else 0) + np.repeat(self.starts[rare] - ends + sizes, sizes)
+        np.add.at(scores, self.docs[postings], self.weights[postings])
         scores[~unused] = 0
         while True:
             top = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if self.n > NEIGHBOURS else np.arange(self.n)

@@ -72,6 +72,14 @@ def test_ids_of_any_text(library, text):
     assert np.frombuffer(packing.word_ids(PATH).encode(text), "<u2").tolist() == library(text)
 
 
+def test_marks_after_a_word_are_cut_off_without_a_search(library):
+    ids, asked = packing.WordIds(PATH), []
+    ids.pieces = lambda part, findall=ids.pieces: asked.append(part) or findall(part)
+    text = "Onheti$$$ queèch!?. thus'), word_ it's. 'd .'s x's' élan.\"s"
+    assert np.frombuffer(ids.encode(text), "<u2").tolist() == library(text)
+    assert not {"onheti$$$", "queèch!?.", "thus'),", "word_"} & set(asked)
+
+
 def test_index_ranks_as_bm25_by_brute_force():
     rng = np.random.default_rng(1)
     ids = [rng.integers(0, 40, rng.integers(5, 60)).astype("<u2") for _ in range(50)]
