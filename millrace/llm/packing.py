@@ -39,8 +39,8 @@ SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
 # Neighbours that are ranked at a time, and the part of a shard, 1 in COMMON, from which a term is common.
 NEIGHBOURS, COMMON = 32, 4
-# Words a worker remembers the ids of; the memory is emptied when full, and no id depends on it. A dictionary doubles
-# its tables beyond 699,050 entries.
+# Words after which a worker's memory of ids is full: it is set aside then, and words that are met again come back from
+# there until the next time. No id depends on it. A dictionary doubles its tables beyond 699,050 entries.
 REMEMBERED = 690_000
 # A run of these at the end of a word is one piece.
 MARKS = string.punctuation
@@ -69,6 +69,7 @@ class WordIds(dict):
             raise ValueError("token ids do not fit into 16 bits")
         if sys.byteorder != "little":
             raise ValueError("ids are stored in little-endian order")
+        self.before: dict[str, bytes] = {}
         self.tokenize, self.letters = self.tokenizer.model.tokenize, byte_letters()
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = regex.compile("|".join(regex.escape(t.content) for t in added.values()))
@@ -77,8 +78,11 @@ class WordIds(dict):
 
     def __missing__(self, part: str) -> bytes:
         if len(self) >= REMEMBERED:
+            self.before = dict(self)
             self.clear()
-        if part.isalpha():
+        if (ids := self.before.get(part)) is not None:
+            pass
+        elif part.isalpha():
             letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
             ids = array("H", [t.id for t in self.tokenize(letters)]).tobytes()
         elif (letters := part.rstrip(MARKS)).isalpha():
@@ -147,8 +151,10 @@ def document_frequencies(tokens: DataFrame) -> np.ndarray:
 
 def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct terms in order, and how often each occurs; ids are not empty."""
-    ids = np.sort(ids)
-    ends = np.append(np.flatnonzero(ids[1:] != ids[:-1]), len(ids) - 1)
+    ids = np.sort(ids, kind="stable")  # by radix for 16-bit numbers
+    new = np.flatnonzero(ids[1:] != ids[:-1])
+    ends = np.empty(len(new) + 1, np.int64)
+    ends[:-1], ends[-1] = new, len(ids) - 1
     counts = ends.copy()
     counts[1:] -= ends[:-1]
     counts[0] += 1
@@ -158,7 +164,7 @@ def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 @functools.cache
 def signs() -> np.ndarray:
     """A random sign per term and place of a sketch."""
-    return np.random.default_rng(1).integers(0, 2, (TERMS, SKETCH)).astype(np.float32) * 2 - 1
+    return np.random.default_rng(1).integers(0, 2, (TERMS, SKETCH)).astype(np.int8) * np.int8(2) - np.int8(1)
 
 
 def sketch(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -168,7 +174,7 @@ def sketch(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """
     terms, tf = counted(ids)
     weights = np.rint(idf[terms] * (tf * (K1 + 1) / (tf + K1)).astype(np.float32) * 8)
-    return (weights @ signs().take(terms, axis=0)).astype(np.int32)
+    return (weights @ signs().take(terms, axis=0).astype(np.float32)).astype(np.int32)
 
 
 class Cuts:

@@ -80,6 +80,18 @@ def test_marks_after_a_word_are_cut_off_without_a_search(library):
     assert not {"onheti$$$", "queèch!?.", "thus'),", "word_"} & set(asked)
 
 
+def test_words_in_use_are_not_tokenised_again_when_the_memory_is_full(monkeypatch, library):
+    monkeypatch.setattr(packing, "REMEMBERED", 60)
+    ids, asked = packing.WordIds(PATH), []
+    ids.tokenize = lambda part, tokenize=ids.tokenize: asked.append(part) or tokenize(part)
+    fresh = ["".join("abcdefghij"[int(d)] for d in str(i)) for i in range(10_000, 10_400)]
+    for at in range(0, 400, 10):
+        text = " ".join(["often", "again,", *fresh[at : at + 10]])
+        assert np.frombuffer(ids.encode(text), "<u2").tolist() == library(text)
+    assert asked.count("often") == asked.count("again") == 1 and len(asked) >= 400
+    assert len(ids) <= 62 and len(ids.before) <= 62
+
+
 def test_index_ranks_as_bm25_by_brute_force():
     rng = np.random.default_rng(1)
     ids = [rng.integers(0, 40, rng.integers(5, 60)).astype("<u2") for _ in range(50)]
