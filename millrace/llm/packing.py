@@ -149,16 +149,18 @@ def document_frequencies(tokens: DataFrame) -> np.ndarray:
     return total
 
 
-def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct terms in order, and how often each occurs; ids are not empty."""
-    ids = np.sort(ids, kind="stable")  # by radix for 16-bit numbers
-    new = np.flatnonzero(ids[1:] != ids[:-1])
-    ends = np.empty(len(new) + 1, np.int64)
-    ends[:-1], ends[-1] = new, len(ids) - 1
-    counts = ends.copy()
-    counts[1:] -= ends[:-1]
-    counts[0] += 1
-    return ids[ends], counts
+def counted(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms of each document in order, how often each occurs there, and how many they are per document.
+
+    Terms and counts lie one document after another; no document is empty.
+    """
+    ends = np.cumsum([len(x) for x in ids])
+    terms = np.concatenate([np.sort(x, kind="stable") for x in ids])  # by radix for 16-bit numbers
+    last = np.empty(len(terms), bool)
+    last[:-1] = terms[1:] != terms[:-1]
+    last[ends - 1] = True
+    at = np.flatnonzero(last)
+    return terms[at], np.diff(at, prepend=-1), np.diff(np.searchsorted(at, ends), prepend=0)
 
 
 @functools.cache
@@ -167,14 +169,22 @@ def signs() -> np.ndarray:
     return np.random.default_rng(1).integers(0, 2, (TERMS, SKETCH)).astype(np.int8) * np.int8(2) - np.int8(1)
 
 
-def sketch(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """The document's weighted terms projected onto random signs.
+def sketches_of(ids: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """A row per document: its weighted terms projected onto random signs.
 
     Weights are whole numbers, small enough for sums of them to be exact, so that every machine finds the same.
     """
-    terms, tf = counted(ids)
-    weights = np.rint(idf[terms] * (tf * (K1 + 1) / (tf + K1)).astype(np.float32) * 8)
-    return (weights @ signs().take(terms, axis=0).astype(np.float32)).astype(np.int32)
+    if len(ids) > 1 and sum(map(len, ids)) > SHARD_TOKENS:  # long texts: their terms are counted in parts
+        half = len(ids) // 2
+        return np.concatenate([sketches_of(ids[:half], idf), sketches_of(ids[half:], idf)])
+    found = np.empty((len(ids), SKETCH), np.float32)
+    if len(ids):
+        terms, tf, sizes = counted(ids)
+        weights = np.rint(idf[terms] * (tf * (K1 + 1) / (tf + K1)).astype(np.float32) * 8)
+        ends = np.cumsum(sizes).tolist()
+        for row, a, b in zip(found, [0, *ends[:-1]], ends, strict=True):
+            np.matmul(weights[a:b], signs().take(terms[a:b], axis=0).astype(np.float32), out=row)
+    return found.astype(np.int32)
 
 
 class Cuts:
@@ -245,7 +255,8 @@ def dealt(tokens: DataFrame, idf: np.ndarray, n_docs: int, shards: int) -> DataF
 
     @F.arrow_udf("binary")
     def sketches(ids: pa.Array) -> pa.Array:
-        return pa.array([sketch(np.frombuffer(x.as_py(), "<u2"), idf).astype("<i4").tobytes() for x in ids], pa.binary())
+        rows = sketches_of([np.frombuffer(x.as_py(), "<u2") for x in ids], idf)
+        return pa.array([x.tobytes() for x in rows.astype("<i4")], pa.binary())
 
     part = min(shards * PER_SHARD, SAMPLED) / n_docs
     chosen = salted.filter(F.pmod(F.xxhash64("salt"), F.lit(1 << 30)) < F.lit(int(min(part, 1.0) * (1 << 30))))
@@ -255,8 +266,8 @@ def dealt(tokens: DataFrame, idf: np.ndarray, n_docs: int, shards: int) -> DataF
 
     @F.arrow_udf("long")
     def place(ids: pa.Array, salt: pa.Array) -> pa.Array:
-        rows = [sketch(np.frombuffer(x.as_py(), "<u2"), idf) for x in ids]
-        return pa.array(cuts.shards(np.array(rows, np.int32).reshape(-1, SKETCH), salt.to_numpy(zero_copy_only=False)), pa.int64())
+        rows = sketches_of([np.frombuffer(x.as_py(), "<u2") for x in ids], idf)
+        return pa.array(cuts.shards(rows, salt.to_numpy(zero_copy_only=False)), pa.int64())
 
     return salted.select("doc_id", "ids", place("ids", "salt").alias("shard"))
 
@@ -270,10 +281,9 @@ class Index:
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray) -> None:
         self.n = len(ids)
-        found = [counted(x) for x in ids]
-        self.terms = [t for t, _ in found]
-        sizes = np.array([len(t) for t in self.terms])
-        term, tf = np.concatenate(self.terms), np.concatenate([c for _, c in found]).astype(np.float32)
+        term, tf, sizes = counted(ids)
+        tf = tf.astype(np.float32)
+        self.terms = np.split(term, np.cumsum(sizes)[:-1])
         lengths = np.array([len(x) for x in ids], np.float32)
         norm = np.repeat(K1 * (1 - B + B * lengths / lengths.mean()), sizes).astype(np.float32)
         order = np.argsort(term, kind="stable")
@@ -299,7 +309,8 @@ class Index:
         sizes = self.starts[rare + 1] - self.starts[rare]
         ends = np.cumsum(sizes)
         postings = np.arange(ends[-1] if len(rare) else 0) + np.repeat(self.starts[rare] - ends + sizes, sizes)
-        np.add.at(scores, self.docs[postings], self.weights[postings])
+        # All are within bounds; to clip is faster than to check them.
+        np.add.at(scores, self.docs.take(postings, mode="clip"), self.weights.take(postings, mode="clip"))
         scores[~unused] = 0
         while True:
             top = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if self.n > NEIGHBOURS else np.arange(self.n)

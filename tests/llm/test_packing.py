@@ -92,6 +92,18 @@ def test_words_in_use_are_not_tokenised_again_when_the_memory_is_full(monkeypatc
     assert len(ids) <= 62 and len(ids.before) <= 62
 
 
+def test_terms_are_counted_in_parts_alike(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids = [rng.integers(0, 500, n).astype("<u2") for n in (1, 700, 3, 40, 1)]
+    terms, counts, sizes = packing.counted(ids)
+    for x, t, c in zip(ids, np.split(terms, np.cumsum(sizes)[:-1]), np.split(counts, np.cumsum(sizes)[:-1]), strict=True):
+        assert [a.tolist() for a in np.unique(x, return_counts=True)] == [t.tolist(), c.tolist()]
+    idf = (rng.random(1 << 16) * 10).astype(np.float32)
+    whole = packing.sketches_of(ids, idf)
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 50)
+    assert whole.any(axis=1).all() and (packing.sketches_of(ids, idf) == whole).all()
+
+
 def test_index_ranks_as_bm25_by_brute_force():
     rng = np.random.default_rng(1)
     ids = [rng.integers(0, 40, rng.integers(5, 60)).astype("<u2") for _ in range(50)]
