@@ -7,7 +7,6 @@ per pair, so a text is scored by looking up its bins and adding.
 
 from __future__ import annotations
 
-import math
 import re
 from dataclasses import dataclass, field
 
@@ -42,10 +41,11 @@ def features(text: str) -> list[float]:
     lines = [x for x in text.split("\n") if x]
     n_bytes, n_words = max(1, len(data)), max(1, len(words))
     shares = (MASK @ np.bincount(data, minlength=256)) / n_bytes
+    sizes = [len(data), len(words), len(words) / max(1, len(lines)), max(map(len, words), default=0)]
+    bytes_, words_, line_words, longest = np.log1p(sizes).tolist()
     return [
-        math.log1p(len(data)), math.log1p(len(words)), len(data) / n_words, *shares.tolist(), len(set(words)) / n_words,
-        len(set(lines)) / max(1, len(lines)), math.log1p(len(words) / max(1, len(lines))),
-        math.log1p(max(map(len, words), default=0)),
+        bytes_, words_, len(data) / n_words, *shares.tolist(), len(set(words)) / n_words,
+        len(set(lines)) / max(1, len(lines)), line_words, longest,
     ]
 
 
